@@ -43,8 +43,7 @@ def parse_long(text: Column) -> Column:
 
 def leading_number(text: Column) -> Column:
     """The number at the start of a header value (``120-110`` gives 120)."""
-    head = F.regexp_extract(F.trim(F.regexp_replace(text, r"^\s+|\s+$", "")), r"^([+-]?[0-9.]+)", 1)
-    return parse_strict(head)
+    return parse_strict(F.regexp_extract(text, r"^\s*([+-]?[0-9.]+)", 1))
 
 
 def decode_json(data: Column, ddl: str, renamed: str | None = None) -> Column:

@@ -7,6 +7,8 @@ twice.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,6 @@ BYBIT = f"result STRUCT<u: BIGINT, b: {TEXT_LEVELS}, a: {TEXT_LEVELS}>"
 KUCOIN = "sequence BIGINT, bids ARRAY<ARRAY<DOUBLE>>, asks ARRAY<ARRAY<DOUBLE>>"
 OKX = f"data ARRAY<STRUCT<bids: {TEXT_LEVELS}, asks: {TEXT_LEVELS}, ts: STRING>>"
 
-BOOK_COLUMNS = ["exchange", "symbol", "market", "ts_ms", "last_update_id", "bids", "asks"]
-
 
 def no_levels() -> Column:
     return F.array().cast(TEXT_LEVELS)
@@ -40,16 +40,24 @@ def _pairs(values: Column) -> Column:
     )
 
 
+def _number_text(value: Column) -> Column:
+    """Plain decimal text without an exponent or trailing zeros."""
+    return F.regexp_replace(value.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+
+
 def _number_pairs(values: Column) -> Column:
-    return _pairs(F.transform(values, lambda v: F.transform(v, lambda x: x.cast("string"))))
+    return _pairs(F.transform(values, lambda v: F.transform(v, _number_text)))
 
 
 def _book(update_id: Column, bids: Column, asks: Column) -> Column:
     return F.struct(update_id.alias("last_update_id"), bids.alias("bids"), asks.alias("asks"))
 
 
-def decode_books(raw: DataFrame) -> DataFrame:
-    """Raw snapshot messages of all venues to one row per good message."""
+def decode_books(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw snapshot messages of all venues to one row per good message.
+
+    ``keep`` names raw columns to carry along.
+    """
     venue, data = F.col("exchange"), F.col("data")
     known = venue.isin("bybit", "kucoin", "okx")
     parsed = raw.select(
@@ -57,6 +65,7 @@ def decode_books(raw: DataFrame) -> DataFrame:
         "symbol",
         "market",
         clock.epoch_ms(F.col("ts")).alias("ts_ms"),
+        *keep,
         F.when(~known, decode_json(data, BINANCE)).alias("_plain"),
         F.when(venue == "bybit", decode_json(data, BYBIT)).alias("_bybit"),
         F.when(venue == "kucoin", decode_json(data, KUCOIN)).alias("_kucoin"),
@@ -83,9 +92,9 @@ def decode_books(raw: DataFrame) -> DataFrame:
     )
     symbol = F.when(venue == "kucoin", canonical_symbol(venue, F.col("symbol"))).otherwise(F.col("symbol"))
     return (
-        parsed.select("exchange", symbol.alias("symbol"), "market", "ts_ms", book.alias("_book"))
+        parsed.select("exchange", symbol.alias("symbol"), "market", "ts_ms", *keep, book.alias("_book"))
         .filter(F.col("_book").isNotNull())
-        .select("exchange", "symbol", "market", "ts_ms", "_book.*")
+        .select("exchange", "symbol", "market", "ts_ms", *keep, "_book.*")
     )
 
 
@@ -167,10 +176,11 @@ def poll_grid(raw: DataFrame, interval_ms: int, order: str = "message_id") -> Da
     )
 
 
-def nested_snapshot(raw: DataFrame) -> DataFrame:
+def nested_snapshot(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per message with typed level arrays, built without a shuffle."""
-    books = decode_books(raw)
+    books = decode_books(raw, keep)
     return books.select(
+        *keep,
         "exchange",
         F.col("market").alias("market_type"),
         canonical_symbol(F.col("exchange"), F.col("symbol")).alias("symbol"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,7 +83,7 @@ def _delta(symbol: Column, event: Column, update: Column, prev: Column, first: C
     )
 
 
-def decode_deltas(raw: DataFrame) -> DataFrame:
+def decode_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Raw delta messages of all venues to one row per good message."""
     venue, data = F.col("exchange"), F.col("data")
     known = venue.isin("bybit", "kucoin", "okx")
@@ -89,6 +91,7 @@ def decode_deltas(raw: DataFrame) -> DataFrame:
         "exchange",
         "market",
         clock.epoch_ms(F.col("ts")).alias("received_time"),
+        *keep,
         F.when(~known, decode_json(data, BINANCE, BINANCE_RENAMED)).alias("_plain"),
         F.when(venue == "bybit", decode_json(data, BYBIT)).alias("_bybit"),
         F.when(venue == "kucoin", decode_json(data, KUCOIN)).alias("_kucoin"),
@@ -153,9 +156,9 @@ def decode_deltas(raw: DataFrame) -> DataFrame:
         )
     )
     return (
-        parsed.select("exchange", "market", "received_time", delta.alias("_delta"))
+        parsed.select("exchange", "market", "received_time", *keep, delta.alias("_delta"))
         .filter(F.col("_delta").isNotNull())
-        .select("exchange", "market", "received_time", "_delta.*")
+        .select("exchange", "market", "received_time", *keep, "_delta.*")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ def _present(ms: Column) -> Column:
     return F.when(ms > 0, ms)
 
 
-def decode_oi(raw: DataFrame) -> DataFrame:
+def decode_oi(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Raw open-interest messages to one row per reading.
 
     ``message_ms`` is the time the message carries, or its arrival;
@@ -49,6 +51,7 @@ def decode_oi(raw: DataFrame) -> DataFrame:
         "symbol",
         "market",
         clock.epoch_ms(F.col("ts")).alias("arrival_ms"),
+        *keep,
         F.when(venue.isin("binance", "kucoin"), decode_json(data, OI_SINGLE)).alias("_single"),
         F.when(venue == "bybit", decode_json(data, TICKERS)).alias("_tickers"),
         F.when(venue == "okx", decode_json(data, OI_OKX)).alias("_okx"),
@@ -92,12 +95,12 @@ def decode_oi(raw: DataFrame) -> DataFrame:
             ),
         )
     )
-    return parsed.select("exchange", "market", F.explode(entries.cast(OI_ENTRY)).alias("_e")).select(
-        "exchange", "market", "_e.*"
+    return parsed.select("exchange", "market", *keep, F.explode(entries.cast(OI_ENTRY)).alias("_e")).select(
+        "exchange", "market", *keep, "_e.*"
     )
 
 
-def oi_normalize(readings: DataFrame) -> DataFrame:
+def oi_normalize(readings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Readings whose value parses, on the common schema."""
     payload = F.col("payload_time")
     event = F.when((F.col("exchange") != "okx") & (payload == 0), F.col("message_ms")).otherwise(payload)
@@ -109,6 +112,7 @@ def oi_normalize(readings: DataFrame) -> DataFrame:
             event.alias("event_time"),
             parse_strict(F.col("oi_text")).alias("open_interest"),
             F.col("message_ms").alias("received_time"),
+            *keep,
         )
         .filter(F.col("open_interest").isNotNull())
     )
@@ -120,7 +124,7 @@ PI_ENTRY = (
 )
 
 
-def decode_pi(raw: DataFrame, bybit_category: str = "linear") -> DataFrame:
+def decode_pi(raw: DataFrame, bybit_category: str = "linear", keep: Sequence[str] = ()) -> DataFrame:
     """Raw premium-index messages to one row per reading.
 
     ``next_funding_time`` is NULL where the payload carries none.
@@ -131,6 +135,7 @@ def decode_pi(raw: DataFrame, bybit_category: str = "linear") -> DataFrame:
         "symbol",
         "market",
         clock.epoch_ms(F.col("ts")).alias("arrival_ms"),
+        *keep,
         F.when(venue == "binance", decode_json(data, PI_BINANCE, PI_BINANCE_RENAMED)).alias("_binance"),
         F.when(venue == "bybit", decode_json(data, TICKERS)).alias("_tickers"),
         F.when(venue == "okx", decode_json(data, PI_OKX)).alias("_okx"),
@@ -220,12 +225,12 @@ def decode_pi(raw: DataFrame, bybit_category: str = "linear") -> DataFrame:
             ),
         )
     )
-    return parsed.select("exchange", "market", "arrival_ms", F.explode(entries.cast(PI_ENTRY)).alias("_e")).select(
-        "exchange", "market", "arrival_ms", "_e.*"
-    )
+    return parsed.select(
+        "exchange", "market", "arrival_ms", *keep, F.explode(entries.cast(PI_ENTRY)).alias("_e")
+    ).select("exchange", "market", "arrival_ms", *keep, "_e.*")
 
 
-def pi_normalize(readings: DataFrame, received: str = "arrival_ms") -> DataFrame:
+def pi_normalize(readings: DataFrame, received: str = "arrival_ms", keep: Sequence[str] = ()) -> DataFrame:
     """Readings on the common schema; a message time of 0 takes the clock column."""
     message, clock_ms = F.col("message_ms"), F.col(received)
     return readings.select(
@@ -240,6 +245,7 @@ def pi_normalize(readings: DataFrame, received: str = "arrival_ms") -> DataFrame
         "next_funding_time",
         "premium_index",
         clock_ms.alias("received_time"),
+        *keep,
     )
 
 

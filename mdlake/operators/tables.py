@@ -144,21 +144,18 @@ def write_table(
     codec: str = "snappy",
     mode: str = "append",
     max_records_per_file: int = 0,
-    files_per_partition: int = 8,
 ) -> None:
     """Write Parquet under ``column=value`` folders.
 
-    Rows are first spread by the partition columns plus a hash of the whole
-    row, so one hot instrument is written by ``files_per_partition`` tasks and a
-    cold one does not leave a tiny file per task.  AQE merges small partitions.
+    The rebalance hint lets Spark merge the small instruments of a write into
+    few files and split a hot one over many tasks, both by measured size.
     """
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_partition))
     conf = rows.sparkSession.conf
     before = conf.get(MILLIS_CONF)
     conf.set(MILLIS_CONF, "TIMESTAMP_MILLIS")
     try:
         (
-            rows.repartition(*[F.col(c) for c in partition_columns], spread)
+            rows.hint("rebalance", *[F.col(c) for c in partition_columns])
             .write.mode(mode)
             .option("compression", codec)
             .option("maxRecordsPerFile", max_records_per_file)

@@ -422,3 +422,156 @@ def liq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         k.alias("message_id"),
     )
+
+
+# --- telemetry ------------------------------------------------------------------
+
+METRIC_NAMES = [
+    "fobs_raw_buffer_length", "fobs_norm_buffer_length", "fobd_raw_buffer_length", "fobd_norm_buffer_length",
+    "liq_raw_buffer_length", "used_weight", "cpu_percent", "foi_raw_buffer_length", "",
+]
+STAGE_FEEDS = ["fobs", "fobd", "foi", "pi", "liq"]
+
+
+def _present_map(*pairs: tuple[str, Column]) -> Column:
+    """A map without the entries whose value is NULL."""
+    flat = [x for name, value in pairs for x in (F.lit(name), value.cast("string"))]
+    return F.map_filter(F.create_map(*flat), lambda _k, v: v.isNotNull())
+
+
+def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_metric``: one metric event per event, with time run 1000 times faster."""
+    k = F.col("k")
+    unit = F.when(k % 4 == 0, "Percent").when(k % 4 == 1, "COUNT").when(k % 4 == 2, "Bytes")
+    return _events(spark, sf_dir).select(
+        k.alias("event_id"),
+        F.call_function("div", F.col("ms"), F.lit(1000)).alias("ts_ms"),
+        F.col("event_type").alias("component"),
+        pick(k % 9, METRIC_NAMES).alias("name"),
+        F.when(k % 10 == 0, "n/a").otherwise(F.col("v")).alias("value"),
+        F.when(k % 6 == 0, "").otherwise("gauge").alias("type"),
+        _present_map(
+            ("exchange", F.when(k % 2 == 0, "okx").otherwise("")),
+            ("ip", F.when(F.col("u") % 2 == 0, "10.0.0.1").otherwise("10.0.0.2")),
+            ("unit", unit),
+            ("metric", F.when(k % 2 == 0, "reserved")),
+            ("capacity", F.when(k % 5 == 0, (k % 9 + 1) * 1000)),
+        ).alias("fields"),
+    )
+
+
+def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_stage``: one stage outcome per event."""
+    k = F.col("k")
+    return _events(spark, sf_dir).select(
+        k.alias("event_id"),
+        F.call_function("div", F.col("ms"), F.lit(1000)).alias("ts_ms"),
+        pick(k % 5, STAGE_FEEDS).alias("feed"),
+        F.when(F.col("u") % 2 == 0, "raw").otherwise("norm").alias("stage"),
+        F.when(k % 7 == 0, "dropped").otherwise("sent").alias("outcome"),
+        F.when(k % 3 == 0, "").otherwise(F.col("exchange")).alias("exchange"),
+        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("symbol")).alias("symbol"),
+        market_tag(F.col("exchange"), pick(k % 5, STAGE_FEEDS)).alias("market"),
+    )
+
+
+def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_headers``: one API response per event."""
+    k, v, venue = F.col("k"), F.col("v"), F.col("exchange")
+
+    whole = (k % 200).cast("string")
+    binance = _present_map(
+        ("X-MBX-USED-WEIGHT-1M", F.when(k % 3 == 0, v).when(k % 3 == 1, "")),
+        ("X-MBX-USED-WEIGHT", F.when(k % 5 == 0, "bad").when(k % 5 < 3, whole)),
+        ("X-MBX-USED-WEIGHT-1S", F.when(k % 7 < 4, "7.5")),
+    )
+    bybit = _present_map(
+        ("X-Bapi-Limit", F.when(k % 3 == 0, "120-110").when(k % 3 == 1, "\t98 remaining").when(k % 7 == 0, "abc")),
+        ("X-Bapi-Limit-Status", F.when(k % 5 < 3, text("+", whole)).when(k % 5 == 3, "-4")),
+    )
+    okx = _present_map(
+        ("Rate-Limit-Limit", F.when(k % 3 == 0, "12").when(k % 3 == 1, "x")),
+        ("Rate-Limit-Remaining", F.when(k % 5 < 3, (k % 20).cast("string")).when(k % 5 == 3, "-1")),
+        ("Rate-Limit-Reset", F.when(F.col("u") % 2 == 0, "1737043200").when(k % 3 == 0, "1737043200000")),
+        ("Rate-Limit-Interval", F.when(k % 7 == 0, "500ms").when(k % 7 == 1, " 3S ").when(k % 7 == 2, "4").when(k % 7 == 3, "xs")),
+    )
+    return _events(spark, sf_dir).select(
+        k.alias("event_id"),
+        "ms",
+        "exchange",
+        "symbol",
+        F.when(k % 13 == 0, " ").otherwise("10.0.0.1").alias("ip"),
+        F.when(venue == "binance", binance).when(venue == "bybit", bybit).when(venue == "okx", okx).alias("headers"),
+        (k % 3 * 400).alias("limit"),
+        F.when(k % 5 != 4, k % 500).alias("remaining"),
+        ((F.col("u") % 4 - 1) * 5).cast("double").alias("extra"),
+        (F.col("u") * 100 % 20_000).cast("bigint").alias("duration_ms"),
+        F.lit(10_000).cast("bigint").alias("interval_ms"),
+    )
+
+
+def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    return _events(spark, sf_dir).select(
+        k.alias("event_id"),
+        F.col("ms").alias("ts_ms"),
+        F.when(F.col("event_type") == "error", "error").otherwise("info").alias("level"),
+        F.col("event_type").alias("message"),
+        _present_map(
+            ("component", F.when(k % 5 != 0, F.concat(F.col("exchange"), F.lit("_reader")))),
+            ("symbol", F.col("symbol")),
+            ("user", F.col("u")),
+        ).alias("fields"),
+    )
+
+
+def resource_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_resource``: one host sample per event."""
+    k = F.col("k")
+    return _events(spark, sf_dir).select(
+        k.alias("event_id"),
+        F.col("ms").alias("ts_ms"),
+        F.when(k % 13 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("cpu_percent"),
+        (k * 1024).alias("memory_used"),
+        F.lit(1 << 30).cast("bigint").alias("memory_total"),
+        F.when(k % 11 == 0, F.lit(None).cast("double")).otherwise((k % 100).cast("double")).alias("memory_percent"),
+        (k * 4096).alias("disk_used"),
+        F.lit(1 << 40).cast("bigint").alias("disk_total"),
+        ((k % 50) * 2).cast("double").alias("disk_percent"),
+    )
+
+
+# --- symbol lists -----------------------------------------------------------------
+
+
+def allocation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_alloc``: the symbol allocation of one host per customer."""
+    c = F.col("c_custkey")
+
+    def listed(venue: str, *offsets: int) -> Column:
+        return F.array(*[native_symbol(F.lit(venue), c + o) for o in offsets])
+
+    return table(spark, sf_dir, "customer").select(
+        listed("binance", 0, 1).alias("binance"),
+        # The last two bybit and kucoin symbols are never allocated.
+        F.array(native_symbol(F.lit("bybit"), c % 2)).alias("bybit"),
+        F.array(native_symbol(F.lit("kucoin"), c % 2)).alias("kucoin"),
+        F.struct(
+            F.array(native_symbol(F.lit("okx"), c % 2)).alias("snapshot"),
+            F.array(native_symbol(F.lit("okx"), c % 3)).alias("delta"),
+        ).alias("okx"),
+    )
+
+
+def instrument_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_instruments``: instruments listed per supplier, the fourth never."""
+    s = F.col("s_suppkey")
+    exchange = venue_of(s)
+    return table(spark, sf_dir, "supplier").select(
+        exchange.alias("exchange"),
+        native_symbol(exchange, F.call_function("div", s, F.lit(4)) % 3).alias("inst_id"),
+    )
+
+
+def requested_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _headers(spark, sf_dir).select("k", "exchange", "symbol")
