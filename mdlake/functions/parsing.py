@@ -7,6 +7,8 @@ overflowing literal into infinity), so every cast here is guarded.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +66,20 @@ def decode_json(data: Column, ddl: str, renamed: str | None = None) -> Column:
     return parsed.cast(f"STRUCT<{fields}, {CORRUPT}: STRING>")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A filter written over a projected column is pushed below the projection and
+    repeats its expression at every mention; a lambda variable is not repeated.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def one_row_if(value: Column, keep: Callable[[Column], Column]) -> Column:
+    """For ``explode``: a one-element array, or an empty one to drop the row."""
+    return F.filter(F.array(value), keep)
+
+
 def is_clean(parsed: Column) -> Column:
     return parsed.isNotNull() & parsed[CORRUPT].isNull()
 

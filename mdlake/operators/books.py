@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mdlake.functions import clock
-from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_strict
+from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, one_row_if, parse_long, parse_strict
 from mdlake.functions.symbols import canonical_symbol
 
 TEXT_LEVELS = "ARRAY<ARRAY<STRING>>"
@@ -92,8 +92,14 @@ def decode_books(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
     symbol = F.when(venue == "kucoin", canonical_symbol(venue, F.col("symbol"))).otherwise(F.col("symbol"))
     return (
-        parsed.select("exchange", symbol.alias("symbol"), "market", "ts_ms", *keep, book.alias("_book"))
-        .filter(F.col("_book").isNotNull())
+        parsed.select(
+            "exchange",
+            symbol.alias("symbol"),
+            "market",
+            "ts_ms",
+            *keep,
+            F.explode(one_row_if(book, lambda b: b.isNotNull())).alias("_book"),
+        )
         .select("exchange", "symbol", "market", "ts_ms", *keep, "_book.*")
     )
 
@@ -186,9 +192,18 @@ def nested_snapshot(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         canonical_symbol(F.col("exchange"), F.col("symbol")).alias("symbol"),
         F.col("ts_ms").alias("timestamp_ms"),
         "last_update_id",
-        typed_levels(F.col("bids")).alias("bids"),
-        typed_levels(F.col("asks")).alias("asks"),
-    ).filter(F.size("bids") + F.size("asks") > 0)
+        typed_sides("bids", "asks"),
+    ).select("*", "_sides.*").drop("_sides")
+
+
+def typed_sides(bids: str, asks: str, keep_zero: bool = False) -> Column:
+    """Typed arrays of both sides under new names; a message without any valid
+    level gives no row.
+    """
+    both = F.struct(
+        typed_levels(F.col("bids"), keep_zero).alias(bids), typed_levels(F.col("asks"), keep_zero).alias(asks)
+    )
+    return F.explode(one_row_if(both, lambda s: F.size(s[bids]) + F.size(s[asks]) > 0)).alias("_sides")
 
 
 def typed_levels(values: Column, keep_zero: bool = False) -> Column:

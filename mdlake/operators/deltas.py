@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mdlake.functions import clock
-from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_strict, text_or_blank
+from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, one_row_if, parse_long, parse_strict, text_or_blank
 from mdlake.functions.symbols import canonical_symbol
-from mdlake.operators.books import TEXT_LEVELS, explode_sides, no_levels, typed_levels
+from mdlake.operators.books import TEXT_LEVELS, explode_sides, no_levels, typed_sides
 from mdlake.sources.frames import topic_symbol
 
 # Either letter case of the level keys is accepted, as the payload may be
@@ -42,7 +42,8 @@ def _named(values: Column) -> Column:
 
 
 def _full_pairs(values: Column) -> Column:
-    return F.coalesce(F.filter(values, lambda v: F.size(v) >= 2), no_levels())
+    long_enough = F.filter(values, lambda v: F.size(v) >= 2)
+    return F.coalesce(F.transform(long_enough, lambda v: F.slice(v, 1, 2)), no_levels())
 
 
 def parse_change(change: Column) -> Column:
@@ -156,8 +157,13 @@ def decode_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         )
     )
     return (
-        parsed.select("exchange", "market", "received_time", *keep, delta.alias("_delta"))
-        .filter(F.col("_delta").isNotNull())
+        parsed.select(
+            "exchange",
+            "market",
+            "received_time",
+            *keep,
+            F.explode(one_row_if(delta, lambda d: d.isNotNull())).alias("_delta"),
+        )
         .select("exchange", "market", "received_time", *keep, "_delta.*")
     )
 
@@ -205,8 +211,8 @@ def nested_delta(raw: DataFrame) -> DataFrame:
             canonical_symbol(F.col("exchange"), F.col("symbol")).alias("symbol"),
             F.col("event_time").alias("timestamp_ms"),
             "update_id",
-            typed_levels(F.col("bids"), keep_zero=True).alias("bid_updates"),
-            typed_levels(F.col("asks"), keep_zero=True).alias("ask_updates"),
+            typed_sides("bid_updates", "ask_updates", keep_zero=True),
         )
-        .filter(F.size("bid_updates") + F.size("ask_updates") > 0)
+        .select("*", "_sides.*")
+        .drop("_sides")
     )

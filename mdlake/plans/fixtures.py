@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mdlake.functions.clock import epoch_ms
+from mdlake.functions.parsing import let
 from mdlake.sources.landing import VENUES, market_tag
 
 # The native symbols of each venue, in list order.
@@ -55,61 +56,59 @@ def text(*parts: Column | str) -> Column:
 
 def broken(key: Column, data: Column) -> Column:
     """Cut off the end of the text of every 97th message."""
-    return F.when(key % 97 == 0, F.substring(data, F.lit(1), F.length(data) - 5)).otherwise(data)
-
-
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = F.col("l_partkey")
-    rule = (
-        F.when(part % 10 == 0, "zero")
-        .when(part % 17 == 0, "word")
-        .when(part % 19 == 0, "suffix")
-        .when(part % 23 == 0, "short")
-        .otherwise("ok")
-    )
-    price = F.when(F.col("rule") == "word", "abc").when(F.col("rule") == "suffix", "1.5d")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .withColumn("rule", rule)
-        .select(
-            "l_orderkey",
-            "l_partkey",
-            "l_returnflag",
-            F.struct(
-                "l_linenumber", "l_extendedprice", "l_quantity", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"
-            ).alias("rank"),
-            F.when(F.col("l_returnflag") == "N", "bid").otherwise("ask").alias("side"),
-            "rule",
-            F.coalesce(price, dec(F.col("l_extendedprice"))).alias("p"),
-            F.when(F.col("rule") == "zero", "0.00").otherwise(dec(F.col("l_quantity"))).alias("q"),
-        )
-    )
+    return let(data, lambda d: F.when(key % 97 == 0, F.substring(d, F.lit(1), F.length(d) - 5)).otherwise(d))
 
 
 def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message head per order: key, venue, native symbol and arrival."""
     key = F.col("o_orderkey")
     exchange = venue_of(key)
     return table(spark, sf_dir, "orders").select(
         key.alias("k"),
+        F.col("o_custkey").alias("c"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
         exchange.alias("exchange"),
         native_symbol(exchange, F.col("o_custkey")).alias("symbol"),
         (F.col("o_orderdate") + F.make_dt_interval(secs=(key % 86400).cast("decimal(18,6)"))).alias("ts"),
     )
 
 
+def _money(cents: Column) -> Column:
+    return text(F.call_function("div", cents, F.lit(100)), ".", F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
+def _level(side: str, i: Column) -> Column:
+    """The i-th level of a side, from the order's total and customer."""
+    mark = F.col("k") * 7 + i * 3 + (0 if side == "bid" else 1)
+    rule = (
+        F.when(mark % 10 == 0, "zero")
+        .when(mark % 17 == 0, "word")
+        .when(mark % 19 == 0, "suffix")
+        .when(mark % 23 == 0, "short")
+        .otherwise("ok")
+    )
+    cents = F.col("cents") + i * (-7 if side == "bid" else 7)
+    price = F.when(rule == "word", "abc").when(rule == "suffix", "1.5d").otherwise(_money(cents))
+    quantity = F.when(rule == "zero", "0.00").otherwise(text((F.col("c") + i) % 50 + 1, ".00"))
+    return F.struct(rule.alias("rule"), price.alias("p"), quantity.alias("q"))
+
+
+def _levels(side: str) -> Column:
+    """Up to five levels; some sides are empty."""
+    depth = (F.col("k") + 1) % 6 if side == "bid" else F.col("c") % 5
+    numbers = F.filter(F.sequence(F.lit(1), F.lit(5)), lambda i: i <= depth)
+    return F.transform(numbers, lambda i: _level(side, i.cast("bigint")))
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with its lines in level order (13 at most)."""
-    lines = (
-        _lines(spark, sf_dir)
-        .groupBy(F.col("l_orderkey").alias("k"))
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "side", "rule", "p", "q"))).alias("lines"))
+    """Message heads with the levels of both sides, one row per order."""
+    return _headers(spark, sf_dir).select(
+        "*", epoch_ms(F.col("ts")).alias("ms"), _levels("bid").alias("bid"), _levels("ask").alias("ask")
     )
-    return lines.join(_headers(spark, sf_dir), "k").withColumn("ms", epoch_ms(F.col("ts")))
 
 
 def _side(side: str, render) -> Column:
-    chosen = F.filter(F.col("lines"), lambda x: x["side"] == side)
-    return F.concat(F.lit("["), F.array_join(F.transform(chosen, render), ","), F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.transform(F.col(side), render), ","), F.lit("]"))
 
 
 def _text_level(x: Column) -> Column:
@@ -151,21 +150,22 @@ def book_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_book``: one raw snapshot per order."""
     k, ms, venue = F.col("k"), F.col("ms"), F.col("exchange")
     second = F.when(k % 5 == 0, ',{"bids":[["9","9"]],"asks":[],"ts":"1"}').otherwise("")
+    bids, asks = _side("bid", _text_level), _side("ask", _text_level)
     data = (
-        F.when(
-            venue == "binance",
-            text('{"lastUpdateId":', _typed_id(k), ',"bids":', _side("bid", _text_level), ',"asks":', _side("ask", _text_level), "}"),
-        )
-        .when(
-            venue == "bybit",
-            text('{"result":{"s":"X","u":', _typed_id(k), ',"b":', _side("bid", _text_level), ',"a":', _side("ask", _text_level), "}}"),
-        )
+        F.when(venue == "binance", text('{"lastUpdateId":', _typed_id(k), ',"bids":', bids, ',"asks":', asks, "}"))
+        .when(venue == "bybit", text('{"result":{"s":"X","u":', _typed_id(k), ',"b":', bids, ',"a":', asks, "}}"))
         .when(
             venue == "kucoin",
-            text('{"sequence":', _typed_id(k), ',"bids":', _side("bid", _number_level), ',"asks":', _side("ask", _number_level), "}"),
+            text(
+                '{"sequence":', _typed_id(k), ',"bids":', _side("bid", _number_level),
+                ',"asks":', _side("ask", _number_level), "}",
+            ),
         )
         .otherwise(
-            text('{"code":"0","data":[{"bids":', _side("bid", _deep_level), ',"asks":', _side("ask", _deep_level), ',"ts":', _okx_ts(ms), "}", second, "]}")
+            text(
+                '{"code":"0","data":[{"bids":', _side("bid", _deep_level), ',"asks":', _side("ask", _deep_level),
+                ',"ts":', _okx_ts(ms), "}", second, "]}",
+            )
         )
     )
     return _messages(spark, sf_dir).select(
@@ -180,29 +180,30 @@ def book_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _kucoin_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """kucoin sends one change per message, so one message per line."""
-    word = F.when(F.col("side") == "bid", "buy").otherwise("sell")
-    number = F.col("rank.l_linenumber")
+def _kucoin_delta() -> Column:
+    """kucoin sends one change per message, so one level of one side."""
+    k, c, ms = F.col("k"), F.col("c"), F.col("ms")
+    is_bid = F.call_function("div", k, F.lit(4)) % 2 == 0
+    word = F.when(is_bid, "buy").otherwise("sell")
+    one = F.lit(1).cast("bigint")
+
+    def part(name: str) -> Column:
+        return F.when(is_bid, _level("bid", one)[name]).otherwise(_level("ask", one)[name])
+
     change = (
-        F.when(F.col("l_partkey") % 29 == 0, "")
-        .when(F.col("rule") == "short", F.concat_ws(",", "p", word))
-        .when(number % 2 == 0, F.concat_ws(" , ", word, "p", "q"))
-        .otherwise(F.concat_ws(",", "p", word, "q"))
+        F.when(k % 29 == 0, "")
+        .when(part("rule") == "short", F.concat_ws(",", part("p"), word))
+        .when(c % 2 == 0, F.concat_ws(" , ", word, part("p"), part("q")))
+        .otherwise(F.concat_ws(",", part("p"), word, part("q")))
     )
-    k, ms = F.col("k"), F.col("ms")
-    data = text(
+    return text(
         '{"topic":"/contractMarket/level2:', F.col("symbol"), '","subject":"level2","data":{"sequence":',
-        _typed_id(k * 10 + number), ',"change":"', change, '","timestamp":', ms - 7, "}}",
-    )
-    joined = _lines(spark, sf_dir).withColumnRenamed("l_orderkey", "k").join(
-        _headers(spark, sf_dir).filter(F.col("exchange") == "kucoin"), "k"
+        _typed_id(k * 10), ',"change":"', change, '","timestamp":', ms - 7, "}}",
     )
-    return joined.withColumn("ms", epoch_ms(F.col("ts"))).select("k", "exchange", "symbol", "ts", data.alias("data"))
 
 
 def delta_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fx_delta``: one raw delta per order (per line for kucoin)."""
+    """``fx_delta``: one raw delta per order."""
     k, ms, venue, symbol = F.col("k"), F.col("ms"), F.col("exchange"), F.col("symbol")
 
     def binance(lower: bool) -> Column:
@@ -222,25 +223,22 @@ def delta_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _side("bid", _text_level), ',"a":', _side("ask", _text_level), ',"u":', k, ',"seq":', _typed_id(k * 2), "}}",
             ),
         )
+        .when(venue == "kucoin", _kucoin_delta())
         .otherwise(
             text(
-                '{"arg":{"channel":"books","instId":"', symbol, '"},"action":"update","data":[{"bids":', _side("bid", _deep_level),
-                ',"asks":', _side("ask", _deep_level), ',"ts":', _okx_ts(ms - 7), "}]}",
+                '{"arg":{"channel":"books","instId":"', symbol, '"},"action":"update","data":[{"bids":',
+                _side("bid", _deep_level), ',"asks":', _side("ask", _deep_level), ',"ts":', _okx_ts(ms - 7), "}]}",
             )
         )
     )
-    whole = _messages(spark, sf_dir).filter(venue != "kucoin").select("k", "exchange", "symbol", "ts", data.alias("data"))
-    return (
-        whole.unionByName(_kucoin_changes(spark, sf_dir))
-        .select(
-            F.lit("fobd").alias("feed"),
-            "exchange",
-            "symbol",
-            market_tag(venue, F.lit("fobd")).alias("market"),
-            broken(k, F.col("data")).alias("data"),
-            "ts",
-            k.alias("message_id"),
-        )
+    return _messages(spark, sf_dir).select(
+        F.lit("fobd").alias("feed"),
+        "exchange",
+        "symbol",
+        market_tag(venue, F.lit("fobd")).alias("market"),
+        broken(k, data).alias("data"),
+        "ts",
+        k.alias("message_id"),
     )
 
 
@@ -363,62 +361,70 @@ def pi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def liq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fx_liq``: forced orders; per line (binance, kucoin) or per (order, flag)."""
-    k, ms, venue, symbol = F.col("k"), F.col("ms"), F.col("exchange"), F.col("symbol")
-    number, flag = F.col("rank.l_linenumber"), F.col("l_returnflag")
-    heads = _headers(spark, sf_dir).withColumn("ms", epoch_ms(F.col("ts")))
-    lines = _lines(spark, sf_dir).withColumnRenamed("l_orderkey", "k")
+    """``fx_liq``: one forced-order message per line, nested for bybit and okx."""
+    key, part, flag = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_returnflag")
+    venue = venue_of(key)
+    price = F.when(part % 17 == 0, "abc").when(part % 19 == 0, "1.5d").otherwise(dec(F.col("l_extendedprice")))
+    heads = table(spark, sf_dir, "lineitem").select(
+        key.alias("k"),
+        part.alias("part"),
+        flag.alias("flag"),
+        F.col("l_linenumber").alias("number"),
+        venue.alias("exchange"),
+        native_symbol(venue, F.col("l_suppkey")).alias("symbol"),
+        (F.col("l_shipdate") + F.make_dt_interval(secs=(key % 86400).cast("decimal(18,6)"))).alias("ts"),
+        price.alias("p"),
+        F.when(part % 10 == 0, "0.00").otherwise(dec(F.col("l_quantity"))).alias("q"),
+    )
+    lines = heads.select("*", epoch_ms(F.col("ts")).alias("ms"))
+
+    k, ms, venue, symbol, number, p, q = (F.col(c) for c in ("k", "ms", "exchange", "symbol", "number", "p", "q"))
+    flag = F.col("flag")
     trade = F.when(k % 7 == 0, 0).otherwise(ms + number)
     sent = F.when(k % 5 == 0, 0).otherwise(ms)
     boolean = F.when(number % 2 == 0, "true").otherwise("false")
     binance = text(
         '{"e":"forceOrder","E":', sent, ',"o":{"s":"', symbol, '","S":"', F.when(flag == "R", "SELL").otherwise("BUY"),
-        '","o":"LIMIT","f":"IOC","q":"', F.col("q"), '","p":"', F.col("p"), '","ap":"', F.when(flag == "A", "").otherwise(F.col("q")),
-        '","X":"FILLED","l":"', F.col("q"), '","z":"', F.col("q"), '","T":', trade, ',"L":"', F.col("p"), '","t":', F.col("l_partkey"),
-        ',"b":"0","a":"0","m":', boolean, ',"R":false,"wt":"CONTRACT_PRICE","ot":"LIMIT","ps":"LONG","cp":', boolean, ',"rp":"-', F.col("q"), '"}}',
+        '","o":"LIMIT","f":"IOC","q":"', q, '","p":"', p, '","ap":"', F.when(flag == "A", "").otherwise(q),
+        '","X":"FILLED","l":"', q, '","z":"', q, '","T":', trade, ',"L":"', p, '","t":', F.col("part"),
+        ',"b":"0","a":"0","m":', boolean, ',"R":false,"wt":"CONTRACT_PRICE","ot":"LIMIT","ps":"LONG","cp":', boolean,
+        ',"rp":"-', q, '"}}',
     )
+    stamp = F.when(number == 2, 0).when(number == 4, F.floor(ms / 1000)).when(number == 6, ms).otherwise(ms * 1_000_000)
     kucoin = text(
-        '{"topic":"/contractMarket/execution:', symbol, '","subject":"', F.when(number % 2 == 0, "Liquidation").otherwise("match"),
-        '","data":{"symbol":"', F.lower(symbol), '","side":"sell","size":"', F.col("q"), '","price":"1","ts":',
-        F.when(number == 2, 0).when(number == 4, F.floor(ms / 1000)).when(number == 6, ms).otherwise(ms * 1_000_000), "}}",
-    )
-    single = lines.join(heads.filter(venue.isin("binance", "kucoin")), "k").select(
-        "k", "exchange", "symbol", "ts", F.when(venue == "binance", binance).otherwise(kucoin).alias("data")
-    )
-    grouped = (
-        lines.groupBy("k", "l_returnflag")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "p", "q"))).alias("lines"))
-        .join(heads.filter(venue.isin("bybit", "okx")), "k")
+        '{"topic":"/contractMarket/execution:', symbol, '","subject":"',
+        F.when(k % 3 == 0, "match").otherwise("Liquidation"), '","data":{"symbol":"', F.lower(symbol),
+        '","side":"sell","size":"', q, '","price":"1","ts":', stamp, "}}",
     )
     word = F.when(flag == "R", "Sell").when(flag == "A", "Buy").otherwise("None")
-    bybit = F.transform(
-        F.col("lines"),
-        lambda x: text('{"T":', ms + x["rank"]["l_linenumber"], ',"s":"', symbol, '","S":"', word, '","v":"', x["q"], '","p":"', x["p"], '"}'),
-    )
-    okx = F.transform(
-        F.col("lines"),
-        lambda x: text(
-            '{"bkLoss":"0","bkPx":"', x["p"], '","ccy":"","posSide":"', F.when(flag == "R", "long").otherwise("short"), '","side":"',
-            F.lower(word), '","sz":"', x["q"], '","ts":"', F.when(k % 11 == 0, "x").otherwise((ms + x["rank"]["l_linenumber"]).cast("string")), '"}',
-        ),
-    )
+
+    def bybit_record(at: Column, size: Column | str) -> Column:
+        return text('{"T":', at, ',"s":"', symbol, '","S":"', word, '","v":"', size, '","p":"', p, '"}')
+
+    def okx_detail(at: Column, size: Column | str) -> Column:
+        return text(
+            '{"bkLoss":"0","bkPx":"', p, '","ccy":"","posSide":"', F.when(flag == "R", "long").otherwise("short"),
+            '","side":"', F.lower(word), '","sz":"', size, '","ts":"', F.when(k % 11 == 0, "x").otherwise(at.cast("string")), '"}',
+        )
+
+    def pair(make) -> Column:
+        more = F.when(number % 2 == 0, F.concat(F.lit(","), make(ms + 1, "2.50"))).otherwise("")
+        return F.concat(make(ms + number, q), more)
+
     family = F.lower(F.replace(symbol, F.lit("-SWAP"), F.lit("")))
-    named = F.when(k % 3 == 0, "").otherwise(family)
-    whole = grouped.select(
-        "k",
-        "exchange",
-        "symbol",
-        "ts",
-        F.when(venue == "bybit", text('{"topic":"allLiquidation.', symbol, '","type":"snapshot","ts":', ms, ',"data":[', F.array_join(bybit, ","), "]}"))
-        .otherwise(text('{"arg":{"channel":"liquidation-orders","instType":"SWAP"},"data":[{"details":[', F.array_join(okx, ","), '],"instFamily":"', named, '","instId":"', symbol, '","uly":"', family, '"}]}'))
-        .alias("data"),
-    )
-    return single.unionByName(whole).select(
+    extra = F.when(flag == "R", text(',{"details":[', okx_detail(ms, q), '],"uly":"doge-usdt"}')).otherwise("")
+    okx = text(
+        '{"arg":{"channel":"liquidation-orders","instType":"SWAP"},"data":[{"details":[', pair(okx_detail),
+        '],"instFamily":"', F.when(k % 3 == 0, "").otherwise(family), '","instId":"', symbol, '","uly":"', family, '"}', extra, "]}",
+    )
+    bybit = text('{"topic":"allLiquidation.', symbol, '","type":"snapshot","ts":', ms, ',"data":[', pair(bybit_record), "]}")
+    data = F.when(venue == "binance", binance).when(venue == "bybit", bybit).when(venue == "kucoin", kucoin).otherwise(okx)
+    return lines.select(
         F.lit("liq").alias("feed"),
         "exchange",
         "symbol",
         market_tag(venue, F.lit("liq")).alias("market"),
-        broken(k, F.col("data")).alias("data"),
+        broken(k, data).alias("data"),
         "ts",
         k.alias("message_id"),
     )
@@ -505,7 +511,7 @@ def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 3 * 400).alias("limit"),
         F.when(k % 5 != 4, k % 500).alias("remaining"),
         ((F.col("u") % 4 - 1) * 5).cast("double").alias("extra"),
-        (F.col("u") * 100 % 20_000).cast("bigint").alias("duration_ms"),
+        (F.col("u") * 1000 % 20_000).cast("bigint").alias("duration_ms"),
         F.lit(10_000).cast("bigint").alias("interval_ms"),
     )
 

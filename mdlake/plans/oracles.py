@@ -22,32 +22,32 @@ ABSENT = "CAST(-62135596800000 AS BIGINT)"
 # --- building blocks -----------------------------------------------------------
 
 HDR = f"""hdr AS (
-  SELECT o_orderkey AS k, {VENUES}[o_orderkey % 4 + 1] AS exchange,
+  SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, {VENUES}[o_orderkey % 4 + 1] AS exchange,
          {NATIVE}[(o_orderkey % 4) * 4 + o_custkey % 4 + 1] AS native,
          {CANONICAL}[(o_orderkey % 4) * 4 + o_custkey % 4 + 1] AS symbol,
          epoch_us(o_orderdate) // 1000 + (o_orderkey % 86400) * 1000 AS ms
   FROM orders)"""
 
-LIN = """lin AS (
-  SELECT l_orderkey AS k, l_partkey AS pk, l_returnflag AS flag, l_linenumber AS ln,
-         CASE WHEN l_returnflag = 'N' THEN 'bid' ELSE 'ask' END AS side,
-         CASE WHEN l_partkey % 10 = 0 THEN 'zero' WHEN l_partkey % 17 = 0 THEN 'word'
-              WHEN l_partkey % 19 = 0 THEN 'suffix' WHEN l_partkey % 23 = 0 THEN 'short' ELSE 'ok' END AS rule,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS dp, CAST(l_quantity AS DECIMAL(18,2)) AS dq,
-         CAST(row_number() OVER (PARTITION BY l_orderkey, l_returnflag = 'N'
-              ORDER BY l_linenumber, l_extendedprice, l_quantity, l_partkey, l_suppkey, l_returnflag, l_shipdate)
-              AS INTEGER) AS level
-  FROM lineitem),
+LIN = """lv0 AS (
+  SELECT hdr.*, side, i AS level, k * 7 + i * 3 + CASE side WHEN 'bid' THEN 0 ELSE 1 END AS mark,
+         cents + i * CASE side WHEN 'bid' THEN -7 ELSE 7 END AS pc, (c + i) % 50 + 1 AS qi
+  FROM hdr, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS i) n, (VALUES ('bid'), ('ask')) s(side)),
 lv AS (
-  SELECT *, CASE rule WHEN 'word' THEN 'abc' WHEN 'suffix' THEN '1.5d' ELSE CAST(dp AS VARCHAR) END AS pt,
-         CASE WHEN rule = 'zero' THEN '0.00' ELSE CAST(dq AS VARCHAR) END AS qt,
-         CASE WHEN rule IN ('word', 'suffix') THEN NULL ELSE CAST(dp AS DOUBLE) END AS price,
-         CASE WHEN rule = 'zero' THEN CAST(0 AS DOUBLE) ELSE CAST(dq AS DOUBLE) END AS quantity
-  FROM lin)"""
+  SELECT * REPLACE (CASE WHEN rule = 'word' THEN 'abc' WHEN rule = 'suffix' THEN '1.5d' ELSE pt END AS pt),
+         CASE WHEN rule IN ('word', 'suffix') THEN NULL ELSE CAST(pc AS DOUBLE) / 100 END AS price,
+         CASE WHEN rule = 'zero' THEN '0.00' ELSE qi || '.00' END AS qt,
+         CASE WHEN rule = 'zero' THEN 0.0::DOUBLE ELSE CAST(qi AS DOUBLE) END AS quantity,
+         CAST(pc AS DECIMAL(18,2)) / 100 AS dp
+  FROM (SELECT *, CASE WHEN mark % 10 = 0 THEN 'zero' WHEN mark % 17 = 0 THEN 'word' WHEN mark % 19 = 0 THEN 'suffix'
+                       WHEN mark % 23 = 0 THEN 'short' ELSE 'ok' END AS rule,
+               (pc // 100) || '.' || lpad(CAST(pc % 100 AS VARCHAR), 2, '0') AS pt FROM lv0))"""
 
 MSG = f"""{HDR}, {LIN},
-lines AS (SELECT * FROM lv JOIN hdr USING (k)),
-good AS (SELECT * FROM lines WHERE k % 97 <> 0 AND (k % 89 <> 0 OR exchange = 'okx'))"""
+lines AS (SELECT * FROM lv WHERE level <= CASE side WHEN 'bid' THEN (k + 1) % 6 ELSE c % 5 END),
+heads AS (SELECT * FROM hdr WHERE k % 97 <> 0 AND (k % 89 <> 0 OR exchange = 'okx')),
+good AS (SELECT * FROM lines WHERE k % 97 <> 0 AND (k % 89 <> 0 OR exchange = 'okx')),
+changes AS (SELECT * FROM lv WHERE exchange = 'kucoin' AND level = 1 AND side = CASE WHEN k // 4 % 2 = 0 THEN 'bid' ELSE 'ask' END
+            AND k % 97 <> 0 AND k % 89 <> 0)"""
 
 BOOK = f"""{MSG}, book AS (
   SELECT k, exchange, symbol, {BOOK_MARKET} AS market, ms AS ts_ms,
@@ -58,15 +58,15 @@ BOOK = f"""{MSG}, book AS (
 DELTA = f"""{MSG}, delta AS (
   SELECT k, exchange, {DELTA_MARKET} AS market, symbol,
          CASE WHEN exchange = 'okx' AND k % 89 = 0 THEN 0 ELSE ms - 7 END AS event_time,
-         CASE exchange WHEN 'binance' THEN k + 1 WHEN 'bybit' THEN k * 2 WHEN 'kucoin' THEN k * 10 + ln
+         CASE exchange WHEN 'binance' THEN k + 1 WHEN 'bybit' THEN k * 2 WHEN 'kucoin' THEN k * 10
               ELSE CASE WHEN k % 89 = 0 THEN 0 ELSE ms - 7 END END AS update_id,
-         CASE exchange WHEN 'binance' THEN k - 1 WHEN 'bybit' THEN k * 2 - 1 WHEN 'kucoin' THEN k * 10 + ln - 1
+         CASE exchange WHEN 'binance' THEN k - 1 WHEN 'bybit' THEN k * 2 - 1 WHEN 'kucoin' THEN k * 10 - 1
               ELSE CASE WHEN k % 89 = 0 THEN 0 ELSE ms - 7 END END AS prev_update_id,
-         CASE exchange WHEN 'binance' THEN k WHEN 'bybit' THEN k * 2 WHEN 'kucoin' THEN k * 10 + ln
+         CASE exchange WHEN 'binance' THEN k WHEN 'bybit' THEN k * 2 WHEN 'kucoin' THEN k * 10
               ELSE CASE WHEN k % 89 = 0 THEN 0 ELSE ms - 7 END END AS first_update_id,
          side, price, quantity, ms AS received_time, level
-  FROM good
-  WHERE rule <> 'short' AND price IS NOT NULL AND NOT (exchange = 'kucoin' AND pk % 29 = 0))"""
+  FROM (SELECT * FROM good WHERE exchange <> 'kucoin' UNION ALL SELECT * FROM changes WHERE k % 29 <> 0)
+  WHERE rule <> 'short' AND price IS NOT NULL)"""
 
 EV = f"""ev AS (
   SELECT event_id AS k, epoch_us(ts) // 1000 AS ms, user_id AS u, event_type, value,
@@ -120,27 +120,39 @@ pin AS (
          index_price, estimated_settle_price, funding_rate, next_funding_time, premium_index, arrival_ms AS received_time
   FROM pie)"""
 
-LIQ = f"""{HDR}, {LIN},
+FORCED = f"""fl AS (
+  SELECT l_orderkey AS k, l_partkey AS pk, l_returnflag AS flag, l_linenumber AS ln, {VENUES}[l_orderkey % 4 + 1] AS exchange,
+         {NATIVE}[(l_orderkey % 4) * 4 + l_suppkey % 4 + 1] AS native,
+         epoch_us(l_shipdate) // 1000 + (l_orderkey % 86400) * 1000 AS ms,
+         CASE WHEN l_partkey % 17 = 0 OR l_partkey % 19 = 0 THEN 0.0::DOUBLE ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) END AS price,
+         CASE WHEN l_partkey % 10 = 0 THEN '0.00' ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS qt
+  FROM lineitem)"""
+
+LIQ = f"""{FORCED},
+parts AS (
+  SELECT *, CAST(qt AS DOUBLE) AS quantity, ms + ln AS made, 'own' AS part FROM fl
+  UNION ALL SELECT *, 2.5::DOUBLE, ms + 1, 'own' FROM fl WHERE exchange IN ('bybit', 'okx') AND ln % 2 = 0
+  UNION ALL SELECT *, CAST(qt AS DOUBLE), ms, 'extra' FROM fl WHERE exchange = 'okx' AND flag = 'R'),
 liq AS (
-  SELECT k, exchange,
-         CASE exchange WHEN 'okx' THEN replace(native, '-SWAP', '') ELSE native END AS symbol,
+  SELECT exchange,
+         CASE WHEN part = 'extra' THEN 'DOGE-USDT' WHEN exchange = 'okx' THEN replace(native, '-SWAP', '') ELSE native END AS symbol,
          CASE WHEN exchange = 'binance' THEN CASE WHEN flag = 'R' THEN 'SELL' ELSE 'BUY' END
               ELSE CASE flag WHEN 'R' THEN 'SELL' WHEN 'A' THEN 'BUY' ELSE 'NONE' END END AS side,
          CASE exchange WHEN 'binance' THEN 'LONG' WHEN 'bybit' THEN '' ELSE CASE WHEN flag = 'R' THEN 'LONG' ELSE 'SHORT' END END AS position_side,
          CASE WHEN exchange = 'binance' THEN 'LIMIT' ELSE 'LIQUIDATION' END AS order_type,
          CASE exchange WHEN 'binance' THEN CASE WHEN k % 5 <> 0 THEN ms WHEN k % 7 = 0 THEN 0 ELSE ms + ln END
-              WHEN 'bybit' THEN ms + ln ELSE CASE WHEN k % 11 = 0 THEN 0 ELSE ms + ln END END AS time_ms,
-         quantity, coalesce(price, 0) AS price,
+              WHEN 'bybit' THEN made ELSE CASE WHEN k % 11 = 0 THEN 0 ELSE made END END AS time_ms,
+         quantity, price,
          CASE WHEN exchange = 'binance' AND flag <> 'A' THEN quantity ELSE 0 END AS avg_price,
          CASE WHEN exchange = 'binance' THEN quantity ELSE 0 END AS last_qty,
-         CASE WHEN exchange = 'binance' THEN coalesce(price, 0) ELSE 0 END AS last_price,
+         CASE WHEN exchange = 'binance' THEN price ELSE 0 END AS last_price,
          CASE WHEN exchange = 'binance' THEN pk ELSE 0 END AS trade_id,
          exchange = 'binance' AND ln % 2 = 0 AS is_maker, false AS is_reduce_only,
          CASE WHEN exchange = 'binance' THEN 'CONTRACT_PRICE' ELSE '' END AS working_type,
          CASE WHEN exchange = 'binance' THEN 'LIMIT' ELSE '' END AS original_type,
          exchange = 'binance' AND ln % 2 = 0 AS close_all,
          CASE WHEN exchange = 'binance' THEN CAST('-' || qt AS DOUBLE) ELSE 0 END AS realized_pnl
-  FROM lv JOIN hdr USING (k) WHERE exchange <> 'kucoin' AND k % 97 <> 0)"""
+  FROM parts WHERE exchange <> 'kucoin' AND k % 97 <> 0)"""
 
 MET = f"""{EV}, met AS (
   SELECT k AS event_id, ms // 1000 AS ts_ms, event_type AS component,
@@ -216,60 +228,50 @@ def utc(ms: str, form: str) -> str:
     return f"strftime(make_timestamp(({ms}) * 1000), '{form}')"
 
 
-def book_text(venue: str, side: str) -> str:
-    if venue == "kucoin":
-        def trim(d: str) -> str:
-            return rf"regexp_replace(CAST({d} AS VARCHAR), '\.?0+$', '')"
-        p = f"CASE WHEN rule IN ('word', 'suffix') THEN '0' ELSE {trim('dp')} END"
-        q = f"CASE WHEN rule = 'zero' THEN '0' ELSE {trim('dq')} END"
-        level = f"CASE WHEN rule = 'short' THEN '' ELSE ({p}) || '@' || ({q}) END"
-    else:
-        short = "''" if venue == "okx" else "pt"
-        level = f"CASE WHEN rule = 'short' THEN {short} ELSE pt || '@' || qt END"
-    return f"coalesce(string_agg({level}, ';' ORDER BY level) FILTER (WHERE side = '{side}'), '')"
+def side_text(level: str, side: str, kept: str = "true") -> str:
+    """The levels of one side of message ``h`` as one text, and their number."""
+    name = f"{side}s"
+    shown = f"l.side = '{side}' AND {kept}"
+    return f"""CAST(count(*) FILTER (WHERE {shown}) AS INTEGER) AS n_{name},
+       coalesce(string_agg({level}, ';' ORDER BY l.level) FILTER (WHERE {shown}), '') AS {name}"""
 
 
 def decode_book(venue: str) -> str:
-    symbol = "symbol" if venue == "kucoin" else "native"
-    update = "CASE WHEN k % 89 = 0 THEN 0 ELSE ms END" if venue == "okx" else "k"
+    symbol = "h.symbol" if venue == "kucoin" else "h.native"
+    update = "CASE WHEN h.k % 89 = 0 THEN 0 ELSE h.ms END" if venue == "okx" else "h.k"
+    if venue == "kucoin":
+        # Shortest decimal text: no trailing zeros.
+        price = r"CASE WHEN rule IN ('word', 'suffix') THEN '0' ELSE regexp_replace(pt, '\.?0+$', '') END"
+        level = f"CASE WHEN rule = 'short' THEN '' ELSE ({price}) || '@' || CASE WHEN rule = 'zero' THEN '0' ELSE CAST(qi AS VARCHAR) END END"
+    else:
+        level = f"CASE WHEN rule = 'short' THEN {chr(39) * 2 if venue == 'okx' else 'pt'} ELSE pt || '@' || qt END"
+    # Only okx drops a message without any level.
+    empty = "HAVING count(l.side) > 0" if venue == "okx" else ""
+    market = BOOK_MARKET.replace("exchange", "h.exchange")
     return f"""WITH {MSG}
-SELECT exchange, {symbol} AS symbol, {BOOK_MARKET} AS market, ms AS ts_ms, {update} AS last_update_id,
-       CAST(count(*) FILTER (WHERE side = 'bid') AS INTEGER) AS n_bids, CAST(count(*) FILTER (WHERE side = 'ask') AS INTEGER) AS n_asks,
-       {book_text(venue, 'bid')} AS bids, {book_text(venue, 'ask')} AS asks
-FROM good WHERE exchange = '{venue}' GROUP BY k, exchange, native, symbol, ms"""
+SELECT h.exchange, {symbol} AS symbol, {market} AS market, h.ms AS ts_ms, {update} AS last_update_id,
+       {side_text(level, 'bid')}, {side_text(level, 'ask')}
+FROM heads h LEFT JOIN good l USING (k) WHERE h.exchange = '{venue}' GROUP BY h.k, h.exchange, h.native, h.symbol, h.ms {empty}"""
 
 
 def decode_delta(venue: str) -> str:
-    bad = "k % 89 = 0"
-    event = f"CASE WHEN {bad} THEN 0 ELSE ms - 7 END" if venue == "okx" else "ms - 7"
+    event = "CASE WHEN h.k % 89 = 0 THEN 0 ELSE h.ms - 7 END" if venue == "okx" else "h.ms - 7"
     ids = {
-        "binance": ("k + 1", "k - 1", "k"),
-        "bybit": ("k * 2", "k * 2 - 1", "k * 2"),
-        "kucoin": ("k * 10 + ln", "k * 10 + ln - 1", "k * 10 + ln"),
+        "binance": ("h.k + 1", "h.k - 1", "h.k"),
+        "bybit": ("h.k * 2", "h.k * 2 - 1", "h.k * 2"),
+        "kucoin": ("h.k * 10", "h.k * 10 - 1", "h.k * 10"),
         "okx": (event, event, event),
     }[venue]
-    symbol = "symbol" if venue == "kucoin" else "native"
-    head = f"""SELECT exchange, {DELTA_MARKET} AS market, {symbol} AS symbol, ms AS received_time, {event} AS event_time,
-       {ids[0]} AS update_id, {ids[1]} AS prev_update_id, {ids[2]} AS first_update_id,"""
-    if venue == "kucoin":
-        shown = "rule <> 'short' AND pk % 29 <> 0"
-        return f"""WITH {MSG}
-{head}
-       CASE WHEN {shown} AND side = 'bid' THEN 1 ELSE 0 END AS n_bids, CASE WHEN {shown} AND side = 'ask' THEN 1 ELSE 0 END AS n_asks,
-       CASE WHEN {shown} AND side = 'bid' THEN pt || '@' || qt ELSE '' END AS bids,
-       CASE WHEN {shown} AND side = 'ask' THEN pt || '@' || qt ELSE '' END AS asks
-FROM good WHERE exchange = 'kucoin'"""
-    kept = "true" if venue == "binance" else "rule <> 'short'"
+    symbol = "h.symbol" if venue == "kucoin" else "h.native"
+    lines = "changes" if venue == "kucoin" else "good"
+    kept = {"binance": "true", "kucoin": "rule <> 'short' AND h.k % 29 <> 0"}.get(venue, "rule <> 'short'")
     level = "CASE WHEN rule = 'short' THEN pt || '@' ELSE pt || '@' || qt END"
-
-    def agg(side: str) -> str:
-        return f"coalesce(string_agg({level}, ';' ORDER BY level) FILTER (WHERE side = '{side}' AND {kept}), '')"
-
+    market = DELTA_MARKET.replace("exchange", "h.exchange")
     return f"""WITH {MSG}
-{head}
-       CAST(count(*) FILTER (WHERE side = 'bid' AND {kept}) AS INTEGER) AS n_bids,
-       CAST(count(*) FILTER (WHERE side = 'ask' AND {kept}) AS INTEGER) AS n_asks, {agg('bid')} AS bids, {agg('ask')} AS asks
-FROM good WHERE exchange = '{venue}' GROUP BY k, exchange, native, symbol, ms"""
+SELECT h.exchange, {market} AS market, {symbol} AS symbol, h.ms AS received_time, {event} AS event_time,
+       {ids[0]} AS update_id, {ids[1]} AS prev_update_id, {ids[2]} AS first_update_id,
+       {side_text(level, 'bid', kept)}, {side_text(level, 'ask', kept)}
+FROM heads h LEFT JOIN {lines} l USING (k) WHERE h.exchange = '{venue}' GROUP BY h.k, h.exchange, h.native, h.symbol, h.ms"""
 
 
 def decode_oi(venue: str) -> str:
@@ -299,16 +301,13 @@ def number_shape(column: str) -> str:
 
 ORACLES: dict[str, str] = {
     # sources and routing
-    "raw_landing_scan": f"""WITH {HDR}, {LIN}, ln AS (SELECT * FROM lv JOIN hdr USING (k)), {EV},
-heads AS (SELECT DISTINCT k, exchange, ms FROM ln),
+    "raw_landing_scan": f"""WITH {HDR}, {FORCED}, {EV},
 raw AS (
-  SELECT 'fobs' AS feed, exchange, {BOOK_MARKET} AS market, ms FROM heads
-  UNION ALL SELECT 'fobd', exchange, {DELTA_MARKET}, ms FROM heads WHERE exchange <> 'kucoin'
-  UNION ALL SELECT 'fobd', exchange, {DELTA_MARKET}, ms FROM ln WHERE exchange = 'kucoin'
+  SELECT 'fobs' AS feed, exchange, {BOOK_MARKET} AS market, ms FROM hdr
+  UNION ALL SELECT 'fobd', exchange, {DELTA_MARKET}, ms FROM hdr
   UNION ALL SELECT 'foi', exchange, 'future-openinterest', ms FROM ev
   UNION ALL SELECT 'pi', exchange, 'pi', ms FROM ev
-  UNION ALL SELECT 'liq', exchange, 'liquidation', ms FROM ln WHERE exchange IN ('binance', 'kucoin')
-  UNION ALL SELECT 'liq', exchange, 'liquidation', ms FROM (SELECT DISTINCT k, flag, exchange, ms FROM ln WHERE exchange IN ('bybit', 'okx')))
+  UNION ALL SELECT 'liq', exchange, 'liquidation', ms FROM fl)
 SELECT feed, exchange, market, count(*) AS messages, min(ms) AS first_ms, max(ms) AS last_ms FROM raw GROUP BY ALL""",
     "feed_fan_in": f"""WITH {EV}
 SELECT exchange, native AS symbol, count(*) AS messages, CAST(sum(k) AS BIGINT) AS id_sum FROM ev GROUP BY ALL""",
@@ -334,22 +333,23 @@ WHERE exchange = 'bybit' AND native IN (SELECT {NATIVE}[4 + c_custkey % 2 + 1] F
   count(*) OVER (PARTITION BY exchange, native, ms // 21600000) AS polls FROM ev)
 SELECT exchange, symbol, bucket_ms, polls, ms AS ts_ms, k AS message_id FROM b WHERE rn = 1""",
     "poll_overrun": f"""WITH {EV}
-SELECT k AS event_id, exchange, (u * 100) % 20000 AS duration_ms, CAST(10000 AS BIGINT) AS interval_ms FROM ev WHERE (u * 100) % 20000 > 10000""",
+SELECT k AS event_id, exchange, (u * 1000) % 20000 AS duration_ms, CAST(10000 AS BIGINT) AS interval_ms FROM ev WHERE (u * 1000) % 20000 > 10000""",
     # decoders
     **{f"decode_book_{v}": decode_book(v) for v in ("binance", "bybit", "kucoin", "okx")},
     **{f"decode_delta_{v}": decode_delta(v) for v in ("binance", "bybit", "kucoin", "okx")},
     **{f"decode_oi_{v}": decode_oi(v) for v in ("binance", "bybit", "kucoin", "okx")},
     **{f"decode_pi_{v}": decode_pi(v) for v in ("binance", "bybit", "kucoin", "okx")},
-    "decode_liq_kucoin": f"""WITH {HDR}, {LIN}, x AS (
-  SELECT *, CASE ln WHEN 2 THEN 0 WHEN 4 THEN ms // 1000 ELSE ms END AS stamp FROM lv JOIN hdr USING (k)
-  WHERE exchange = 'kucoin' AND ln % 2 = 0 AND k % 97 <> 0)
+    "decode_liq_kucoin": f"""WITH {FORCED}, x AS (
+  SELECT *, CASE ln WHEN 2 THEN 0 WHEN 4 THEN ms // 1000 WHEN 6 THEN ms ELSE ms * 1000000 END AS stamp FROM fl
+  WHERE exchange = 'kucoin' AND k % 3 <> 0 AND k % 97 <> 0)
 SELECT exchange, native AS symbol, 'liquidation' AS market, '/contractMarket/execution:' || native AS topic, 'Liquidation' AS subject,
-       CASE WHEN stamp <= 0 THEN ms WHEN stamp < 1000000000000 THEN stamp * 1000 ELSE stamp END AS ts_ms FROM x""",
+       CASE WHEN stamp <= 0 THEN ms WHEN stamp < 1000000000000 THEN stamp * 1000 WHEN stamp < 1000000000000000 THEN stamp
+            ELSE stamp // 1000000 END AS ts_ms FROM x""",
     "epoch_unit_infer": f"""WITH {EV}
 SELECT k AS event_id, CASE k % 5 WHEN 0 THEN -(k % 2) WHEN 1 THEN ms // 1000 WHEN 2 THEN ms WHEN 3 THEN ms * 1000000 + 123456 ELSE ms * 1000 END AS raw,
        CASE k % 5 WHEN 0 THEN ms WHEN 1 THEN ms // 1000 * 1000 WHEN 2 THEN ms WHEN 3 THEN ms ELSE ms // 1000 END AS ts_ms FROM ev""",
     "payload_quarantine": f"""WITH {HDR}
-SELECT exchange, k AS message_id FROM hdr WHERE k IN (SELECT l_orderkey FROM lineitem) AND (k % 97 = 0 OR (k % 89 = 0 AND exchange <> 'okx'))""",
+SELECT exchange, k AS message_id FROM hdr WHERE k % 97 = 0 OR (k % 89 = 0 AND exchange <> 'okx')""",
     # normalisers
     "canonical_symbol": """WITH s AS (
   SELECT ['binance','BYBIT','kucoin','okx','coinbase','kraken','other'][event_id % 7 + 1] AS exchange,
@@ -467,8 +467,8 @@ FROM manifest WHERE snapshot_ms <= 1705276800000 GROUP BY ALL""",
     # documented views
     "nested_snapshot": f"""WITH {BOOK}
 {nested('book', 'exchange, market AS market_type, symbol, ts_ms AS timestamp_ms, last_update_id', ('bids', 'asks'))} GROUP BY k, exchange, market, symbol, ts_ms, last_update_id""",
-    "nested_delta": f"""WITH {DELTA}, numbered AS (SELECT *, CASE WHEN exchange = 'kucoin' THEN update_id * 1000000 + row_number() OVER () ELSE k END AS message FROM delta)
-{nested('numbered', 'exchange, market AS market_type, symbol, event_time AS timestamp_ms, update_id', ('bid_updates', 'ask_updates'))} GROUP BY message, exchange, market, symbol, event_time, update_id""",
+    "nested_delta": f"""WITH {DELTA}
+{nested('delta', 'exchange, market AS market_type, symbol, event_time AS timestamp_ms, update_id', ('bid_updates', 'ask_updates'))} GROUP BY k, exchange, market, symbol, event_time, update_id""",
     "liquidation_slim": f"""WITH {LIQ} SELECT exchange, 'liquidation' AS market_type, symbol, side, price, quantity, time_ms AS timestamp_ms FROM liq""",
     "open_interest_slim": f"""WITH {OI} SELECT exchange, symbol, open_interest, event_time AS timestamp_ms FROM oin""",
     "funding_rate": f"""WITH {PI}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.functions.parsing import decode_json, is_clean, text_or_blank
+from mdlake.functions.parsing import decode_json, is_clean, let, text_or_blank
 
 # The channel each okx feed listens to, the topic prefix each
 # bybit feed listens to, and the topic prefix of kucoin deltas.
@@ -29,22 +29,21 @@ def keep_data_frames(frames: DataFrame) -> DataFrame:
     Only a few top-level fields are parsed here, so the full decode downstream
     never sees control traffic.
     """
-    probed = frames.withColumn("_probe", decode_json(F.col("data"), PROBE))
-    probe, feed = F.col("_probe"), F.col("feed")
-    topic = text_or_blank(probe["topic"])
-    channel = text_or_blank(probe["arg"]["channel"])
-    keys = F.json_object_keys(F.col("data"))
-
-    okx_delta = ~(F.array_contains(keys, "event") | F.array_contains(keys, "ping"))
-    okx_other = (text_or_blank(probe["event"]) == "") & (channel == _lookup(feed, OKX_CHANNEL))
-    okx_liq = okx_other & (text_or_blank(probe["arg"]["instType"]) == "SWAP")
-    topic_ok = topic.startswith(_lookup(feed, BYBIT_TOPIC))
-    bybit = F.when(feed.isin("pi", "foi"), (text_or_blank(probe["op"]) == "") & topic_ok).otherwise(topic_ok)
-    okx = F.when(feed == "fobd", okx_delta).when(feed == "liq", okx_liq).otherwise(okx_other)
-
-    venue = F.col("exchange")
-    keep = F.when(venue == "okx", okx).when(venue == "bybit", bybit).otherwise(F.lit(True))
-    return probed.filter(is_clean(probe) & F.coalesce(keep, F.lit(False))).drop("_probe")
+    feed, venue = F.col("feed"), F.col("exchange")
+
+    def wanted(probe: Column) -> Column:
+        topic, channel = text_or_blank(probe["topic"]), text_or_blank(probe["arg"]["channel"])
+        keys = F.json_object_keys(F.col("data"))
+        okx_delta = ~(F.array_contains(keys, "event") | F.array_contains(keys, "ping"))
+        okx_other = (text_or_blank(probe["event"]) == "") & (channel == _lookup(feed, OKX_CHANNEL))
+        okx_liq = okx_other & (text_or_blank(probe["arg"]["instType"]) == "SWAP")
+        okx = F.when(feed == "fobd", okx_delta).when(feed == "liq", okx_liq).otherwise(okx_other)
+        topic_ok = topic.startswith(_lookup(feed, BYBIT_TOPIC))
+        no_reply = text_or_blank(probe["op"]) == ""
+        bybit = F.when(feed.isin("pi", "foi"), no_reply & topic_ok).otherwise(topic_ok)
+        return is_clean(probe) & F.when(venue == "okx", okx).when(venue == "bybit", bybit).otherwise(F.lit(True))
+
+    return frames.filter(F.coalesce(let(decode_json(F.col("data"), PROBE), wanted), F.lit(False)))
 
 
 def topic_symbol(exchange: Column, topic: Column) -> Column:
