@@ -7,9 +7,9 @@ overflowing literal into infinity), so every cast here is guarded.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,8 @@ def parse_strict(text: Column) -> Column:
     words, and ``try_cast`` rejects everything else that is malformed.
     """
     number = text.try_cast("double")
-    edges_ok = F.substring(text, 1, 1).between("+", "9") & F.substring(text, -1, 1).between(".", "9")
+    digits = list("0123456789")
+    edges_ok = F.substring(text, 1, 1).isin([*digits, "+", "-", "."]) & F.substring(text, -1, 1).isin([*digits, "."])
     finite = F.abs(number) < F.lit(float("inf"))
     word = F.lower(text)
     return F.when(edges_ok & finite, number).when(word.isin(NON_FINITE_WORDS), word.try_cast("double"))
@@ -75,9 +76,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def one_row_if(value: Column, keep: Callable[[Column], Column]) -> Column:
-    """For ``explode``: a one-element array, or an empty one to drop the row."""
-    return F.filter(F.array(value), keep)
+def unnest(df: DataFrame, kept: Sequence[str | Column], rows: Column) -> DataFrame:
+    """One output row per non-null struct of the array ``rows``.
+
+    The array is computed in its own projection (compiled code) and dropped rows
+    are filtered after the explode.  A filter before it, or the one Spark infers
+    for a plain ``explode``, would be pushed below the JSON decode and repeat it.
+    """
+    names = [c if isinstance(c, str) else df.select(c).columns[0] for c in kept]
+    return (
+        df.select(*kept, rows.alias("_rows"))
+        .select(*names, F.explode_outer("_rows").alias("_row"))
+        .filter(F.col("_row").isNotNull())
+        .select(*names, "_row.*")
+    )
 
 
 def is_clean(parsed: Column) -> Column:

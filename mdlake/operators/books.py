@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mdlake.functions import clock
-from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, one_row_if, parse_long, parse_strict
+from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_strict, unnest
 from mdlake.functions.symbols import canonical_symbol
 
 TEXT_LEVELS = "ARRAY<ARRAY<STRING>>"
@@ -28,33 +28,17 @@ def no_levels() -> Column:
 
 
 def _levels(values: Column) -> Column:
-    return F.coalesce(values, no_levels())
-
-
-def _pairs(values: Column) -> Column:
-    """First two items of each level; a shorter level becomes empty."""
-    return _levels(
-        F.transform(
-            values, lambda v: F.when(F.size(v) >= 2, F.slice(v, 1, 2)).otherwise(F.array().cast("ARRAY<STRING>"))
-        )
-    )
-
-
-def _number_text(value: Column) -> Column:
-    """Plain decimal text without an exponent or trailing zeros."""
-    return F.regexp_replace(value.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
-
-
-def _number_pairs(values: Column) -> Column:
-    return _pairs(F.transform(values, lambda v: F.transform(v, _number_text)))
+    return F.coalesce(values.cast(TEXT_LEVELS), no_levels())
 
 
 def _book(update_id: Column, bids: Column, asks: Column) -> Column:
-    return F.struct(update_id.alias("last_update_id"), bids.alias("bids"), asks.alias("asks"))
+    return F.struct(
+        long_or_zero(update_id).alias("last_update_id"), _levels(bids).alias("bids"), _levels(asks).alias("asks")
+    )
 
 
-def decode_books(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Raw snapshot messages of all venues to one row per good message.
+def parse_books(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Good messages with both sides as sent, each payload parsed once.
 
     ``keep`` names raw columns to carry along.
     """
@@ -73,71 +57,77 @@ def decode_books(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
     plain, bybit, kucoin, okx = (F.col(c) for c in ("_plain", "_bybit", "_kucoin", "_okx"))
     first = F.get(okx["data"], F.lit(0))
+    some = F.size(_levels(first["bids"])) + F.size(_levels(first["asks"])) > 0
     book = (
-        F.when(is_clean(plain), _book(long_or_zero(plain["lastUpdateId"]), _levels(plain["bids"]), _levels(plain["asks"])))
-        .when(
-            is_clean(bybit),
-            _book(
-                long_or_zero(bybit["result"]["u"]), _levels(bybit["result"]["b"]), _levels(bybit["result"]["a"])
-            ),
-        )
-        .when(
-            is_clean(kucoin),
-            _book(long_or_zero(kucoin["sequence"]), _number_pairs(kucoin["bids"]), _number_pairs(kucoin["asks"])),
-        )
-        .when(
-            is_clean(okx) & first.isNotNull() & (F.size(_levels(first["bids"])) + F.size(_levels(first["asks"])) > 0),
-            _book(long_or_zero(parse_long(first["ts"])), _pairs(first["bids"]), _pairs(first["asks"])),
-        )
+        F.when(is_clean(plain), _book(plain["lastUpdateId"], plain["bids"], plain["asks"]))
+        .when(is_clean(bybit), _book(bybit["result"]["u"], bybit["result"]["b"], bybit["result"]["a"]))
+        .when(is_clean(kucoin), _book(kucoin["sequence"], kucoin["bids"], kucoin["asks"]))
+        .when(is_clean(okx) & some, _book(parse_long(first["ts"]), first["bids"], first["asks"]))
     )
     symbol = F.when(venue == "kucoin", canonical_symbol(venue, F.col("symbol"))).otherwise(F.col("symbol"))
-    return (
-        parsed.select(
-            "exchange",
-            symbol.alias("symbol"),
-            "market",
-            "ts_ms",
-            *keep,
-            F.explode(one_row_if(book, lambda b: b.isNotNull())).alias("_book"),
-        )
-        .select("exchange", "symbol", "market", "ts_ms", *keep, "_book.*")
-    )
+    return unnest(parsed, ["exchange", symbol.alias("symbol"), "market", "ts_ms", *keep], F.array(book))
 
 
-def explode_sides(books: DataFrame, bids: str = "bids", asks: str = "asks") -> DataFrame:
-    """One row per level of both sides, numbered from 1 in payload order."""
+def decode_books(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw snapshot messages of all venues in one common form.
+
+    okx and kucoin levels keep their first two items and become empty when
+    shorter; kucoin numbers become plain decimal text.
+    """
+
+    def pair(v: Column) -> Column:
+        return F.when(F.size(v) >= 2, F.slice(v, 1, 2)).otherwise(F.array().cast("ARRAY<STRING>"))
 
-    def tag(values: str, side: str) -> Column:
-        return F.transform(
-            F.col(values),
-            lambda v, i: F.struct(
-                F.lit(side).alias("side"),
-                (i + 1).cast("int").alias("level"),
-                F.get(v, F.lit(0)).alias("price_text"),
-                F.get(v, F.lit(1)).alias("quantity_text"),
-            ),
+    def plain_text(x: Column) -> Column:
+        return F.regexp_replace(x.cast("double").cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+
+    def common(side: str) -> Column:
+        values, venue = F.col(side), F.col("exchange")
+        return (
+            F.when(venue == "okx", F.transform(values, pair))
+            .when(venue == "kucoin", F.transform(values, lambda v: F.transform(pair(v), plain_text)))
+            .otherwise(values)
         )
 
-    kept = [c for c in books.columns if c not in (bids, asks)]
-    return books.select(*kept, F.explode(F.concat(tag(bids, "bid"), tag(asks, "ask"))).alias("_l")).select(
-        *kept, "_l.*"
+    return parse_books(raw, keep).withColumns({"bids": common("bids"), "asks": common("asks")})
+
+
+def explode_sides(messages: DataFrame) -> DataFrame:
+    """One row per level of both sides, numbered from 1 in payload order.
+
+    Plain explodes only: no lambda runs per level.
+    """
+    kept = [c for c in messages.columns if c not in ("bids", "asks")]
+    sides = F.array(
+        F.struct(F.lit("bid").alias("side"), F.col("bids").alias("levels")),
+        F.struct(F.lit("ask").alias("side"), F.col("asks").alias("levels")),
+    )
+    return (
+        messages.select(*kept, F.explode(sides).alias("_side"))
+        .select(*kept, F.col("_side.side"), F.posexplode("_side.levels").alias("_at", "_level"))
+        .select(
+            *kept,
+            "side",
+            (F.col("_at") + 1).alias("level"),
+            F.get("_level", F.lit(0)).alias("price_text"),
+            F.get("_level", F.lit(1)).alias("quantity_text"),
+        )
     )
 
 
 def flatten_books(books: DataFrame) -> DataFrame:
-    """Decoded books to valid levels.
+    """Parsed books to valid levels.
 
-    A level that does not parse, or whose price or quantity is zero, is dropped
-    without renumbering the others.
+    A level that is too short or does not parse, or whose price or quantity is
+    zero, is dropped without renumbering the others.
     """
-    price, quantity = parse_strict(F.col("price_text")), parse_strict(F.col("quantity_text"))
     return (
         explode_sides(books)
         .withColumns(
             {
                 "symbol": canonical_symbol(F.col("exchange"), F.col("symbol")),
-                "price": price,
-                "quantity": quantity,
+                "price": parse_strict(F.col("price_text")),
+                "quantity": parse_strict(F.col("quantity_text")),
             }
         )
         .filter((F.col("price") != 0) & (F.col("quantity") != 0))
@@ -149,7 +139,7 @@ def flatten_books(books: DataFrame) -> DataFrame:
 
 def book_flatten(raw: DataFrame) -> DataFrame:
     """Raw snapshot messages to the normalised level table."""
-    return flatten_books(decode_books(raw))
+    return flatten_books(parse_books(raw))
 
 
 def quarantine_books(raw: DataFrame) -> DataFrame:
@@ -182,30 +172,6 @@ def poll_grid(raw: DataFrame, interval_ms: int, order: str = "message_id") -> Da
     )
 
 
-def nested_snapshot(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per message with typed level arrays, built without a shuffle."""
-    books = decode_books(raw, keep)
-    return books.select(
-        *keep,
-        "exchange",
-        F.col("market").alias("market_type"),
-        canonical_symbol(F.col("exchange"), F.col("symbol")).alias("symbol"),
-        F.col("ts_ms").alias("timestamp_ms"),
-        "last_update_id",
-        typed_sides("bids", "asks"),
-    ).select("*", "_sides.*").drop("_sides")
-
-
-def typed_sides(bids: str, asks: str, keep_zero: bool = False) -> Column:
-    """Typed arrays of both sides under new names; a message without any valid
-    level gives no row.
-    """
-    both = F.struct(
-        typed_levels(F.col("bids"), keep_zero).alias(bids), typed_levels(F.col("asks"), keep_zero).alias(asks)
-    )
-    return F.explode(one_row_if(both, lambda s: F.size(s[bids]) + F.size(s[asks]) > 0)).alias("_sides")
-
-
 def typed_levels(values: Column, keep_zero: bool = False) -> Column:
     """Text levels to ``ARRAY<STRUCT<price, quantity>>`` of the valid ones."""
     typed = F.transform(
@@ -217,3 +183,31 @@ def typed_levels(values: Column, keep_zero: bool = False) -> Column:
     if keep_zero:
         return F.filter(typed, lambda x: x["price"].isNotNull() & x["quantity"].isNotNull())
     return F.filter(typed, lambda x: (x["price"] != 0) & (x["quantity"] != 0))
+
+
+def nest_sides(messages: DataFrame, bids: str, asks: str, keep_zero: bool = False) -> DataFrame:
+    """Typed arrays of both sides under new names; a message without any valid
+    level gives no row.
+    """
+    kept = [c for c in messages.columns if c not in ("bids", "asks")]
+    both = F.array(
+        F.struct(
+            typed_levels(F.col("bids"), keep_zero).alias(bids), typed_levels(F.col("asks"), keep_zero).alias(asks)
+        )
+    )
+    return unnest(messages, kept, both).filter(F.size(bids) + F.size(asks) > 0)
+
+
+def nested_snapshot(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per message with typed level arrays, built without a shuffle."""
+    books = parse_books(raw, keep).select(
+        *keep,
+        "exchange",
+        F.col("market").alias("market_type"),
+        canonical_symbol(F.col("exchange"), F.col("symbol")).alias("symbol"),
+        F.col("ts_ms").alias("timestamp_ms"),
+        "last_update_id",
+        "bids",
+        "asks",
+    )
+    return nest_sides(books, "bids", "asks")

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mdlake.functions import clock
-from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, one_row_if, parse_long, parse_strict, text_or_blank
+from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_strict, text_or_blank, unnest
 from mdlake.functions.symbols import canonical_symbol
-from mdlake.operators.books import TEXT_LEVELS, explode_sides, no_levels, typed_sides
+from mdlake.operators.books import TEXT_LEVELS, explode_sides, nest_sides, no_levels
 from mdlake.sources.frames import topic_symbol
 
 # Either letter case of the level keys is accepted, as the payload may be
@@ -41,11 +41,6 @@ def _named(values: Column) -> Column:
     return F.coalesce(pairs, no_levels())
 
 
-def _full_pairs(values: Column) -> Column:
-    long_enough = F.filter(values, lambda v: F.size(v) >= 2)
-    return F.coalesce(F.transform(long_enough, lambda v: F.slice(v, 1, 2)), no_levels())
-
-
 def parse_change(change: Column) -> Column:
     """``price,side,quantity`` text to STRUCT<side, price, quantity>.
 
@@ -72,20 +67,21 @@ def _one_level(change: Column, side: str) -> Column:
     return F.when(change["side"] == side, level).otherwise(no_levels())
 
 
-def _delta(symbol: Column, event: Column, update: Column, prev: Column, first: Column, bids: Column, asks: Column) -> Column:
+def _delta(symbol: Column, event: Column, ids: tuple[Column, Column, Column], bids: Column, asks: Column) -> Column:
+    update, prev, first = ids
     return F.struct(
         text_or_blank(symbol).alias("symbol"),
         event.alias("event_time"),
         update.alias("update_id"),
         prev.alias("prev_update_id"),
         first.alias("first_update_id"),
-        bids.alias("bids"),
-        asks.alias("asks"),
+        F.coalesce(bids, no_levels()).alias("bids"),
+        F.coalesce(asks, no_levels()).alias("asks"),
     )
 
 
-def decode_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Raw delta messages of all venues to one row per good message."""
+def parse_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Good messages with both sides as sent, each payload parsed once."""
     venue, data = F.col("exchange"), F.col("data")
     known = venue.isin("bybit", "kucoin", "okx")
     parsed = raw.select(
@@ -99,24 +95,18 @@ def decode_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.when(venue == "okx", decode_json(data, OKX)).alias("_okx"),
     )
     plain, bybit, kucoin, okx = (F.col(c) for c in ("_plain", "_bybit", "_kucoin", "_okx"))
-    parsed = parsed.withColumn("_change", parse_change(text_or_blank(kucoin["data"]["change"])))
+    change_text = text_or_blank(kucoin["data"]["change"])
+    parsed = parsed.withColumn("_change", F.when(is_clean(kucoin), parse_change(change_text)))
     change = F.col("_change")
     first = F.get(okx["data"], F.lit(0))
     okx_time = long_or_zero(parse_long(first["ts"]))
-    seq = long_or_zero(bybit["data"]["seq"])
-    step = long_or_zero(kucoin["data"]["sequence"])
-    kucoin_symbol = canonical_symbol(venue, topic_symbol(venue, text_or_blank(kucoin["topic"])))
+    seq, step = long_or_zero(bybit["data"]["seq"]), long_or_zero(kucoin["data"]["sequence"])
+    plain_ids = (long_or_zero(plain["last"]), long_or_zero(plain["prev"]), long_or_zero(plain["first"]))
     delta = (
         F.when(
             is_clean(plain),
             _delta(
-                plain["symbol"],
-                long_or_zero(plain["event_time"]),
-                long_or_zero(plain["last"]),
-                long_or_zero(plain["prev"]),
-                long_or_zero(plain["first"]),
-                _named(plain["bids"]),
-                _named(plain["asks"]),
+                plain["symbol"], long_or_zero(plain["event_time"]), plain_ids, _named(plain["bids"]), _named(plain["asks"])
             ),
         )
         .when(
@@ -124,52 +114,45 @@ def decode_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             _delta(
                 topic_symbol(venue, text_or_blank(bybit["topic"])),
                 long_or_zero(bybit["ts"]),
-                seq,
-                seq - 1,
-                seq,
-                _full_pairs(bybit["data"]["b"]),
-                _full_pairs(bybit["data"]["a"]),
+                (seq, seq - 1, seq),
+                bybit["data"]["b"],
+                bybit["data"]["a"],
             ),
         )
         .when(
             is_clean(kucoin),
             _delta(
-                kucoin_symbol,
+                canonical_symbol(venue, topic_symbol(venue, text_or_blank(kucoin["topic"]))),
                 long_or_zero(kucoin["data"]["timestamp"]),
-                step,
-                step - 1,
-                step,
+                (step, step - 1, step),
                 _one_level(change, "buy"),
                 _one_level(change, "sell"),
             ),
         )
         .when(
             is_clean(okx) & first.isNotNull(),
-            _delta(
-                okx["arg"]["instId"],
-                okx_time,
-                okx_time,
-                okx_time,
-                okx_time,
-                _full_pairs(first["bids"]),
-                _full_pairs(first["asks"]),
-            ),
-        )
-    )
-    return (
-        parsed.select(
-            "exchange",
-            "market",
-            "received_time",
-            *keep,
-            F.explode(one_row_if(delta, lambda d: d.isNotNull())).alias("_delta"),
+            _delta(okx["arg"]["instId"], okx_time, (okx_time, okx_time, okx_time), first["bids"], first["asks"]),
         )
-        .select("exchange", "market", "received_time", *keep, "_delta.*")
     )
+    return unnest(parsed, ["exchange", "market", "received_time", *keep], F.array(delta))
+
+
+def decode_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw delta messages of all venues in one common form.
+
+    bybit and okx levels keep their first two items; shorter ones are dropped.
+    """
+
+    def common(side: str) -> Column:
+        long_enough = F.filter(F.col(side), lambda v: F.size(v) >= 2)
+        pairs = F.transform(long_enough, lambda v: F.slice(v, 1, 2))
+        return F.when(F.col("exchange").isin("bybit", "okx"), pairs).otherwise(F.col(side))
+
+    return parse_deltas(raw, keep).withColumns({"bids": common("bids"), "asks": common("asks")})
 
 
 def flatten_deltas(deltas: DataFrame) -> DataFrame:
-    """Decoded deltas to updates; zero price or quantity is kept (a removal)."""
+    """Parsed deltas to updates; zero price or quantity is kept (a removal)."""
     return (
         explode_sides(deltas)
         .withColumns(
@@ -198,21 +181,18 @@ def flatten_deltas(deltas: DataFrame) -> DataFrame:
 
 def delta_flatten(raw: DataFrame) -> DataFrame:
     """Raw delta messages to the normalised update table."""
-    return flatten_deltas(decode_deltas(raw))
+    return flatten_deltas(parse_deltas(raw))
 
 
 def nested_delta(raw: DataFrame) -> DataFrame:
     """One row per message with typed update arrays, built without a shuffle."""
-    return (
-        decode_deltas(raw)
-        .select(
-            "exchange",
-            F.col("market").alias("market_type"),
-            canonical_symbol(F.col("exchange"), F.col("symbol")).alias("symbol"),
-            F.col("event_time").alias("timestamp_ms"),
-            "update_id",
-            typed_sides("bid_updates", "ask_updates", keep_zero=True),
-        )
-        .select("*", "_sides.*")
-        .drop("_sides")
+    messages = parse_deltas(raw).select(
+        "exchange",
+        F.col("market").alias("market_type"),
+        canonical_symbol(F.col("exchange"), F.col("symbol")).alias("symbol"),
+        F.col("event_time").alias("timestamp_ms"),
+        "update_id",
+        "bids",
+        "asks",
     )
+    return nest_sides(messages, "bid_updates", "ask_updates", keep_zero=True)

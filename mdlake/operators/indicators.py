@@ -16,6 +16,7 @@ from mdlake.functions.parsing import (
     parse_or_zero,
     parse_strict,
     text_or_blank,
+    unnest,
 )
 from mdlake.functions.symbols import canonical_symbol
 
@@ -95,9 +96,7 @@ def decode_oi(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             ),
         )
     )
-    return parsed.select("exchange", "market", *keep, F.explode(entries.cast(OI_ENTRY)).alias("_e")).select(
-        "exchange", "market", *keep, "_e.*"
-    )
+    return unnest(parsed, ["exchange", "market", *keep], entries.cast(OI_ENTRY))
 
 
 def oi_normalize(readings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -119,15 +118,16 @@ def oi_normalize(readings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 PI_ENTRY = (
-    "ARRAY<STRUCT<symbol: STRING, mark_price: DOUBLE, index_price: DOUBLE, estimated_settle_price: DOUBLE, "
-    "funding_rate: DOUBLE, next_funding_time: BIGINT, premium_index: DOUBLE, source: STRING, message_ms: BIGINT>>"
+    "ARRAY<STRUCT<symbol: STRING, mark: STRING, index: STRING, settle: STRING, funding: STRING, "
+    "next_funding: STRING, premium: DOUBLE, source: STRING, message_ms: BIGINT>>"
 )
 
 
 def decode_pi(raw: DataFrame, bybit_category: str = "linear", keep: Sequence[str] = ()) -> DataFrame:
     """Raw premium-index messages to one row per reading.
 
-    ``next_funding_time`` is NULL where the payload carries none.
+    ``next_funding_time`` is NULL where the payload carries none.  Numbers stay
+    text until the rows are unnested, so they are parsed in compiled code.
     """
     venue, data = F.col("exchange"), F.col("data")
     parsed = raw.select(
@@ -143,30 +143,12 @@ def decode_pi(raw: DataFrame, bybit_category: str = "linear", keep: Sequence[str
     )
     binance, tickers, okx, kucoin = (F.col(c) for c in ("_binance", "_tickers", "_okx", "_kucoin"))
     arrival = F.col("arrival_ms")
-    zero, no_time = F.lit(0.0), F.lit(None).cast("bigint")
 
-    def entry(
-        symbol: Column,
-        source: str,
-        message_ms: Column,
-        mark: Column = zero,
-        index: Column = zero,
-        estimated: Column = zero,
-        funding: Column = zero,
-        next_funding: Column = no_time,
-        premium: Column | None = None,
-    ) -> Column:
-        return F.struct(
-            symbol.alias("symbol"),
-            mark.alias("mark_price"),
-            index.alias("index_price"),
-            estimated.alias("estimated_settle_price"),
-            funding.alias("funding_rate"),
-            next_funding.alias("next_funding_time"),
-            (mark - index if premium is None else premium).alias("premium_index"),
-            F.lit(source).alias("source"),
-            message_ms.alias("message_ms"),
-        )
+    def entry(symbol: Column, source: str, message_ms: Column, **sent: Column) -> Column:
+        absent = F.lit(None).cast("string")
+        texts = [sent.get(f, absent).alias(f) for f in ("mark", "index", "settle", "funding", "next_funding")]
+        premium = sent.get("premium", F.lit(None).cast("double")).alias("premium")
+        return F.struct(symbol.alias("symbol"), *texts, premium, F.lit(source).alias("source"), message_ms.alias("message_ms"))
 
     datum = F.get(kucoin["dataList"], F.lit(0))
     entries = (
@@ -177,13 +159,13 @@ def decode_pi(raw: DataFrame, bybit_category: str = "linear", keep: Sequence[str
                     F.col("symbol"),
                     "binance_ws",
                     long_or_zero(binance["event_time"]),
-                    mark=parse_or_zero(binance["mark"]),
-                    index=parse_or_zero(binance["index"]),
-                    estimated=parse_or_zero(binance["settle"]),
-                    funding=parse_or_zero(binance["funding"]),
-                    next_funding=_present(binance["next_funding"]),
+                    mark=binance["mark"],
+                    index=binance["index"],
+                    settle=binance["settle"],
+                    funding=binance["funding"],
+                    next_funding=_present(binance["next_funding"]).cast("string"),
                 )
-            ),
+            ).cast(PI_ENTRY),
         )
         .when(
             is_clean(tickers),
@@ -193,12 +175,12 @@ def decode_pi(raw: DataFrame, bybit_category: str = "linear", keep: Sequence[str
                     F.upper(text_or_blank(d["symbol"])),
                     f"bybit_{bybit_category}_ws",
                     F.coalesce(_present(tickers["ts"]), arrival),
-                    mark=parse_or_zero(d["markPrice"]),
-                    index=parse_or_zero(d["indexPrice"]),
-                    funding=parse_or_zero(d["fundingRate"]),
-                    next_funding=parse_long(d["nextFundingTime"]),
+                    mark=d["markPrice"],
+                    index=d["indexPrice"],
+                    funding=d["fundingRate"],
+                    next_funding=d["nextFundingTime"],
                 ),
-            ),
+            ).cast(PI_ENTRY),
         )
         .when(
             is_clean(okx),
@@ -208,10 +190,10 @@ def decode_pi(raw: DataFrame, bybit_category: str = "linear", keep: Sequence[str
                     F.upper(text_or_blank(d["instId"])),
                     "okx_ws",
                     F.coalesce(parse_long(d["ts"]), arrival),
-                    mark=parse_or_zero(d["markPx"]),
-                    index=parse_or_zero(d["idxPx"]),
+                    mark=d["markPx"],
+                    index=d["idxPx"],
                 ),
-            ),
+            ).cast(PI_ENTRY),
         )
         .when(
             is_clean(kucoin) & datum.isNotNull(),
@@ -220,14 +202,26 @@ def decode_pi(raw: DataFrame, bybit_category: str = "linear", keep: Sequence[str
                     F.col("symbol"),
                     "kucoin_rest",
                     long_or_zero(datum["timePoint"]),
-                    premium=F.coalesce(datum["value"], zero),
+                    premium=F.coalesce(datum["value"], F.lit(0.0)),
                 )
-            ),
+            ).cast(PI_ENTRY),
         )
     )
-    return parsed.select(
-        "exchange", "market", "arrival_ms", *keep, F.explode(entries.cast(PI_ENTRY)).alias("_e")
-    ).select("exchange", "market", "arrival_ms", *keep, "_e.*")
+    rows = unnest(parsed, ["exchange", "market", "arrival_ms", *keep], entries)
+    numbers = rows.withColumns(
+        {
+            "mark_price": parse_or_zero(F.col("mark")),
+            "index_price": parse_or_zero(F.col("index")),
+            "estimated_settle_price": parse_or_zero(F.col("settle")),
+            "funding_rate": parse_or_zero(F.col("funding")),
+            "next_funding_time": parse_long(F.col("next_funding")),
+        }
+    )
+    premium = F.coalesce(F.col("premium"), F.col("mark_price") - F.col("index_price"))
+    return numbers.select(
+        "exchange", "market", "arrival_ms", *keep, "symbol", "mark_price", "index_price", "estimated_settle_price",
+        "funding_rate", "next_funding_time", premium.alias("premium_index"), "source", "message_ms",
+    )
 
 
 def pi_normalize(readings: DataFrame, received: str = "arrival_ms", keep: Sequence[str] = ()) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mdlake.functions import clock
-from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_or_zero, text_or_blank
+from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_or_zero, text_or_blank, unnest
 
 BINANCE = (
     "E BIGINT, o STRUCT<s: STRING, S: STRING, o: STRING, q: STRING, p: STRING, ap: STRING, l: STRING, "
@@ -27,13 +27,17 @@ OKX = (
 )
 KUCOIN = "topic STRING, subject STRING, data STRUCT<symbol: STRING, side: STRING, size: STRING, price: STRING, ts: BIGINT>"
 
-# The superset row; fields a venue does not send hold the type's zero value.
-ROW = (
-    "STRUCT<symbol: STRING, side: STRING, position_side: STRING, order_type: STRING, time_ms: BIGINT, "
-    "quantity: DOUBLE, price: DOUBLE, avg_price: DOUBLE, last_qty: DOUBLE, last_price: DOUBLE, trade_id: BIGINT, "
+# One forced order as sent; numbers stay text until the rows are unnested.
+SENT = (
+    "ARRAY<STRUCT<symbol: STRING, side: STRING, position_side: STRING, order_type: STRING, time_ms: BIGINT, "
+    "quantity: STRING, price: STRING, avg_price: STRING, last_qty: STRING, last_price: STRING, trade_id: BIGINT, "
     "is_maker: BOOLEAN, is_reduce_only: BOOLEAN, working_type: STRING, original_type: STRING, close_all: BOOLEAN, "
-    "realized_pnl: DOUBLE>"
+    "realized_pnl: STRING>>"
 )
+TEXTS = ["symbol", "side", "position_side", "order_type", "working_type", "original_type"]
+NUMBERS = ["quantity", "price", "avg_price", "last_qty", "last_price", "realized_pnl"]
+FLAGS = ["is_maker", "is_reduce_only", "close_all"]
+COLUMNS = [f.split(":")[0] for f in SENT[len("ARRAY<STRUCT<"):-2].split(", ")]
 FORCED = "LIQUIDATION"
 
 
@@ -42,31 +46,10 @@ def side_norm(side: Column) -> Column:
     return F.upper(text_or_blank(side))
 
 
-def _row(symbol: Column, side: Column, position: Column, order_type: Column, ms: Column, qty: Column, price: Column, **extra: Column) -> Column:
-    zero, no, blank = F.lit(0.0), F.lit(False), F.lit("")
-    return F.struct(
-        symbol.alias("symbol"),
-        side.alias("side"),
-        position.alias("position_side"),
-        order_type.alias("order_type"),
-        ms.alias("time_ms"),
-        qty.alias("quantity"),
-        price.alias("price"),
-        extra.get("avg_price", zero).alias("avg_price"),
-        extra.get("last_qty", zero).alias("last_qty"),
-        extra.get("last_price", zero).alias("last_price"),
-        extra.get("trade_id", F.lit(0).cast("bigint")).alias("trade_id"),
-        extra.get("is_maker", no).alias("is_maker"),
-        extra.get("is_reduce_only", no).alias("is_reduce_only"),
-        extra.get("working_type", blank).alias("working_type"),
-        extra.get("original_type", blank).alias("original_type"),
-        extra.get("close_all", no).alias("close_all"),
-        extra.get("realized_pnl", zero).alias("realized_pnl"),
-    )
-
-
-def _flag(value: Column) -> Column:
-    return F.coalesce(value, F.lit(False))
+def _sent(**fields: Column) -> Column:
+    """A forced order; fields the venue does not send stay NULL."""
+    types = dict(f.split(": ") for f in SENT[len("ARRAY<STRUCT<"):-2].split(", "))
+    return F.struct(*[fields.get(c, F.lit(None)).cast(types[c]).alias(c) for c in COLUMNS])
 
 
 def liq_normalize(raw: DataFrame, okx_allowed: list[str] | None = None) -> DataFrame:
@@ -74,7 +57,8 @@ def liq_normalize(raw: DataFrame, okx_allowed: list[str] | None = None) -> DataF
 
     Venues without a normaliser are ignored.  ``okx_allowed`` restricts okx to
     the listed instrument families (blank entries ignored, empty keeps all);
-    symbols are never canonicalised here.
+    symbols are never canonicalised here.  Fields a venue does not send hold the
+    type's zero value.
     """
     venue, data = F.col("exchange"), F.col("data")
     parsed = raw.filter(venue.isin("binance", "bybit", "okx")).select(
@@ -84,76 +68,44 @@ def liq_normalize(raw: DataFrame, okx_allowed: list[str] | None = None) -> DataF
         F.when(venue == "okx", decode_json(data, OKX)).alias("_okx"),
     )
     binance, bybit, okx = F.col("_binance"), F.col("_bybit"), F.col("_okx")
-
-    def order(name: str) -> Column:
-        return binance["order"][name]
-
-    sent, traded = long_or_zero(binance["event_time"]), long_or_zero(order("trade_time"))
-    single = _row(
-        text_or_blank(order("symbol")),
-        text_or_blank(order("side")),
-        text_or_blank(order("position_side")),
-        text_or_blank(order("order_type")),
-        F.when(sent == 0, traded).otherwise(sent),
-        parse_or_zero(order("quantity")),
-        parse_or_zero(order("price")),
-        avg_price=parse_or_zero(order("avg_price")),
-        last_qty=parse_or_zero(order("last_qty")),
-        last_price=parse_or_zero(order("last_price")),
-        trade_id=long_or_zero(order("trade_id")),
-        is_maker=_flag(order("is_maker")),
-        is_reduce_only=_flag(order("is_reduce_only")),
-        working_type=text_or_blank(order("working_type")),
-        original_type=text_or_blank(order("original_type")),
-        close_all=_flag(order("close_all")),
-        realized_pnl=parse_or_zero(order("realized_pnl")),
-    )
+    order, event = binance["order"], long_or_zero(binance["event_time"])
+    copied = {c: order[c] for c in COLUMNS if c != "time_ms"}
+    single = _sent(**copied, time_ms=F.when(event == 0, order["trade_time"]).otherwise(event))
 
     def bybit_row(d: Column) -> Column:
-        return _row(
-            text_or_blank(d["symbol"]),
-            side_norm(d["side"]),
-            F.lit(""),
-            F.lit(FORCED),
-            long_or_zero(d["ms"]),
-            parse_or_zero(d["quantity"]),
-            parse_or_zero(d["price"]),
+        return _sent(
+            symbol=d["symbol"], side=side_norm(d["side"]), order_type=F.lit(FORCED), time_ms=d["ms"],
+            quantity=d["quantity"], price=d["price"],
         )
 
     def family(block: Column) -> Column:
         named = text_or_blank(block["instFamily"])
         return F.upper(F.when(named != "", named).otherwise(text_or_blank(block["uly"])))
 
+    def okx_row(block: Column, d: Column) -> Column:
+        return _sent(
+            symbol=family(block), side=side_norm(d["side"]), position_side=side_norm(d["posSide"]),
+            order_type=F.lit(FORCED), time_ms=parse_long(d["ts"]), quantity=d["sz"], price=d["bkPx"],
+        )
+
     blocks = okx["data"]
     wanted = sorted({s.strip().upper() for s in (okx_allowed or []) if s.strip()})
     if wanted:
         blocks = F.filter(blocks, lambda b: family(b).isin(wanted))
-    okx_rows = F.flatten(
-        F.transform(
-            blocks,
-            lambda b: F.coalesce(
-                F.transform(
-                    b["details"],
-                    lambda d: _row(
-                        family(b),
-                        side_norm(d["side"]),
-                        side_norm(d["posSide"]),
-                        F.lit(FORCED),
-                        long_or_zero(parse_long(d["ts"])),
-                        parse_or_zero(d["sz"]),
-                        parse_or_zero(d["bkPx"]),
-                    ),
-                ),
-                F.array().cast(f"ARRAY<{ROW}>"),
-            ),
-        )
+    details = F.transform(
+        blocks, lambda b: F.transform(b["details"], lambda d: okx_row(b, d))
     )
     rows = (
-        F.when(is_clean(binance), F.array(single).cast(f"ARRAY<{ROW}>"))
-        .when(is_clean(bybit), F.transform(bybit["data"], bybit_row).cast(f"ARRAY<{ROW}>"))
-        .when(is_clean(okx), okx_rows.cast(f"ARRAY<{ROW}>"))
+        F.when(is_clean(binance), F.array(single).cast(SENT))
+        .when(is_clean(bybit), F.transform(bybit["data"], bybit_row).cast(SENT))
+        .when(is_clean(okx), F.flatten(F.filter(details, lambda x: x.isNotNull())).cast(SENT))
     )
-    return parsed.select("exchange", F.explode(rows).alias("_r")).select("exchange", "_r.*")
+    sent = unnest(parsed, ["exchange"], rows)
+    typed = {c: text_or_blank(F.col(c)) for c in TEXTS}
+    typed |= {c: parse_or_zero(F.col(c)) for c in NUMBERS}
+    typed |= {c: long_or_zero(F.col(c)) for c in ("time_ms", "trade_id")}
+    typed |= {c: F.coalesce(F.col(c), F.lit(False)) for c in FLAGS}
+    return sent.select("exchange", *[typed[c].alias(c) for c in COLUMNS])
 
 
 def kucoin_liquidations(raw: DataFrame) -> DataFrame:

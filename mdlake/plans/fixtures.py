@@ -24,7 +24,14 @@ NATIVE_SYMBOLS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; one that fills too few tasks is spread over all of them.
+
+    Message work is heavy per row, and a small file reads as a single task.
+    Tables of real size have more partitions than slots and are not shuffled.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= slots else rows.repartition(slots)
 
 
 def pick(index: Column, values: list[str]) -> Column:
@@ -88,9 +95,13 @@ def _level(side: str, i: Column) -> Column:
         .otherwise("ok")
     )
     cents = F.col("cents") + i * (-7 if side == "bid" else 7)
-    price = F.when(rule == "word", "abc").when(rule == "suffix", "1.5d").otherwise(_money(cents))
-    quantity = F.when(rule == "zero", "0.00").otherwise(text((F.col("c") + i) % 50 + 1, ".00"))
-    return F.struct(rule.alias("rule"), price.alias("p"), quantity.alias("q"))
+
+    def render(rule: Column) -> Column:
+        price = F.when(rule == "word", "abc").when(rule == "suffix", "1.5d").otherwise(_money(cents))
+        quantity = F.when(rule == "zero", "0.00").otherwise(text((F.col("c") + i) % 50 + 1, ".00"))
+        return F.struct(rule.alias("rule"), price.alias("p"), quantity.alias("q"))
+
+    return let(rule, render)
 
 
 def _levels(side: str) -> Column:
