@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mdlake.operators.tables import write_table
+
 # Fixed value: manifest status of a file that was added.
 ADDED = 1
 
+COMMIT = "commit_id"
+LAYOUT = ["exchange", "market", "symbol", "date"]
+
 
 def logical_manifest(rows: DataFrame, ms: str) -> DataFrame:
     """One row per logical file of laid-out rows, with its row count."""
@@ -18,41 +23,48 @@ def logical_manifest(rows: DataFrame, ms: str) -> DataFrame:
     )
 
 
-def file_manifest(spark: SparkSession, table_path: str, committed_ms: int, partition_columns: list[str]) -> DataFrame:
-    """One row per physical file under a table path, from file metadata.
+def file_manifest(spark: SparkSession, table_path: str, commit_id: int, commit_ms: int) -> DataFrame:
+    """One row per physical file of a commit, from file metadata.
 
-    Record counts are the rows written.  Only partition columns and the file
-    metadata are read.
+    The commit is a partition of the table, so only its own files are opened,
+    and of those only partition columns and metadata.  Record counts are the
+    rows written.
     """
-    files = spark.read.parquet(table_path).select(
-        "_metadata.file_path", "_metadata.file_size", *partition_columns
+    files = (
+        spark.read.parquet(table_path)
+        .filter(F.col(COMMIT) == commit_id)
+        .select(F.col("_metadata.file_path").alias("path"), "_metadata.file_size", *LAYOUT)
     )
-    pairs = [x for c in partition_columns for x in (F.lit(c), F.col(c).cast("string"))]
+    pairs = [x for c in LAYOUT for x in (F.lit(c), F.col(c).cast("string"))]
     return (
-        files.groupBy("file_path", "file_size", *partition_columns)
+        files.groupBy("path", "file_size", *LAYOUT)
         .agg(F.count(F.lit(1)).alias("record_count"))
         .select(
-            F.col("file_path").alias("path"),
+            "path",
             "file_size",
             "record_count",
             F.create_map(*pairs).alias("partition"),
-            F.lit(committed_ms).cast("bigint").alias("snapshot_ms"),
+            F.lit(commit_ms).cast("bigint").alias("snapshot_ms"),
             F.lit(ADDED).alias("status"),
+            F.lit(commit_id).cast("bigint").alias(COMMIT),
         )
     )
 
 
-def record_manifest(spark: SparkSession, table_path: str, manifest_path: str, committed_ms: int, partition_columns: list[str]) -> None:
-    """Append the files a commit added: those the manifest does not list yet."""
-    current = file_manifest(spark, table_path, committed_ms, partition_columns)
-    try:
-        known = spark.read.parquet(manifest_path).select("path")
-    except Exception as missing:  # first commit: nothing recorded yet
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-    else:
-        current = current.join(known, "path", "left_anti")
-    current.write.mode("append").parquet(manifest_path)
+def commit_rows(
+    rows: DataFrame, table_path: str, manifest_path: str, commit_id: int, commit_ms: int, codec: str = "snappy"
+) -> None:
+    """Write one commit of a table and its manifest rows.
+
+    Both go to a folder of the commit's own and replace it, so a batch that is
+    retried after a failure leaves neither duplicates nor missing files.
+    """
+    stamped = rows.withColumn(COMMIT, F.lit(commit_id).cast("bigint"))
+    write_table(stamped, table_path, [COMMIT, *LAYOUT], codec, replace_partitions=True)
+    if rows.isEmpty():
+        return
+    manifest = file_manifest(rows.sparkSession, table_path, commit_id, commit_ms)
+    manifest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(COMMIT).parquet(manifest_path)
 
 
 def snapshot_log(manifest: DataFrame) -> DataFrame:
@@ -77,14 +89,11 @@ def files_as_of(manifest: DataFrame, as_of_ms: int) -> DataFrame:
 def read_as_of(spark: SparkSession, table_path: str, manifest_path: str, as_of_ms: int) -> DataFrame:
     """The table as it stood at a time.
 
-    Files are matched by a semi join on their path, so the file list never
-    passes through the driver.
+    Commits are matched on the table's partition column, so Spark prunes the
+    files of later commits instead of reading them.
     """
-    live = files_as_of(spark.read.parquet(manifest_path), as_of_ms).select("path")
-    rows = spark.read.parquet(table_path)
-    return (
-        rows.select("*", F.col("_metadata.file_path").alias("path")).join(live, "path", "left_semi").drop("path")
-    )
+    live = files_as_of(spark.read.parquet(manifest_path), as_of_ms).select(COMMIT).distinct()
+    return spark.read.parquet(table_path).join(live, COMMIT, "left_semi").drop(COMMIT)
 
 
 def register_table(spark: SparkSession, name: str, location: str, partitioned: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,51 +38,55 @@ def snapshot_valid_filter(levels: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_table(levels: DataFrame) -> DataFrame:
-    """Level rows to the snapshot table; the time stays BIGINT milliseconds."""
-    return snapshot_valid_filter(levels).select(
-        "exchange", "symbol", F.col("ts_ms").alias("timestamp"), "last_update_id", "side", "price", "quantity",
-        F.col("level").cast("int").alias("level"),
-    )
+def _with_extra(rows: DataFrame, columns: dict[str, Column], extra: Sequence[str]) -> DataFrame:
+    """The table's columns, then the partition columns it does not have."""
+    more = [F.col(c) for c in extra if c not in columns]
+    return rows.select(*[value.alias(name) for name, value in columns.items()], *more)
+
+
+def _plain(*names: str) -> dict[str, Column]:
+    return {n: F.col(n) for n in names}
+
+
+def snapshot_table(levels: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Level rows to the snapshot table; the time stays BIGINT milliseconds.
+
+    ``extra`` names partition columns to add, here and in the other tables.
+    """
+    columns = _plain("exchange", "symbol", "last_update_id", "side", "price", "quantity")
+    columns |= {"timestamp": F.col("ts_ms"), "level": F.col("level").cast("int")}
+    return _with_extra(snapshot_valid_filter(levels), {c: columns[c] for c in SNAPSHOT_COLUMNS}, extra)
+
 
+def _two_times() -> dict[str, Column]:
+    return {c: F.timestamp_millis(c) for c in ("event_time", "received_time")}
 
-def delta_table(updates: DataFrame) -> DataFrame:
+
+def delta_table(updates: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Updates to the delta table; both times become TIMESTAMP."""
-    return updates.select(
-        "symbol", F.timestamp_millis("event_time").alias("event_time"), "update_id", "prev_update_id",
-        "first_update_id", "side", "price", "quantity", F.timestamp_millis("received_time").alias("received_time"),
-    )
+    return _with_extra(updates, _plain(*DELTA_COLUMNS) | _two_times(), extra)
 
 
-def open_interest_table(readings: DataFrame) -> DataFrame:
-    return readings.select(
-        F.lower("exchange").alias("exchange"), "market", "symbol",
-        F.timestamp_millis("event_time").alias("event_time"), "open_interest",
-        F.timestamp_millis("received_time").alias("received_time"),
-    )
+def open_interest_table(readings: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    columns = _plain(*OPEN_INTEREST_COLUMNS) | _two_times() | {"exchange": F.lower("exchange")}
+    return _with_extra(readings, columns, extra)
 
 
-def premium_index_table(readings: DataFrame) -> DataFrame:
+def premium_index_table(readings: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Readings to the premium table.
 
     ``next_funding_time`` stays BIGINT; an absent one is stored as the epoch ms
     of year 1, the value existing readers of the table test for.
     """
     absent = F.lit(clock.ABSENT_TIME_MS).cast("bigint")
-    return readings.select(
-        F.lower("exchange").alias("exchange"), "market", "symbol",
-        F.timestamp_millis("event_time").alias("event_time"), "mark_price", "index_price", "estimated_settle_price",
-        "funding_rate", F.coalesce(F.col("next_funding_time"), absent).alias("next_funding_time"), "premium_index",
-        F.timestamp_millis("received_time").alias("received_time"),
-    )
+    columns = _plain(*PREMIUM_INDEX_COLUMNS) | _two_times()
+    columns |= {"exchange": F.lower("exchange"), "next_funding_time": F.coalesce(F.col("next_funding_time"), absent)}
+    return _with_extra(readings, columns, extra)
 
 
-def liquidation_table(rows: DataFrame) -> DataFrame:
-    return (
-        rows.filter(F.col("exchange") != "")
-        .withColumn("time_millis", F.timestamp_millis("time_ms"))
-        .select(*LIQUIDATION_COLUMNS)
-    )
+def liquidation_table(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    columns = _plain(*LIQUIDATION_COLUMNS) | {"time_millis": F.timestamp_millis("time_ms")}
+    return _with_extra(rows.filter(F.col("exchange") != ""), columns, extra)
 
 
 # --- layout -----------------------------------------------------------------
@@ -144,11 +150,13 @@ def write_table(
     codec: str = "snappy",
     mode: str = "append",
     max_records_per_file: int = 0,
+    replace_partitions: bool = False,
 ) -> None:
     """Write Parquet under ``column=value`` folders.
 
     The rebalance hint lets Spark merge the small instruments of a write into
     few files and split a hot one over many tasks, both by measured size.
+    ``replace_partitions`` overwrites just the folders the rows fall in.
     """
     conf = rows.sparkSession.conf
     before = conf.get(MILLIS_CONF)
@@ -156,7 +164,8 @@ def write_table(
     try:
         (
             rows.hint("rebalance", *[F.col(c) for c in partition_columns])
-            .write.mode(mode)
+            .write.mode("overwrite" if replace_partitions else mode)
+            .option("partitionOverwriteMode", "dynamic" if replace_partitions else "static")
             .option("compression", codec)
             .option("maxRecordsPerFile", max_records_per_file)
             .partitionBy(*partition_columns)
