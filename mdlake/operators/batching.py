@@ -9,8 +9,9 @@ where the previous batch ended, which is sequential per instrument; here that
 chain is cut so that an instrument holding most of the data is still processed
 by many tasks:
 
-1. the narrow message rows are range-partitioned by (key, time, id), which
-   spreads a hot key over as many tasks as its size asks for, and checkpointed;
+1. the narrow message rows are stored once, then range-partitioned by (key,
+   time, id), which spreads a hot key over as many tasks as its size asks for,
+   and checkpointed;
 2. each task reports, for the keys at its two edges, where its last batch would
    start for every possible first boundary (a short table);
 3. those tables are chained per key, giving each task its entry state;
@@ -267,8 +268,11 @@ def number_batches(messages: DataFrame, limits: Limits, chunks: int | None = Non
     spark = messages.sparkSession
     order = ["key", "ts_ms", "id"]
     count = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Range partitioning first samples its input; stored narrow rows keep that
+    # from decoding every payload a second time.
+    narrow = durable(messages)
     parts = durable(
-        messages.repartitionByRange(count, *order)
+        narrow.repartitionByRange(count, *order)
         .sortWithinPartitions(*order)
         .withColumn("chunk", F.spark_partition_id())
     )
