@@ -22,15 +22,21 @@ Only step 3 is sequential, over at most two rows per task.
 
 from __future__ import annotations
 
+import sys
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The small functions below run inside tasks; sending them by value means that
+# executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Default processor and writer limits.
 PROCESSOR_ROWS = 100
 PROCESSOR_TIMEOUT_MS = 5_000

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mdlake.functions import clock
 from mdlake.functions.parsing import parse_strict
+from mdlake.operators.batching import durable
 
 # Metric names behind each feature switch, fields that are never
 # dimensions, drop counters by feed and stage, the drop report's categories, and
@@ -178,7 +179,9 @@ def buffer_occupancy(flow: DataFrame, capacity: int, width_ms: int = 1000) -> Da
     seconds = flow.groupBy(
         *key, clock.bucket_ms(F.col("ts_ms"), width_ms).alias("second_ms")
     ).agg(F.sum("change").alias("change"))
-    seconds = seconds.withColumn("day_ms", clock.bucket_ms(F.col("second_ms"), clock.DAY_MS))
+    # Stored, because both the days and the seconds are built from it; Spark
+    # would otherwise read and aggregate the whole flow twice.
+    seconds = durable(seconds.withColumn("day_ms", clock.bucket_ms(F.col("second_ms"), clock.DAY_MS)))
     before = Window.partitionBy(*key).orderBy("day_ms").rowsBetween(Window.unboundedPreceding, -1)
     days = (
         seconds.groupBy(*key, "day_ms")

@@ -6,16 +6,21 @@ State is one small row per key.  The logic is the batch operators' own
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from mdlake.operators.batching import NEVER, Limits, Open, number_run
 
+# Sent to the executors by value, like the batch functions it uses.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OPEN_SCHEMA = "rows BIGINT, first_ms BIGINT, last_ms BIGINT, number BIGINT, messages BIGINT"
 CLOSED_SCHEMA = (
     "key STRING, batch_no BIGINT, messages BIGINT, record_count BIGINT, first_ms BIGINT, last_ms BIGINT, reason STRING"
