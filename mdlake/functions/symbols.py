@@ -23,6 +23,11 @@ def _remap(symbol: Column, table: dict[str, str]) -> Column:
     return F.coalesce(F.element_at(F.create_map(*pairs), symbol), symbol)
 
 
+def kucoin_symbol(symbol: Column) -> Column:
+    dashless = F.replace(symbol, F.lit("-"), F.lit(""))
+    return F.regexp_replace(F.regexp_replace(dashless, "M$", ""), "^XBT", "BTC")
+
+
 def canonical_symbol(exchange: Column, symbol: Column) -> Column:
     """The common spelling of a venue's native symbol.
 
@@ -32,12 +37,11 @@ def canonical_symbol(exchange: Column, symbol: Column) -> Column:
     venue = F.lower(exchange)
     dashless = F.replace(symbol, F.lit("-"), F.lit(""))
     usdc = F.replace(symbol, F.lit("PERP"), F.lit("USDC"))
-    kucoin = F.regexp_replace(F.regexp_replace(dashless, "M$", ""), "^XBT", "BTC")
     okx = F.replace(F.regexp_replace(symbol, "-SWAP$", ""), F.lit("-"), F.lit(""))
     return (
         F.when(venue == "binance", _remap(symbol, BINANCE_SCALED))
         .when(venue == "bybit", _remap(usdc, BYBIT_SCALED))
-        .when(venue == "kucoin", kucoin)
+        .when(venue == "kucoin", kucoin_symbol(symbol))
         .when(venue == "okx", okx)
         .when(venue == "coinbase", dashless)
         .when(venue == "kraken", F.replace(dashless, F.lit("/"), F.lit("")))

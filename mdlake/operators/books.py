@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mdlake.functions import clock
 from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_strict, unnest
-from mdlake.functions.symbols import canonical_symbol
+from mdlake.functions.symbols import canonical_symbol, kucoin_symbol
 
 TEXT_LEVELS = "ARRAY<ARRAY<STRING>>"
 BINANCE = f"lastUpdateId BIGINT, bids {TEXT_LEVELS}, asks {TEXT_LEVELS}"
@@ -64,7 +64,7 @@ def parse_books(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         .when(is_clean(kucoin), _book(kucoin["sequence"], kucoin["bids"], kucoin["asks"]))
         .when(is_clean(okx) & some, _book(parse_long(first["ts"]), first["bids"], first["asks"]))
     )
-    symbol = F.when(venue == "kucoin", canonical_symbol(venue, F.col("symbol"))).otherwise(F.col("symbol"))
+    symbol = F.when(venue == "kucoin", kucoin_symbol(F.col("symbol"))).otherwise(F.col("symbol"))
     return unnest(parsed, ["exchange", symbol.alias("symbol"), "market", "ts_ms", *keep], F.array(book))
 
 
@@ -121,11 +121,11 @@ def flatten_books(books: DataFrame) -> DataFrame:
     A level that is too short or does not parse, or whose price or quantity is
     zero, is dropped without renumbering the others.
     """
+    named = books.withColumn("symbol", canonical_symbol(F.col("exchange"), F.col("symbol")))
     return (
-        explode_sides(books)
+        explode_sides(named)
         .withColumns(
             {
-                "symbol": canonical_symbol(F.col("exchange"), F.col("symbol")),
                 "price": parse_strict(F.col("price_text")),
                 "quantity": parse_strict(F.col("quantity_text")),
             }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mdlake.functions import clock
 from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_strict, text_or_blank, unnest
-from mdlake.functions.symbols import canonical_symbol
+from mdlake.functions.symbols import canonical_symbol, kucoin_symbol
 from mdlake.operators.books import TEXT_LEVELS, explode_sides, nest_sides, no_levels
 from mdlake.sources.frames import topic_symbol
 
@@ -122,7 +122,7 @@ def parse_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         .when(
             is_clean(kucoin),
             _delta(
-                canonical_symbol(venue, topic_symbol(venue, text_or_blank(kucoin["topic"]))),
+                kucoin_symbol(topic_symbol(venue, text_or_blank(kucoin["topic"]))),
                 long_or_zero(kucoin["data"]["timestamp"]),
                 (step, step - 1, step),
                 _one_level(change, "buy"),
@@ -153,11 +153,11 @@ def decode_deltas(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def flatten_deltas(deltas: DataFrame) -> DataFrame:
     """Parsed deltas to updates; zero price or quantity is kept (a removal)."""
+    named = deltas.withColumn("symbol", canonical_symbol(F.col("exchange"), F.col("symbol")))
     return (
-        explode_sides(deltas)
+        explode_sides(named)
         .withColumns(
             {
-                "symbol": canonical_symbol(F.col("exchange"), F.col("symbol")),
                 "price": parse_strict(F.col("price_text")),
                 "quantity": parse_strict(F.col("quantity_text")),
             }

@@ -253,7 +253,7 @@ def delta_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     exchange = venue_of(F.col("event_id"))
     return e.select(
@@ -294,7 +294,7 @@ def frame_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("k") % 17
     exchange = pick(kind, [x[0] for x in kinds])
     frame = F.replace(pick(kind, [x[2] for x in kinds]), F.lit("S\""), F.concat("symbol", F.lit('"')))
-    base = _events(spark, sf_dir).select("k", "ts", "ms", "u", exchange.alias("exchange"))
+    base = event_rows(spark, sf_dir).select("k", "ts", "ms", "u", exchange.alias("exchange"))
     return (
         base.withColumn("symbol", native_symbol(F.col("exchange"), F.col("u")))
         .select(
@@ -331,7 +331,7 @@ def oi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(venue == "okx", text('{"arg":{"channel":"open-interest","instId":"', symbol, '"},"data":[{"instId":"', F.lower(symbol), '","oi":"', value, '","oiCcy":"1","ts":"', okx_ts, '"}]}'))
         .otherwise(text('{"symbol":"', symbol, '","openInterest":"', value, '","time":', time, "}"))
     )
-    return _events(spark, sf_dir).select(
+    return event_rows(spark, sf_dir).select(
         F.lit("foi").alias("feed"),
         "exchange",
         "symbol",
@@ -360,7 +360,7 @@ def pi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(empty, '{"dataList":[]}')
         .otherwise(text('{"dataList":[{"symbol":"', symbol, '","timePoint":', when, ',"value":', rate, '},{"symbol":"OLD","timePoint":1,"value":9}]}'))
     )
-    return _events(spark, sf_dir).select(
+    return event_rows(spark, sf_dir).select(
         F.lit("pi").alias("feed"),
         "exchange",
         "symbol",
@@ -460,7 +460,7 @@ def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_metric``: one metric event per event, with time run 1000 times faster."""
     k = F.col("k")
     unit = F.when(k % 4 == 0, "Percent").when(k % 4 == 1, "COUNT").when(k % 4 == 2, "Bytes")
-    return _events(spark, sf_dir).select(
+    return event_rows(spark, sf_dir).select(
         k.alias("event_id"),
         F.call_function("div", F.col("ms"), F.lit(1000)).alias("ts_ms"),
         F.col("event_type").alias("component"),
@@ -480,7 +480,7 @@ def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_stage``: one stage outcome per event."""
     k = F.col("k")
-    return _events(spark, sf_dir).select(
+    return event_rows(spark, sf_dir).select(
         k.alias("event_id"),
         F.call_function("div", F.col("ms"), F.lit(1000)).alias("ts_ms"),
         pick(k % 5, STAGE_FEEDS).alias("feed"),
@@ -512,7 +512,7 @@ def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("Rate-Limit-Reset", F.when(F.col("u") % 2 == 0, "1737043200").when(k % 3 == 0, "1737043200000")),
         ("Rate-Limit-Interval", F.when(k % 7 == 0, "500ms").when(k % 7 == 1, " 3S ").when(k % 7 == 2, "4").when(k % 7 == 3, "xs")),
     )
-    return _events(spark, sf_dir).select(
+    return event_rows(spark, sf_dir).select(
         k.alias("event_id"),
         "ms",
         "exchange",
@@ -529,7 +529,7 @@ def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    return _events(spark, sf_dir).select(
+    return event_rows(spark, sf_dir).select(
         k.alias("event_id"),
         F.col("ms").alias("ts_ms"),
         F.when(F.col("event_type") == "error", "error").otherwise("info").alias("level"),
@@ -545,7 +545,7 @@ def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resource_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_resource``: one host sample per event."""
     k = F.col("k")
-    return _events(spark, sf_dir).select(
+    return event_rows(spark, sf_dir).select(
         k.alias("event_id"),
         F.col("ms").alias("ts_ms"),
         F.when(k % 13 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("cpu_percent"),

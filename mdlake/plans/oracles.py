@@ -428,7 +428,7 @@ SELECT symbol, event_time, update_id, prev_update_id, first_update_id, side, pri
     "sink_open_interest": f"""WITH {OI} SELECT exchange, market, symbol, event_time, open_interest, received_time FROM oin""",
     "sink_premium_index": f"""WITH {PI} SELECT * REPLACE (coalesce(next_funding_time, {ABSENT}) AS next_funding_time) FROM pin""",
     "sink_liquidation": f"""WITH {LIQ} SELECT {LIQ_COLUMNS.replace('time_ms', 'time_ms AS time_millis')} FROM liq""",
-    "partition_layout": f"""WITH {DELTA}, {OI.replace('ev AS', 'ev AS', 1)}
+    "partition_layout": f"""WITH {DELTA}, {OI}
 SELECT 'exchange=' || exchange || '/market=' || market || '/symbol=' || symbol || '/' || {utc('received_time', 'year=%Y/month=%m/day=%d/hour=%H')} AS folder, count(*) AS n
 FROM delta GROUP BY ALL
 UNION ALL

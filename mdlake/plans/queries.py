@@ -216,7 +216,7 @@ def _number_texts(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("1e400"), F.lit("1e-400"), F.lit(""), F.lit("abc"), F.lit("1,5"), F.lit("--1"), F.lit("."), F.lit(None).cast("string"),
     ]
     chosen = F.element_at(F.array(*shapes), (k % len(shapes) + 1).cast("int"))
-    return fx._events(spark, sf).select(F.col("k").alias("event_id"), chosen.alias("text"))
+    return fx.event_rows(spark, sf).select(F.col("k").alias("event_id"), chosen.alias("text"))
 
 
 @query
