@@ -2,4 +2,40 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_WORDS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP10 = rf"""
+WITH docs AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, w, least(len(w), 10) AS width
+  FROM (SELECT item_id, coalesce({_WORDS}, []) AS w FROM benchmark) WHERE len(w) > 0
+),
+spans AS (
+  SELECT DISTINCT item_id, width, array_to_string(list_slice(w, i, i + width - 1), ' ') AS span
+  FROM (SELECT item_id, width, w, unnest(range(1, len(w) - width + 2)) AS i FROM items)
+),
+windows AS (
+  SELECT doc_id, i, width, array_to_string(list_slice(w, i, i + width - 1), ' ') AS span
+  FROM (
+    SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i
+    FROM docs, (SELECT DISTINCT width FROM spans)
+  )
+),
+met AS (SELECT doc_id, i, width, item_id FROM windows JOIN spans USING (width, span)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + width)) AS p FROM met) GROUP BY doc_id
+),
+ids AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS listed
+  FROM met GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op10_decontamination": OP10}

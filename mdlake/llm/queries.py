@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import langid, simhash
+from mdlake.llm import decontam, langid, simhash
 from mdlake.llm.common import crc_of_id, table
 
 
@@ -24,7 +24,21 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, ["doc_id", "held_out"])
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the benchmark stands in all documents."""
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op8_language": op8_language,
+    "op10_decontamination": op10_decontamination,
 }
