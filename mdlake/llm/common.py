@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Task functions travel by value, so executors need no copy of this package.
@@ -56,6 +56,53 @@ def uniform(*parts: str | Column, seed: int) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
+def in_order(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Rows dealt by ranges of (group, order), stored, with their range as ``cell``.
+
+    Spark samples the order to cut ranges of like size, so a hot group spreads
+    over as many tasks as its rows ask for.  ``cell`` rises with the order.
+    """
+    dealt = rows.repartitionByRange(*group, *order)
+    return stored(dealt.withColumn("cell", F.spark_partition_id()))
+
+
+def running(cells: DataFrame, group: list[str], order: list[str], amount: str) -> DataFrame:
+    """Adds ``before``: the sum of ``amount`` over the rows that precede in the group.
+
+    Each range is summed by itself; its start is the sum of the ranges before,
+    one row per group and range.
+    """
+    here = Window.partitionBy("cell", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = cells.groupBy(*group, "cell").agg(F.sum(amount).alias("in_cell"))
+    earlier = (
+        Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        if group
+        else Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = totals.select(*group, "cell", F.coalesce(F.sum("in_cell").over(earlier), F.lit(0)).alias("start"))
+    for name in group:  # a null group meets itself
+        starts = starts.withColumnRenamed(name, f"__{name}")
+    same = F.col("cell") == F.col("__cell")
+    for name in group:
+        same = same & F.col(name).eqNullSafe(F.col(f"__{name}"))
+    own = cells.withColumn("before", F.coalesce(F.sum(amount).over(here), F.lit(0)))
+    joined = own.join(starts.withColumnRenamed("cell", "__cell"), same)
+    return joined.withColumn("before", F.col("before") + F.col("start")).drop("start", "__cell", *[f"__{g}" for g in group])
+
+
+def attach(docs: DataFrame, decided: DataFrame, key: list[str]) -> DataFrame:
+    """``decided`` with the remaining columns of ``docs``, met on the ``key``.
+
+    Rows of ``docs`` that agree in the key stand for each other.
+    """
+    once = docs.dropDuplicates(key)
+    renamed = decided.select(*[F.col(c).alias(f"__{c}") if c in key else F.col(c) for c in decided.columns])
+    same = F.lit(True)
+    for name in key:
+        same = same & F.col(name).eqNullSafe(F.col(f"__{name}"))
+    return renamed.join(once, same).drop(*[f"__{c}" for c in key])
+
+
 # --- inside tasks -------------------------------------------------------------
 
 

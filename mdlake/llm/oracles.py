@@ -38,4 +38,50 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op10_decontamination": OP10}
+OP5 = r"""
+WITH docs AS (
+  SELECT doc_id, source, size,
+    0.1::DOUBLE + 0.9::DOUBLE * least(lettered::DOUBLE / greatest(size, 1)::DOUBLE, 1.0::DOUBLE) AS quality,
+    (('0x' || substr(md5('5|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE)
+      / 4503599627370496::DOUBLE AS u
+  FROM (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+      coalesce(len(regexp_extract_all(text, '(?:^|[\x20\x09-\x0D])\pL')), 0) AS lettered
+    FROM documents
+  )
+),
+sizes AS (
+  SELECT source, source_size, (2 * source_size)::DOUBLE AS cap,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source)
+),
+levels AS (
+  SELECT *, cap / weight < (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS capped
+  FROM sizes
+  WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+targets AS (
+  SELECT source, source_size, CASE WHEN capped THEN cap ELSE least(
+    (1.5::DOUBLE * sum(source_size) OVER () - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ())
+      / nullif(sum(CASE WHEN capped THEN 0 ELSE weight END) OVER (), 0) * weight, cap) END AS target
+  FROM levels
+),
+drawn AS (
+  SELECT doc_id, source, size, coalesce(sum(size) OVER (
+    PARTITION BY source ORDER BY -ln(u) / quality, doc_id, size, quality
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs
+),
+taken AS (
+  SELECT doc_id, size, source_size, target, before,
+    CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs
+  FROM drawn JOIN targets ON drawn.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(size * (epochs + CASE WHEN target > epochs * source_size AND before + size / 2.0 <= target - epochs * source_size
+    THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM taken
+"""
+
+ORACLES: dict[str, str] = {"op5_mixing": OP5, "op10_decontamination": OP10}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import decontam, langid, simhash
-from mdlake.llm.common import crc_of_id, table
+from mdlake.llm import decontam, langid, mixing, sharding, simhash
+from mdlake.llm.common import crc_of_id, table, word_count
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,36 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of the same mixture."""
+    body = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        (F.octet_length(body) + 1).cast("bigint").alias("size"),
+        F.crc32(body.cast("binary")).alias("text_crc32"),
+    )
+    placed = sharding.interleave(rows, identity=("doc_id", "text_crc32", "size"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of all documents a mixture of their sources takes."""
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", word_count("text").alias("size"), mixing.quality("text").alias("quality")
+    )
+    mixed = mixing.mix(rows)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learnt from those not held out."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.pmod(crc_of_id(), F.lit(4)) == 2)
@@ -39,6 +69,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op4_sharding": op4_sharding,
+    "op5_mixing": op5_mixing,
     "op8_language": op8_language,
     "op10_decontamination": op10_decontamination,
 }
