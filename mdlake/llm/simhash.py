@@ -108,10 +108,14 @@ def _fingerprints(width: int, others: int):
     return prints
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp); the unsigned fingerprint is held in a signed long."""
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_fingerprints(width, 1), "doc_id BIGINT, fp BIGINT")
+def fingerprints(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, keep: list[str] | None = None
+) -> DataFrame:
+    """(doc_id, the ``keep`` columns, fp); the unsigned fingerprint is held in a signed long."""
+    kept = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), *(keep or []))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), *(keep or []), F.col(text).alias("__text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return rows.mapInArrow(_fingerprints(width, len(kept.columns)), f"{schema}, fp BIGINT")
 
 
 # --- bit-sliced comparison --------------------------------------------------------
@@ -263,20 +267,26 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, bucket_rows: int = BUCKET_ROWS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = SHINGLE,
+    bucket_rows: int = BUCKET_ROWS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``.
+    """(doc_id, the ``keep`` columns, fp, component_id, class_fp) of every row of ``docs``.
 
-    ``component_id`` is the smallest doc_id of the class.  Null and wordless
-    texts have fingerprint 0 and are linked like any others; repeated rows each
-    come back; a null doc_id is kept, and names a class only if no other does.
-    An empty table gives an empty one, and columns besides the two are unused.
+    ``component_id`` is the smallest doc_id of the class, ``class_fp`` its
+    smallest fingerprint.  Null and wordless texts have fingerprint 0 and are
+    linked like any others; repeated rows each come back; a null doc_id is kept
+    and never names a class.  An empty table gives an empty one, and columns
+    that are not named are unused.
     """
-    prints = stored(fingerprints(docs, doc_id, text, width))
+    prints = stored(fingerprints(docs, doc_id, text, width, keep))
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     found = components(links(first.select("fp"), bucket_rows=bucket_rows))
     rooted = first.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.select("fp", "root").join(least, "root").select("fp", "component_id", F.col("root").alias("class_fp"))
+    return prints.join(classes, "fp").select("doc_id", *(keep or []), "fp", "component_id", "class_fp")
