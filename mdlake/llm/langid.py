@@ -118,7 +118,8 @@ def train(
         (F.lit(float(max_train_bytes)) / F.greatest(F.sum(F.octet_length("text")), F.lit(1))).alias("share")
     )
     chance = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.join(share, "label").filter(chance < F.col("share")).select("text", "label")
+    # One row per language, as many as the model has columns: the texts stay where they are.
+    sample = rows.join(F.broadcast(share), "label").filter(chance < F.col("share")).select("text", "label")
     counts = (
         sample.mapInArrow(_count_grams, "label STRING, gram BIGINT, n BIGINT")
         .groupBy("label", "gram")

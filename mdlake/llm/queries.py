@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import decontam, langid, mixing, sharding, simhash
+from mdlake.llm import decontam, langid, mixing, sharding, simhash, toxicity
 from mdlake.llm.common import crc_of_id, table, word_count
 
 
@@ -17,6 +17,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from labels of those not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.pmod(crc_of_id(), F.lit(5)) == 0)
+    labels = table(spark, sf_dir, "labels").filter(F.pmod(crc_of_id(), F.lit(5)) != 0)
+    model = toxicity.train(docs.filter(~F.col("held_out")), labels)
+    scored = toxicity.toxicity(docs, model, ["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of the same mixture."""
     body = F.coalesce("text", F.lit(""))
@@ -69,6 +78,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op8_language": op8_language,
