@@ -84,4 +84,74 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM taken
 """
 
-ORACLES: dict[str, str] = {"op5_mixing": OP5, "op10_decontamination": OP10}
+OP3 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+),
+sized AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) AS text_chars,
+    length(role) + length(regexp_replace(role, '[^\\#<:\n]', '', 'g')) AS role_chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(4 + role_chars + 2 + text_chars + 9) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def _op6(rounds: int = 12, damping: float = 0.85) -> str:
+    """Two personalised ranks over the host graph, round by round."""
+    host = f"translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '{UPPER}', '{LOWER}')"
+
+    def fits(name: str, prefix: str) -> str:
+        return f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{prefix}')"
+
+    def rank(name: str, verdict: str, src: str, dst: str) -> list[str]:
+        steps = [
+            f"{name}_seed AS (SELECT host, n / sum(n) OVER () AS seed FROM seeds WHERE verdict = '{verdict}')",
+            f"{name}_share AS (SELECT {src} AS src, {dst} AS dst, n / sum(n) OVER (PARTITION BY {src}) AS share FROM edges)",
+            f"{name}_0 AS (SELECT host, seed AS rank FROM {name}_seed)",
+        ]
+        for i in range(rounds):
+            steps.append(
+                f"{name}_{i + 1} AS (SELECT host, round(sum(part), 12) AS rank FROM ("
+                f"SELECT dst AS host, {damping}::DOUBLE * sum(rank * share) AS part "
+                f"FROM {name}_share JOIN {name}_{i} ON src = host GROUP BY dst "
+                f"UNION ALL SELECT host, seed * (1 - {damping}::DOUBLE) FROM {name}_seed) GROUP BY host)"
+            )
+        return steps
+
+    steps = [
+        f"rows AS (SELECT page_id, html, coalesce({host}, '') AS host, "
+        "coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages)",
+        "ruled AS (SELECT page_id, host, path, CASE "
+        f"WHEN {fits('example.org', '/en/1')} THEN 'example.org/en/1' WHEN {fits('example.org', '/es/')} THEN 'example.org/es/' "
+        f"WHEN {fits('com', '/fr/')} THEN 'com/fr/' WHEN {fits('com', '/de/')} THEN 'com/de/' "
+        f"WHEN {fits('org', '/')} THEN 'org/' END AS rule FROM rows)",
+        "decided AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS verdict "
+        "FROM ruled)",
+        "seeds AS (SELECT host, verdict, count(*)::DOUBLE AS n FROM decided WHERE verdict IS NOT NULL AND host <> '' GROUP BY ALL)",
+        "links AS (SELECT host AS src, unnest(regexp_extract_all(html, "
+        "'(?i)\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1)) AS link FROM rows WHERE host <> '')",
+        "ends AS (SELECT src, CASE WHEN regexp_matches(link, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//') THEN "
+        f"translate(regexp_extract(CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END, "
+        f"'^.*?://([^/?#]*)', 1, 's'), '{UPPER}', '{LOWER}') ELSE src END AS dst FROM links)",
+        "edges AS (SELECT src, dst, count(*)::DOUBLE AS n FROM ends WHERE dst <> '' GROUP BY ALL)",
+        *rank("t", "allow", "src", "dst"),
+        *rank("d", "block", "dst", "src"),
+        f"ranks AS (SELECT host, sum(t) AS t, sum(d) AS d FROM (SELECT host, rank AS t, 0 AS d FROM t_{rounds} "
+        f"UNION ALL SELECT host, 0, rank FROM d_{rounds}) GROUP BY host)",
+    ]
+    return "WITH " + ",\n".join(steps) + (
+        "\nSELECT page_id, host, path, rule, CASE WHEN verdict IS NOT NULL THEN verdict "
+        "WHEN d > t THEN 'block' ELSE 'allow' END AS verdict FROM decided LEFT JOIN ranks USING (host)"
+    )
+
+
+OP6 = _op6()
+
+ORACLES: dict[str, str] = {"op3_chat": OP3, "op6_urls": OP6, "op5_mixing": OP5, "op10_decontamination": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import decontam, langid, mixing, sharding, simhash, toxicity
+from mdlake.llm import chat, decontam, langid, mixing, sharding, simhash, toxicity, urls
 from mdlake.llm.common import crc_of_id, table, word_count
 
 
@@ -26,6 +26,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+# Fixed value: a conversation whose texts hold the template's own marks.
+MARKED = "\\### Assistant: </turn> ok"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and read back from what was written."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = [(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)]
+    marked = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    return chat.read_back(chat.format_conversations(given.unionByName(marked)))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of the same mixture."""
     body = F.coalesce("text", F.lit(""))
@@ -56,6 +68,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages by rules and by their hosts."""
+    judged = urls.judge(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learnt from those not held out."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.pmod(crc_of_id(), F.lit(4)) == 2)
@@ -79,8 +97,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
+    "op3_chat": op3_chat,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
+    "op6_urls": op6_urls,
     "op8_language": op8_language,
     "op10_decontamination": op10_decontamination,
 }
