@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import chat, decontam, langid, mixing, sharding, simhash, toxicity, urls
+from mdlake.llm import chat, decontam, langid, mixing, pii, sharding, simhash, toxicity, urls, winnow
 from mdlake.llm.common import crc_of_id, table, word_count
 
 
@@ -74,6 +74,18 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    found = pii.find(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[pii.count_of(base, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learnt from those not held out."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.pmod(crc_of_id(), F.lit(4)) == 2)
@@ -81,6 +93,14 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, ["doc_id", "held_out"])
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of edited ones."""
+    made = winnow.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return made.withColumn("fingerprint", winnow.digest("fingerprint")).withColumn(
+        "edited_fingerprint", winnow.digest("edited_fingerprint")
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of the benchmark stands in all documents."""
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -101,6 +121,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op6_urls": op6_urls,
+    "op7_pii": op7_pii,
     "op8_language": op8_language,
+    "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
 }
