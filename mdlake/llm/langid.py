@@ -138,15 +138,17 @@ def _tabulate(counts: list[tuple[str, int, int]]) -> Model:
     n = np.array([c[2] for c in counts], dtype=np.float64)
     width = len(languages)
 
-    # Count tables by gram length; row 0 stands for unknown grams.
-    keys: list[np.ndarray] = [np.zeros(1, np.int64)]
-    seen: list[np.ndarray] = [np.zeros((1, width))]
-    for k in range(1, ORDER + 1):
-        tail = gram & ((1 << (8 * k)) - 1)
-        distinct, where = np.unique(tail, return_inverse=True)
-        held = np.zeros((len(distinct) + 1, width))
-        np.add.at(held, (where + 1, lang), n)
-        keys.append(distinct)
+    # Count tables by gram length; row 0 stands for unknown grams.  Contexts that
+    # reach before a text are no grams of it, and are known all the same.
+    tails = [gram & ((1 << (8 * k)) - 1) for k in range(ORDER + 1)]
+    keys: list[np.ndarray] = [np.zeros(1, np.int64)] * (ORDER + 1)
+    keys[ORDER] = np.unique(tails[ORDER])
+    for k in range(ORDER - 1, 0, -1):
+        keys[k] = np.unique(np.concatenate((tails[k], keys[k + 1] >> 8)))
+    seen: list[np.ndarray] = []
+    for k in range(ORDER + 1):
+        held = np.zeros((len(keys[k]) + 1, width))
+        np.add.at(held, (np.searchsorted(keys[k], tails[k]) + 1, lang), n)
         seen.append(held)
 
     def ids(k: int, wanted: np.ndarray) -> np.ndarray:
