@@ -44,6 +44,28 @@ def parse_long(text: Column) -> Column:
     return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
 
 
+def plain_decimal(shortest: Column) -> Column:
+    """The text of a DOUBLE without exponent and trailing zeros.
+
+    Works on the digits alone, so no size of number is out of range: ``1.5E-19``
+    becomes ``0.00000000000000000015``, ``1.0E21`` a one and 21 zeros.
+    """
+    sign = F.regexp_extract(shortest, "^(-?)", 1)
+    whole = F.regexp_extract(shortest, "^-?([0-9]+)", 1)
+    part = F.regexp_replace(F.regexp_extract(shortest, r"\.([0-9]+)", 1), "0+$", "")
+    power = F.coalesce(F.regexp_extract(shortest, "E(-?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    digits = F.concat(whole, part)
+    point = F.length(whole) + power  # digits before the point
+    moved = (
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= F.length(digits), F.rpad(digits, point, "0"))
+        .otherwise(F.concat(F.left(digits, point), F.lit("."), F.right(digits, F.length(digits) - point)))
+    )
+    moved = F.regexp_replace(F.regexp_replace(moved, r"^0+(?=[0-9])", ""), r"(\.[0-9]*?)0+$", "$1")
+    moved = F.regexp_replace(moved, r"\.$", "")
+    return F.when(shortest.rlike("^-?[0-9]"), F.concat(sign, moved)).otherwise(shortest)
+
+
 def leading_number(text: Column) -> Column:
     """The number at the start of a header value (``120-110`` gives 120)."""
     return parse_strict(F.regexp_extract(text, r"^\s*([+-]?[0-9.]+)", 1))

@@ -248,20 +248,14 @@ def _number_messages(limits: Limits):
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise in the cluster's shared checkpoint folder.
+    """Materialise in the shared checkpoint folder that the session names.
 
-    The folder is the one the session names; only a local session without one
-    gets a temporary folder.
+    Where none is named, as in tests, a temporary one is taken.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        if named is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-            named = tempfile.mkdtemp(prefix="mdlake-checkpoint-")
-        context.setCheckpointDir(named)
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="mdlake-checkpoint-"))
     return df.checkpoint()
 
 
@@ -357,20 +351,25 @@ def count_or_idle_batches(
     return number_batches(messages, Limits(rows=max_rows, idle_ms=idle_ms), chunks)
 
 
-def gap_batches(messages: DataFrame, idle_ms: int = PROCESSOR_TIMEOUT_MS) -> DataFrame:
-    """Batches separated by a silence longer than ``idle_ms``.
+def gap_cells(messages: DataFrame, idle_ms: int = PROCESSOR_TIMEOUT_MS) -> DataFrame:
+    """Messages of a key in one cell of ``idle_ms``, which always belong together.
 
-    Messages in one cell of that width always belong together, so they are
-    first aggregated per cell, before the shuffle; the ordered pass then sees
-    one row per active cell however busy the instrument is.
+    Cells of parts of the input add up to the cells of the whole.
     """
     cell = F.floor(F.col("ts_ms") / idle_ms)
-    cells = messages.groupBy("key", cell.alias("cell")).agg(
+    return messages.groupBy("key", cell.alias("cell")).agg(
         F.min("ts_ms").alias("first_ms"),
         F.max("ts_ms").alias("last_ms"),
         F.count(F.lit(1)).alias("messages"),
         F.sum("rows").alias("record_count"),
     )
+
+
+def sessions(cells: DataFrame, idle_ms: int = PROCESSOR_TIMEOUT_MS) -> DataFrame:
+    """Batches from one row per key and cell: a silence longer than ``idle_ms`` parts them.
+
+    The ordered pass sees one row per active cell, however busy the key is.
+    """
     in_order = Window.partitionBy("key").orderBy("cell")
     silent = F.col("first_ms") - F.lag("last_ms").over(in_order) > idle_ms
     return (
@@ -386,6 +385,21 @@ def gap_batches(messages: DataFrame, idle_ms: int = PROCESSOR_TIMEOUT_MS) -> Dat
     )
 
 
+def merge_cells(cells: DataFrame) -> DataFrame:
+    """Cells of several parts of the input as cells of the whole."""
+    return cells.groupBy("key", "cell").agg(
+        F.min("first_ms").alias("first_ms"),
+        F.max("last_ms").alias("last_ms"),
+        F.sum("messages").alias("messages"),
+        F.sum("record_count").alias("record_count"),
+    )
+
+
+def gap_batches(messages: DataFrame, idle_ms: int = PROCESSOR_TIMEOUT_MS) -> DataFrame:
+    """Batches separated by a silence longer than ``idle_ms``."""
+    return sessions(gap_cells(messages, idle_ms), idle_ms)
+
+
 def interval_flush(messages: DataFrame, interval_ms: int = WRITER_INTERVAL_MS) -> DataFrame:
     """One batch per key and tick of a global clock."""
     tick = F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(interval_ms).cast("bigint")) + interval_ms

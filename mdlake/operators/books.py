@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mdlake.functions import clock
-from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_strict, unnest
+from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_strict, plain_decimal, unnest
 from mdlake.functions.symbols import canonical_symbol, kucoin_symbol
 
 TEXT_LEVELS = "ARRAY<ARRAY<STRING>>"
@@ -79,7 +79,7 @@ def decode_books(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return F.when(F.size(v) >= 2, F.slice(v, 1, 2)).otherwise(F.array().cast("ARRAY<STRING>"))
 
     def plain_text(x: Column) -> Column:
-        return F.regexp_replace(x.cast("double").cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+        return plain_decimal(x.cast("double").cast("string"))
 
     def common(side: str) -> Column:
         values, venue = F.col(side), F.col("exchange")

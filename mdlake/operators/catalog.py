@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mdlake.operators.tables import write_table
 
@@ -23,16 +24,24 @@ def logical_manifest(rows: DataFrame, ms: str) -> DataFrame:
     )
 
 
+def as_declared(schema: T.StructType) -> T.StructType:
+    """The schema with its layout columns as text: folder names are not guessed at."""
+    return T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name in LAYOUT else f.dataType, f.nullable) for f in schema]
+    )
+
+
 def file_manifest(spark: SparkSession, table_path: str, commit_id: int, commit_ms: int) -> DataFrame:
     """One row per physical file of a commit, from file metadata.
 
-    The commit is a partition of the table, so only its own files are opened,
-    and of those only partition columns and metadata.  Record counts are the
-    rows written.
+    Only the commit's own folder is listed, and of its files only partition
+    columns and metadata are read.  Record counts are the rows written.
     """
+    own = spark.read.option("basePath", table_path).parquet(f"{table_path}/{COMMIT}={commit_id}")
     files = (
-        spark.read.parquet(table_path)
-        .filter(F.col(COMMIT) == commit_id)
+        spark.read.schema(as_declared(own.schema))
+        .option("basePath", table_path)
+        .parquet(f"{table_path}/{COMMIT}={commit_id}")
         .select(F.col("_metadata.file_path").alias("path"), "_metadata.file_size", *LAYOUT)
     )
     pairs = [x for c in LAYOUT for x in (F.lit(c), F.col(c).cast("string"))]
@@ -60,25 +69,33 @@ def commit_rows(
     retried after a failure leaves neither duplicates nor missing files.
     """
     stamped = rows.withColumn(COMMIT, F.lit(commit_id).cast("bigint"))
-    write_table(stamped, table_path, [COMMIT, *LAYOUT], codec, replace_partitions=True)
-    if rows.isEmpty():
+    written = Observation()
+    counted = stamped.observe(written, F.count(F.lit(1)).alias("rows"))
+    write_table(counted, table_path, [COMMIT, *LAYOUT], codec, replace_partitions=True)
+    if not written.get["rows"]:
         return
     manifest = file_manifest(rows.sparkSession, table_path, commit_id, commit_ms)
     manifest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(COMMIT).parquet(manifest_path)
 
 
 def snapshot_log(manifest: DataFrame) -> DataFrame:
-    """One row per commit; ids are the commit time in nanoseconds."""
+    """One row per commit; ids are the commit time in nanoseconds.
+
+    Commits of one millisecond are told apart by their number.
+    """
+    numbered = COMMIT in manifest.columns
+    key = [F.col("snapshot_ms").alias("timestamp_ms"), *([COMMIT] if numbered else [])]
+    within = F.pmod(F.col(COMMIT), F.lit(1_000_000)) if numbered else F.lit(0)
     return (
-        manifest.groupBy(F.col("snapshot_ms").alias("timestamp_ms"))
+        manifest.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("records"))
-        .withColumn("snapshot_id", F.col("timestamp_ms") * 1_000_000)
+        .withColumn("snapshot_id", F.col("timestamp_ms") * 1_000_000 + within)
         .select("snapshot_id", "timestamp_ms", "files", "records")
     )
 
 
 def current_snapshot(log: DataFrame) -> DataFrame:
-    return log.agg(F.max_by("snapshot_id", "timestamp_ms").alias("current_snapshot_id"))
+    return log.agg(F.max("snapshot_id").alias("current_snapshot_id"))
 
 
 def files_as_of(manifest: DataFrame, as_of_ms: int) -> DataFrame:
@@ -93,7 +110,14 @@ def read_as_of(spark: SparkSession, table_path: str, manifest_path: str, as_of_m
     files of later commits instead of reading them.
     """
     live = files_as_of(spark.read.parquet(manifest_path), as_of_ms).select(COMMIT).distinct()
-    return spark.read.parquet(table_path).join(live, COMMIT, "left_semi").drop(COMMIT)
+    schema = as_declared(spark.read.parquet(table_path).schema)
+    return spark.read.schema(schema).parquet(table_path).join(live, COMMIT, "left_semi").drop(COMMIT)
+
+
+def catalog_entries(manifest: DataFrame, bucket: str, prefix: str = "") -> DataFrame:
+    """(name, metadata_location) of every table that the manifest has files of."""
+    location = F.concat(F.lit(f"s3://{bucket}/{prefix}"), F.col("table"), F.lit("/metadata/metadata.json"))
+    return manifest.select("table").distinct().select(F.col("table").alias("name"), location.alias("metadata_location"))
 
 
 def register_table(spark: SparkSession, name: str, location: str, partitioned: bool = True) -> DataFrame:

@@ -126,6 +126,16 @@ def batch_key(exchange: Column, market: Column, symbol: Column, style: str = "pr
     return F.concat_ws("|", F.lower(F.trim(exchange)), F.lower(F.trim(market)), F.upper(F.trim(symbol)))
 
 
+def codec_of(table: Column, configured: Column) -> Column:
+    """``select_codec`` as a column; null where this Spark build has no such codec."""
+    name = F.lower(configured)
+    own = F.when(configured == "lzo", F.lit(None).cast("string")).otherwise(
+        F.when(configured.isin("snappy", "gzip"), configured).otherwise("none")
+    )
+    other = F.when(name.isin("gzip", "snappy"), name).when(name == "", "snappy").otherwise("none")
+    return F.when(table.isin("delta", "liquidation"), "snappy").when(table == "snapshot", own).otherwise(other)
+
+
 def select_codec(table: str, configured: str) -> str:
     """Parquet compression of a table for a configured name."""
     if table in ("delta", "liquidation"):

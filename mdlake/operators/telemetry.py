@@ -1,4 +1,9 @@
-"""Jobs over the pipeline's own metric, log, resource and stage tables."""
+"""Jobs over the pipeline's own metric, log, resource and stage tables.
+
+A metric event keeps the types it was emitted with: ``number`` is its value if
+that was a number (``value`` is the value as text, whatever it was), ``fields``
+holds its text fields and ``numbers`` its numeric ones.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mdlake.functions import clock
-from mdlake.functions.parsing import parse_strict
 from mdlake.operators.batching import durable
 
 # Metric names behind each feature switch, fields that are never
@@ -47,8 +51,8 @@ def metric_events(events: DataFrame, used_weight: bool = True, channel_size: boo
 
 
 def metric_numeric(events: DataFrame) -> DataFrame:
-    """Events whose value is a number, with it as DOUBLE."""
-    return events.withColumn("number", parse_strict(F.col("value"))).filter(F.col("number").isNotNull())
+    """Events whose value was emitted as a number; text that looks like one is none."""
+    return events.filter(F.col("number").isNotNull())
 
 
 def metric_unit(unit: Column) -> Column:
@@ -56,7 +60,7 @@ def metric_unit(unit: Column) -> Column:
 
 
 def metric_dimensions(component: Column, fields: Column) -> Column:
-    """Component plus every non-blank field that is not reserved."""
+    """Component plus every non-blank text field that is not reserved."""
     kept = F.map_filter(fields, lambda k, v: ~k.isin(RESERVED_FIELDS) & (k != "component") & (v != ""))
     return F.map_concat(F.create_map(F.lit("component"), component), F.coalesce(kept, F.create_map().cast("MAP<STRING, STRING>")))
 
@@ -79,11 +83,11 @@ def metric_datums(events: DataFrame) -> DataFrame:
     return rows.withColumn("series", series_key(F.col("component"), F.col("name"), F.col("dimensions"), F.col("unit")))
 
 
-def rollup_60s(events: DataFrame, ms: str = "ts_ms", width_ms: int = 60_000) -> DataFrame:
-    """Per-minute average of buffer gauges and maximum of usage gauges."""
+def rollup_parts(events: DataFrame, ms: str = "ts_ms", width_ms: int = 60_000) -> DataFrame:
+    """Sums, counts and maxima per minute and series, which add up to roll-ups."""
     name = F.col("name")
     stat = F.when(name.isin(CHARTED_BUFFERS), "avg").when(name.isin(USED_WEIGHT_METRICS + RESOURCE_METRICS), "max")
-    grouped = (
+    return (
         metric_numeric(events)
         .withColumn("stat", stat)
         .filter(F.col("stat").isNotNull())
@@ -94,10 +98,25 @@ def rollup_60s(events: DataFrame, ms: str = "ts_ms", width_ms: int = 60_000) ->
             "stat",
             F.coalesce(F.element_at("fields", "ip"), F.lit("")).alias("ip"),
         )
-        .agg(F.avg("number").alias("_avg"), F.max("number").alias("_max"), F.count(F.lit(1)).alias("samples"))
+        .agg(F.sum("number").alias("total"), F.max("number").alias("highest"), F.count(F.lit(1)).alias("samples"))
     )
-    value = F.when(F.col("stat") == "avg", F.col("_avg")).otherwise(F.col("_max"))
-    return grouped.select("minute_ms", "component", "name", "ip", "stat", F.round(value, 6).alias("value"), "samples")
+
+
+ROLLUP_KEY = ["minute_ms", "component", "name", "ip", "stat"]
+
+
+def merge_rollup(parts: DataFrame) -> DataFrame:
+    """Per-minute average of buffer gauges and maximum of usage gauges."""
+    merged = parts.groupBy(*ROLLUP_KEY).agg(
+        F.sum("total").alias("total"), F.max("highest").alias("highest"), F.sum("samples").alias("samples")
+    )
+    value = F.when(F.col("stat") == "avg", F.col("total") / F.col("samples")).otherwise(F.col("highest"))
+    return merged.select(*ROLLUP_KEY, F.round(value, 6).alias("value"), "samples")
+
+
+def rollup_60s(events: DataFrame, ms: str = "ts_ms", width_ms: int = 60_000) -> DataFrame:
+    """Per-minute roll-up of all events."""
+    return merge_rollup(rollup_parts(events, ms, width_ms))
 
 
 # --- drops and channel accounting --------------------------------------------
@@ -121,6 +140,7 @@ def drop_events(stages: DataFrame) -> DataFrame:
         F.lit("channel_drops").alias("component"),
         drop_counter(F.col("feed"), F.col("stage")).alias("name"),
         F.lit("1").alias("value"),
+        F.lit(1.0).alias("number"),
         F.lit("counter").alias("type"),
         F.map_filter(labels, lambda _k, v: v.isNotNull() & (v != "")).alias("fields"),
     )
@@ -129,17 +149,18 @@ def drop_events(stages: DataFrame) -> DataFrame:
 def drop_summary(drops: DataFrame) -> DataFrame:
     """Dropped messages by exchange and category, with a grand total row.
 
-    Only the charted counters take part; a missing exchange counts as
-    ``unknown``; ``delta_total`` adds raw and normalised delta drops.
+    Only the charted counters take part; a missing or blank exchange counts as
+    ``unknown``, a value that is no finite number as 0; fractions add up.
+    ``delta_total`` adds raw and normalised delta drops.
     """
     category = F.element_at(
         F.create_map(*[F.lit(x) for item in DROP_CATEGORIES.items() for x in item]), F.col("name")
     )
-    exchange = F.coalesce(F.element_at("fields", "exchange"), F.lit("unknown"))
-    value = F.coalesce(parse_strict(F.col("value")), F.lit(0.0)).cast("bigint")
+    exchange = F.coalesce(F.nullif(F.element_at("fields", "exchange"), F.lit("")), F.lit("unknown"))
+    value = F.when(F.abs("number") < float("inf"), F.col("number")).otherwise(0.0)
 
     def total(kind: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("category") == kind, F.col("dropped"))), F.lit(0)).alias(kind)
+        return F.coalesce(F.sum(F.when(F.col("category") == kind, F.col("dropped"))), F.lit(0.0)).alias(kind)
 
     rows = drops.select(exchange.alias("exchange"), category.alias("category"), value.alias("dropped")).filter(
         F.col("category").isNotNull()
@@ -226,7 +247,7 @@ def latest_capacity(events: DataFrame) -> DataFrame:
     """Last seen capacity of each charted buffer."""
     return (
         metric_numeric(events)
-        .withColumn("capacity", F.element_at("fields", "capacity"))
+        .withColumn("capacity", F.element_at("numbers", "capacity"))
         .filter(F.col("name").isin(CHARTED_BUFFERS) & F.col("capacity").isNotNull())
         .groupBy("name")
         .agg(F.max_by("capacity", F.struct("ts_ms", "event_id")).alias("capacity"))

@@ -24,14 +24,13 @@ NATIVE_SYMBOLS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one that fills too few tasks is spread over all of them.
+    """A given table, dealt evenly over the session's shuffle partitions at every size.
 
-    Message work is heavy per row, and a small file reads as a single task.
-    Tables of real size have more partitions than slots and are not shuffled.
+    Building messages is heavy per row, and a Parquet file of one row group is
+    read by one task.
     """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= slots else rows.repartition(slots)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(parts)
 
 
 def pick(index: Column, values: list[str]) -> Column:
@@ -465,15 +464,16 @@ def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.call_function("div", F.col("ms"), F.lit(1000)).alias("ts_ms"),
         F.col("event_type").alias("component"),
         pick(k % 9, METRIC_NAMES).alias("name"),
-        F.when(k % 10 == 0, "n/a").otherwise(F.col("v")).alias("value"),
+        F.when(k % 10 == 0, "n/a").when(k % 10 == 1, "5").otherwise(F.col("v")).alias("value"),
+        F.when(k % 10 > 1, F.col("v").cast("double")).alias("number"),
         F.when(k % 6 == 0, "").otherwise("gauge").alias("type"),
         _present_map(
             ("exchange", F.when(k % 2 == 0, "okx").otherwise("")),
             ("ip", F.when(F.col("u") % 2 == 0, "10.0.0.1").otherwise("10.0.0.2")),
             ("unit", unit),
             ("metric", F.when(k % 2 == 0, "reserved")),
-            ("capacity", F.when(k % 5 == 0, (k % 9 + 1) * 1000)),
         ).alias("fields"),
+        F.when(k % 5 == 0, F.create_map(F.lit("capacity"), ((k % 9 + 1) * 1000).cast("double"))).alias("numbers"),
     )
 
 

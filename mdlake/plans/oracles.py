@@ -158,16 +158,16 @@ MET = f"""{EV}, met AS (
   SELECT k AS event_id, ms // 1000 AS ts_ms, event_type AS component,
          ['fobs_raw_buffer_length','fobs_norm_buffer_length','fobd_raw_buffer_length','fobd_norm_buffer_length',
           'liq_raw_buffer_length','used_weight','cpu_percent','foi_raw_buffer_length',''][k % 9 + 1] AS name,
-         CASE WHEN k % 10 = 0 THEN 'n/a' ELSE CAST(dv AS VARCHAR) END AS value,
-         CASE WHEN k % 10 = 0 THEN NULL ELSE CAST(dv AS DOUBLE) END AS number,
+         CASE WHEN k % 10 = 0 THEN 'n/a' WHEN k % 10 = 1 THEN '5' ELSE CAST(dv AS VARCHAR) END AS value,
+         CASE WHEN k % 10 > 1 THEN CAST(dv AS DOUBLE) END AS number,
          CASE WHEN k % 6 = 0 THEN 'counter' ELSE 'gauge' END AS type,
          CASE WHEN k % 2 = 0 THEN 'okx' ELSE '' END AS exchange_field,
          CASE WHEN u % 2 = 0 THEN '10.0.0.1' ELSE '10.0.0.2' END AS ip,
          CASE WHEN k % 4 = 0 THEN 'Percent' ELSE 'Count' END AS unit,
-         CASE WHEN k % 5 = 0 THEN CAST((k % 9 + 1) * 1000 AS VARCHAR) END AS capacity
+         CASE WHEN k % 5 = 0 THEN CAST((k % 9 + 1) * 1000 AS DOUBLE) END AS capacity
   FROM ev),
 mok AS (SELECT * FROM met WHERE name <> ''),
-mnum AS (SELECT *, concat_ws('|', CASE WHEN capacity IS NOT NULL THEN 'capacity=' || capacity END, 'component=' || component,
+mnum AS (SELECT *, concat_ws('|', 'component=' || component,
            CASE WHEN exchange_field <> '' THEN 'exchange=' || exchange_field END, 'ip=' || ip) AS dims
          FROM mok WHERE number IS NOT NULL),
 mser AS (SELECT *, component || '|' || name || '|' || dims || '|unit=' || unit AS series FROM mnum)"""
@@ -462,6 +462,14 @@ SELECT snapshot_ms * 1000000 AS snapshot_id, snapshot_ms AS timestamp_ms, count(
     "read_as_of": f"""WITH {MANIFEST}
 SELECT exchange, symbol, count(*) AS files, CAST(sum(record_count) AS BIGINT) AS records, max(snapshot_ms) AS last_commit_ms
 FROM manifest WHERE snapshot_ms <= 1705276800000 GROUP BY ALL""",
+    "codec_select": f"""WITH {EV}, a AS (SELECT ['snapshot','delta','liquidation','open_interest','premium_index'][k % 5 + 1] AS t,
+  ['snappy','gzip','GZIP','','zstd','lzo','none'][k % 7 + 1] AS configured FROM ev)
+SELECT t AS "table", configured, CASE WHEN t IN ('delta','liquidation') THEN 'snappy'
+  WHEN t = 'snapshot' THEN CASE configured WHEN 'snappy' THEN 'snappy' WHEN 'gzip' THEN 'gzip' WHEN 'lzo' THEN 'unavailable' ELSE 'none' END
+  ELSE CASE lower(configured) WHEN 'gzip' THEN 'gzip' WHEN 'snappy' THEN 'snappy' WHEN '' THEN 'snappy' ELSE 'none' END END AS codec,
+  count(*) AS writes FROM a GROUP BY ALL""",
+    "catalog_entry": f"""WITH {EV} SELECT DISTINCT name, 's3://lake/tables/' || name || '/metadata/metadata.json' AS metadata_location FROM (
+  SELECT exchange || '_' || ['snapshot','delta','liquidation','open_interest','premium_index'][k % 5 + 1] AS name FROM ev)""",
     "upload_stats": """SELECT event_id AS write_id, event_id * 100 AS bytes, event_id % 50 AS records, event_id % 5 * 20 AS duration_ms,
   CASE WHEN event_id % 5 = 0 THEN -1.0::DOUBLE ELSE round(CAST(event_id * 100 AS DOUBLE) / ((event_id % 5 * 20) / 1000.0::DOUBLE), 6) END AS bytes_per_sec FROM events""",
     # documented views
@@ -491,16 +499,16 @@ SELECT key AS series, ts_ms, id AS event_id FROM firsts WHERE rn = 1""",
 SELECT minute_ms, component, name, ip, stat, round(CASE WHEN stat = 'avg' THEN avg(number) ELSE max(number) END, 6) AS value, count(*) AS samples
 FROM r GROUP BY minute_ms, component, name, ip, stat""",
     "drop_events": f"""WITH {STG}
-SELECT ts_ms, 'channel_drops' AS component, name, '1' AS value, 'counter' AS type,
+SELECT ts_ms, 'channel_drops' AS component, name, '1' AS value, 1.0::DOUBLE AS number, 'counter' AS type,
        concat_ws('|', CASE WHEN exchange <> '' THEN 'exchange=' || exchange END, 'market=' || market, 'stage=' || stage,
                  CASE WHEN symbol <> '' THEN 'symbol=' || symbol END) AS fields FROM drp""",
     "drop_summary": f"""WITH {STG}, d AS (
-  SELECT CASE WHEN exchange = '' THEN 'unknown' ELSE exchange END AS exchange, name FROM drp
+  SELECT CASE WHEN exchange = '' THEN 'unknown' ELSE exchange END AS exchange, name, 1.0::DOUBLE AS n FROM drp
   WHERE name IN ('snapshot_messages_dropped','delta_messages_dropped','delta_norm_messages_dropped','liquidation_messages_dropped'))
-SELECT coalesce(exchange, 'ALL') AS exchange, count(*) FILTER (WHERE name = 'snapshot_messages_dropped') AS snapshot,
-       count(*) FILTER (WHERE name = 'delta_messages_dropped') AS delta, count(*) FILTER (WHERE name = 'delta_norm_messages_dropped') AS delta_norm,
-       count(*) FILTER (WHERE name IN ('delta_messages_dropped','delta_norm_messages_dropped')) AS delta_total,
-       count(*) FILTER (WHERE name = 'liquidation_messages_dropped') AS liquidation, count(*) AS total
+SELECT coalesce(exchange, 'ALL') AS exchange, coalesce(sum(n) FILTER (WHERE name = 'snapshot_messages_dropped'), 0.0::DOUBLE) AS snapshot,
+       coalesce(sum(n) FILTER (WHERE name = 'delta_messages_dropped'), 0.0::DOUBLE) AS delta, coalesce(sum(n) FILTER (WHERE name = 'delta_norm_messages_dropped'), 0.0::DOUBLE) AS delta_norm,
+       coalesce(sum(n) FILTER (WHERE name LIKE 'delta%'), 0.0::DOUBLE) AS delta_total,
+       coalesce(sum(n) FILTER (WHERE name = 'liquidation_messages_dropped'), 0.0::DOUBLE) AS liquidation, coalesce(sum(n), 0.0::DOUBLE) AS total
 FROM d GROUP BY ROLLUP (exchange)""",
     "channel_stats": f"""WITH {STG}
 SELECT feed, count(*) FILTER (WHERE stage = 'raw' AND outcome = 'sent') AS raw_sent, count(*) FILTER (WHERE stage = 'norm' AND outcome = 'sent') AS norm_sent,

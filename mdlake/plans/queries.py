@@ -503,6 +503,24 @@ def read_as_of(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+TABLES = ["snapshot", "delta", "liquidation", "open_interest", "premium_index"]
+CODECS = ["snappy", "gzip", "GZIP", "", "zstd", "lzo", "none"]
+
+
+@query
+def codec_select(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("k")
+    asked = fx.event_rows(spark, sf).select(fx.pick(k % 5, TABLES).alias("table"), fx.pick(k % 7, CODECS).alias("configured"))
+    chosen = asked.withColumn("codec", F.coalesce(tables.codec_of(F.col("table"), F.col("configured")), F.lit("unavailable")))
+    return chosen.groupBy("table", "configured", "codec").agg(F.count(F.lit(1)).alias("writes"))
+
+
+@query
+def catalog_entry(spark: SparkSession, sf: str) -> DataFrame:
+    manifest = fx.event_rows(spark, sf).select(F.concat_ws("_", F.col("exchange"), fx.pick(F.col("k") % 5, TABLES)).alias("table"))
+    return catalog.catalog_entries(manifest, "lake", "tables/")
+
+
 @query
 def upload_stats(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("event_id")

@@ -50,7 +50,7 @@ def topic_symbol(exchange: Column, topic: Column) -> Column:
     """Symbol named by a delta topic."""
     third = F.coalesce(F.get(F.split(topic, r"\."), F.lit(2)), F.lit(""))
     after_prefix = F.when(
-        topic.startswith(KUCOIN_DELTA_TOPIC), F.substring(topic, len(KUCOIN_DELTA_TOPIC) + 1, 1 << 20)
+        topic.startswith(KUCOIN_DELTA_TOPIC), F.right(topic, F.length(topic) - len(KUCOIN_DELTA_TOPIC))
     ).otherwise(topic)
     return F.when(exchange == "bybit", third).when(exchange == "kucoin", after_prefix)
 

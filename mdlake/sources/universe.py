@@ -46,18 +46,25 @@ def keep_allowed(raw: DataFrame, allowed: DataFrame) -> DataFrame:
 
     Runs before any payload is decoded.
     """
-    if allowed.isEmpty():
-        return raw
-    keyed = raw.withColumn("canonical", canonical_symbol(F.col("exchange"), F.col("symbol")))
-    return keyed.join(allowed.select("canonical"), "canonical", "left_semi").drop("canonical")
+    keyed = raw.withColumn("_canonical", canonical_symbol(F.col("exchange"), F.col("symbol")))
+    return _keep_listed(keyed, "_canonical", allowed.select("canonical")).drop("_canonical")
+
+
+def _keep_listed(rows: DataFrame, column: str, listed: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is in the one-column list; an empty list keeps all.
+
+    Whether the list is empty is asked when the rows are read, not before.
+    """
+    (name,) = listed.columns
+    known = listed.select(F.col(name).alias("_listed")).distinct()
+    none = listed.agg(F.count(F.lit(1)).alias("n")).scalar() == 0
+    return rows.join(known, F.col(column) == F.col("_listed"), "left").filter(F.col("_listed").isNotNull() | none).drop("_listed")
 
 
 def keep_tickers(rows: DataFrame, configured: DataFrame) -> DataFrame:
     """Upper-case the ticker symbol and keep configured ones; empty keeps all."""
     upper = rows.withColumn("symbol", F.upper("symbol"))
-    if configured.isEmpty():
-        return upper
-    return upper.join(configured.select(F.upper("symbol").alias("symbol")).distinct(), "symbol", "left_semi")
+    return _keep_listed(upper, "symbol", configured.select(F.upper("symbol").alias("wanted")))
 
 
 def validate_instruments(requested: DataFrame, instruments: DataFrame | None) -> tuple[DataFrame, DataFrame]:

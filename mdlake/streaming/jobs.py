@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from mdlake.operators import books, catalog, deltas, indicators, liquidations, tables, telemetry
+from mdlake.operators import batching, books, catalog, deltas, indicators, liquidations, tables, telemetry
+from mdlake.sources import frames, universe
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -37,13 +38,18 @@ FEEDS = {
 }
 
 
-def published_rows(raw: DataFrame, feed: str) -> DataFrame:
+def published_rows(raw: DataFrame, feed: str, allowed: DataFrame | None = None) -> DataFrame:
     """Rows of a feed's table with its partition columns.
 
-    The folder date is the UTC date of each row's own time.
+    Control frames, and symbols off the ``allowed`` list where one is given, go
+    before anything is decoded.  The folder date is the UTC date of each row's
+    own time.
     """
     spec = FEEDS[feed]
-    rows = tables.with_date(spec.rows(raw), spec.ms)
+    wanted = frames.keep_data_frames(raw)
+    if allowed is not None:
+        wanted = universe.keep_allowed(wanted, allowed)
+    rows = tables.with_date(spec.rows(wanted), spec.ms)
     return spec.table(rows, extra=("exchange", "market", "symbol", "date"))
 
 
@@ -55,6 +61,7 @@ def table_writer(
     checkpoint: str,
     clock_ms: Callable[[int], int],
     codec: str = "snappy",
+    allowed: DataFrame | None = None,
 ) -> DataStreamWriter:
     """Writer of one feed's table: every micro-batch is one commit.
 
@@ -63,7 +70,7 @@ def table_writer(
     """
 
     def commit(batch: DataFrame, number: int) -> None:
-        rows = published_rows(batch, feed)
+        rows = published_rows(batch, feed, allowed)
         chosen = tables.select_codec(FEEDS[feed].name, codec)
         catalog.commit_rows(rows, table_path, manifest_path, number, clock_ms(number), chosen)
 
@@ -80,49 +87,43 @@ def drain(writer: DataStreamWriter) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def rollup_60s(events: DataFrame, delay: str = "2 minutes") -> DataFrame:
-    """Per-minute roll-up of a metric stream, late events up to ``delay``."""
-    name = F.col("name")
-    is_gauge = name.isin(telemetry.CHARTED_BUFFERS)
-    timed = (
-        telemetry.metric_numeric(events)
-        .filter(is_gauge | name.isin(telemetry.USED_WEIGHT_METRICS + telemetry.RESOURCE_METRICS))
-        .withColumn("event_ts", F.timestamp_millis("ts_ms"))
-        .withWatermark("event_ts", delay)
-    )
-    grouped = timed.groupBy(
-        F.window("event_ts", "60 seconds").alias("minute"),
-        "component",
-        "name",
-        F.coalesce(F.element_at("fields", "ip"), F.lit("")).alias("ip"),
-    ).agg(F.avg("number").alias("_avg"), F.max("number").alias("_max"), F.count(F.lit(1)).alias("samples"))
-    return grouped.select(
-        F.unix_millis("minute.start").alias("minute_ms"),
-        "component",
-        "name",
-        "ip",
-        F.when(is_gauge, "avg").otherwise("max").alias("stat"),
-        F.round(F.when(is_gauge, F.col("_avg")).otherwise(F.col("_max")), 6).alias("value"),
-        "samples",
-    )
-
-
-def gap_batches(messages: DataFrame, idle: str = "5 seconds", delay: str = "10 seconds") -> DataFrame:
-    """Batches separated by silence, as session windows.
-
-    A message exactly one gap after the last one still joins its session.
+def parts_writer(
+    rows: DataFrame, parts: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+) -> DataStreamWriter:
+    """Writer of mergeable parts: each micro-batch aggregates its own rows.
+
+    Parts are merged when they are read, so a row counts however late it comes;
+    a replayed micro-batch replaces its own folder.
     """
-    timed = messages.withColumn("event_ts", F.timestamp_millis("ts_ms")).withWatermark("event_ts", delay)
-    return (
-        timed.groupBy("key", F.session_window("event_ts", idle).alias("session"))
-        .agg(
-            F.count(F.lit(1)).alias("messages"),
-            F.sum("rows").alias("record_count"),
-            F.min("ts_ms").alias("first_ms"),
-            F.max("ts_ms").alias("last_ms"),
-        )
-        .drop("session")
-    )
+
+    def write(batch: DataFrame, number: int) -> None:
+        parts(batch).write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("batch_id")
+
+
+def rollup_writer(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Parts of the per-minute roll-up; read with ``rollup_60s``."""
+    return parts_writer(events, lambda b: telemetry.rollup_parts(telemetry.metric_events(b)), path, checkpoint)
+
+
+def rollup_60s(spark: SparkSession, path: str) -> DataFrame:
+    """The roll-up of everything that has arrived, by the batch rule."""
+    return telemetry.merge_rollup(read_parts(spark, path))
+
+
+def gap_writer(messages: DataFrame, path: str, checkpoint: str, idle_ms: int = batching.PROCESSOR_TIMEOUT_MS) -> DataStreamWriter:
+    """Parts of the batches separated by silence; read with ``gap_batches``."""
+    return parts_writer(messages, lambda b: batching.gap_cells(b, idle_ms), path, checkpoint)
+
+
+def gap_batches(spark: SparkSession, path: str, idle_ms: int = batching.PROCESSOR_TIMEOUT_MS) -> DataFrame:
+    """The batches of everything that has arrived, by the batch rule."""
+    return batching.sessions(batching.merge_cells(read_parts(spark, path)), idle_ms)
 
 
 def counted(rows: DataFrame, stage: str) -> DataFrame:

@@ -2,6 +2,12 @@
 
 State is one small row per key.  The logic is the batch operators' own
 (``number_run``), so a stream and a batch over the same messages agree.
+
+Clocks are arrival clocks, as nothing may be lost for being late: a message
+counts at its own time or at the latest time its key has seen, whichever is
+later, and so joins the batch that is open when it arrives.  No watermark is
+used.  Timers run on processing time and close a batch that no message closes;
+what is still open when a stream ends is read from its state (``open_batches``).
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -21,7 +27,8 @@ from mdlake.operators.batching import NEVER, Limits, Open, number_run
 # Sent to the executors by value, like the batch functions it uses.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-OPEN_SCHEMA = "rows BIGINT, first_ms BIGINT, last_ms BIGINT, number BIGINT, messages BIGINT"
+OPEN_SCHEMA = "rows BIGINT, first_ms BIGINT, last_ms BIGINT, number BIGINT, messages BIGINT, due BIGINT"
+SERIES_KEPT_MS = 86_400_000  # how long a silent series is remembered
 CLOSED_SCHEMA = (
     "key STRING, batch_no BIGINT, messages BIGINT, record_count BIGINT, first_ms BIGINT, last_ms BIGINT, reason STRING"
 )
@@ -46,11 +53,14 @@ class BatchClock(StatefulProcessor):
         self.handle = handle
         self.open = handle.getValueState("open", OPEN_SCHEMA)
 
-    def _load(self) -> tuple[Open, int]:
+    def _load(self) -> tuple[Open, int, int]:
         if not self.open.exists():
-            return Open(), 0
-        rows, first_ms, last_ms, number, messages = self.open.get()
-        return Open(rows, first_ms, last_ms, number), messages
+            return Open(), 0, 0
+        rows, first_ms, last_ms, number, messages, due = self.open.get()
+        return Open(rows, first_ms, last_ms, number), messages, due
+
+    def _store(self, state: Open, messages: int, due: int) -> None:
+        self.open.update((state.rows, state.first_ms, state.last_ms, state.number, messages, due))
 
     def _row(self, key: str, number: int, messages: int, rows: int, first_ms: int, last_ms: int, reason: str) -> dict:
         return {
@@ -58,52 +68,55 @@ class BatchClock(StatefulProcessor):
             "first_ms": first_ms, "last_ms": last_ms, "reason": reason,
         }
 
-    def _deadline(self, state: Open) -> int:
-        """When the open batch closes without another message (exclusive)."""
-        return min(state.first_ms + self.limits.age_ms, state.last_ms + self.limits.idle_ms + 1)
+    def _wait(self, state: Open) -> int:
+        """How long after its last message the open batch closes without another."""
+        return min(state.first_ms + self.limits.age_ms - state.last_ms, self.limits.idle_ms + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = _in_order(rows)
-        state, messages = self._load()
+        state, messages, _ = self._load()
         before = Open(**vars(state))
-        ms, sizes = frame["ts_ms"].to_numpy(), frame["rows"].to_numpy()
+        ms, sizes = np.maximum(frame["ts_ms"].to_numpy(), state.last_ms), frame["rows"].to_numpy()
         numbers = number_run(state, self.limits, ms, sizes)
+        # Numbers only rise, so every batch is one stretch of the run.
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(numbers)) + 1))
+        ends = np.append(cuts[1:], len(ms))
+        totals = np.add.reduceat(sizes, cuts)
         closed = []
-        for number in np.unique(numbers):
-            inside = numbers == number
-            count, total = int(inside.sum()), int(sizes[inside].sum())
-            first, last = int(ms[inside][0]), int(ms[inside][-1])
+        if messages and numbers[0] != before.number:
+            closed.append(
+                self._row(key[0], before.number, messages, before.rows, before.first_ms, before.last_ms, "message")
+            )
+        for low, high, total in zip(cuts.tolist(), ends.tolist(), totals.tolist()):
+            number, count, first = int(numbers[low]), high - low, int(ms[low])
             if number == before.number:
                 count, total, first = count + messages, total + before.rows, before.first_ms
-            if number == numbers[0] and number != before.number and 0 < messages:
-                closed.append(
-                    self._row(key[0], before.number, messages, before.rows, before.first_ms, before.last_ms, "message")
-                )
             if number < state.number:
-                closed.append(self._row(key[0], int(number), count, total, first, last, "message"))
+                closed.append(self._row(key[0], number, count, total, first, int(ms[high - 1]), "message"))
             else:
                 messages = count
+        due = 0
         if state.rows >= self.limits.rows:
             closed.append(
                 self._row(key[0], state.number, messages, state.rows, state.first_ms, state.last_ms, "full")
             )
             # Full batches stay in the state as closed: the next message opens one.
             messages, state.rows = 0, NEVER
-        else:
-            deadline = self._deadline(state)
-            if deadline < NEVER // 2:
-                self.handle.registerTimer(deadline)
-        self.open.update((state.rows, state.first_ms, state.last_ms, state.number, messages))
+        elif self._wait(state) < NEVER // 2:
+            due = timerValues.getCurrentProcessingTimeInMs() + max(0, self._wait(state))
+            self.handle.registerTimer(due)
+        self._store(state, messages, due)
         yield pd.DataFrame(closed, columns=[c.split()[0] for c in CLOSED_SCHEMA.split(", ")])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        state, messages = self._load()
+        state, messages, due = self._load()
         closed = []
-        if messages and expiredTimerInfo.getExpiryTimeInMs() >= self._deadline(state):
+        if messages and expiredTimerInfo.getExpiryTimeInMs() >= due:
             closed.append(
                 self._row(key[0], state.number, messages, state.rows, state.first_ms, state.last_ms, "timer")
             )
-            self.open.update((NEVER, state.first_ms, state.last_ms, state.number, 0))
+            state.rows = NEVER
+            self._store(state, 0, 0)
         yield pd.DataFrame(closed, columns=[c.split()[0] for c in CLOSED_SCHEMA.split(", ")])
 
     def close(self) -> None:
@@ -117,7 +130,7 @@ class Throttle(StatefulProcessor):
         self.limits = Limits(age_ms=interval_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "published_ms BIGINT")
+        self.last = handle.getValueState("last", "published_ms BIGINT", SERIES_KEPT_MS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = _in_order(rows)
@@ -136,19 +149,35 @@ class Throttle(StatefulProcessor):
         pass
 
 
-def closed_batches(messages: DataFrame, limits: Limits, delay: str = "0 seconds") -> DataFrame:
-    """Stream of closed batches; timers follow the messages' own time.
+def closed_batches(messages: DataFrame, limits: Limits) -> DataFrame:
+    """Stream of closed batches; every message is in exactly one batch.
 
     ``messages`` has ``key``, ``ts_ms``, ``id`` and ``rows``.
     """
-    timed = messages.withColumn("event_ts", F.timestamp_millis("ts_ms")).withWatermark("event_ts", delay)
-    return timed.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=BatchClock(limits), outputStructType=CLOSED_SCHEMA, outputMode="append", timeMode="EventTime"
+    return messages.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=BatchClock(limits), outputStructType=CLOSED_SCHEMA, outputMode="append", timeMode="ProcessingTime"
+    )
+
+
+def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The batches that a stopped ``closed_batches`` stream has left open: the final flush."""
+    state = spark.read.format("statestore").option("stateVarName", "open").load(checkpoint)
+    return state.filter("value.messages > 0").select(
+        F.col("key.key").alias("key"),
+        F.col("value.number").alias("batch_no"),
+        "value.messages",
+        F.col("value.rows").alias("record_count"),
+        "value.first_ms",
+        "value.last_ms",
+        F.lit("drain").alias("reason"),
     )
 
 
 def throttled(events: DataFrame, interval_ms: int = 60_000) -> DataFrame:
     """Stream of published events; ``events`` has ``key``, ``ts_ms``, ``id``."""
     return events.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=Throttle(interval_ms), outputStructType=PUBLISHED_SCHEMA, outputMode="append", timeMode="None"
+        statefulProcessor=Throttle(interval_ms),
+        outputStructType=PUBLISHED_SCHEMA,
+        outputMode="append",
+        timeMode="ProcessingTime",
     )

@@ -138,3 +138,16 @@ def test_control_frames(spark):
     ]
     (row,) = dicts(frames.keep_data_frames(raw(spark, kept, *dropped)))
     assert row["exchange"] == "okx"
+
+
+def test_plain_decimal_of_any_size(spark):
+    from pyspark.sql import functions as F
+
+    from mdlake.functions.parsing import plain_decimal
+
+    cases = {
+        "1e21": "1" + "0" * 21, "1.5e-19": "0.00000000000000000015", "123456789012345680000": "123456789012345680000",
+        "0": "0", "10": "10", "1.50": "1.5", "-2.5e-3": "-0.0025", "100.25": "100.25", "1e-1": "0.1", "0.001": "0.001",
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "x STRING").select("x", plain_decimal(F.col("x").cast("double").cast("string")).alias("p"))
+    assert {r["x"]: r["p"] for r in rows.collect()} == cases

@@ -86,24 +86,50 @@ def test_throttle_equals_the_batch_operator(spark, sf_dir, tmp_path):
     assert published.count() == want.count()
 
 
-def test_rollup_emits_the_closed_minutes(spark, sf_dir, tmp_path):
-    path = str(tmp_path / "metrics")
+def test_late_and_early_messages_are_in_one_batch_each(spark, tmp_path):
+    """Files out of time order over two keys: every message ends up in exactly one batch."""
+    path = str(tmp_path / "messages")
+    schema = "key STRING, ts_ms BIGINT, id BIGINT, rows BIGINT"
+    files = [[("a", t, i, 1) for i, t in enumerate((100_000, 100_001, 100_003))], [("b", 60_000, 10, 1), ("b", 60_001, 11, 1)], [("a", 50_000, 20, 1), ("b", 10, 21, 1), ("a", 100_004, 22, 1)], [("b", 60_002, 30, 1)]]
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    closed = collect(spark, stateful.closed_batches(stream(spark, path), Limits(rows=2, age_ms=3_600_000)), "late", tmp_path)
+    left = stateful.open_batches(spark, str(tmp_path / "checkpoint"))
+    every = closed.unionByName(left).collect()
+    sizes = {}
+    for r in every:
+        sizes.setdefault(r["key"], []).append((r["batch_no"], r["messages"]))
+    assert {k: sum(n for _, n in v) for k, v in sizes.items()} == {"a": 5, "b": 4}
+    assert all(len({b for b, _ in v}) == len(v) for v in sizes.values())
+    assert [n for _, n in sorted(sizes["a"])] == [2, 2, 1] and [n for _, n in sorted(sizes["b"])] == [2, 2]
+
+
+def test_drained_stream_equals_the_batch_operator(spark, oi_messages, tmp_path):
+    limits = Limits(rows=10)
+    closed = collect(spark, stateful.closed_batches(stream(spark, oi_messages), limits), "drained", tmp_path)
+    columns = ["key", "batch_no", "messages", "record_count", "first_ms", "last_ms"]
+    got = closed.select(columns).unionByName(stateful.open_batches(spark, str(tmp_path / "checkpoint")).select(columns))
+    want = batching.batch_sizes(batching.number_batches(spark.read.parquet(oi_messages), limits)).select(columns)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_rollup_counts_late_events(spark, sf_dir, tmp_path):
+    path, parts = str(tmp_path / "metrics"), str(tmp_path / "parts")
     rows = fx.metric_rows(spark, sf_dir)
-    rows.coalesce(1).sortWithinPartitions("ts_ms").write.parquet(path)
-    got = collect(spark, jobs.rollup_60s(stream(spark, path)), "rollup", tmp_path)
-    want = telemetry.rollup_60s(telemetry.metric_events(rows)).select(got.columns)
-    end = rows.agg(F.max("ts_ms")).first()[0]
-    closed = want.filter(F.col("minute_ms") + 60_000 <= end - 120_000)
-    assert closed.count() > 0
-    assert got.exceptAll(want).count() == 0 and closed.exceptAll(got).count() == 0
-
-
-def test_sessions_equal_the_batch_operator(spark, oi_messages, tmp_path):
-    got = collect(spark, jobs.gap_batches(stream(spark, oi_messages), "1 hour", "0 seconds"), "sessions", tmp_path)
-    want = batching.gap_batches(spark.read.parquet(oi_messages), 3_600_000).drop("batch_no").select(got.columns)
-    assert got.exceptAll(want).count() == 0
-    # Sessions that the end of the input leaves open are not emitted.
-    assert want.count() - got.count() <= want.select("key").distinct().count()
+    for chosen in (F.col("event_id") % 2 == 1, F.col("event_id") % 2 == 0):  # the second file is late throughout
+        rows.filter(chosen).coalesce(1).write.mode("append").parquet(path)
+    jobs.drain(jobs.rollup_writer(stream(spark, path), parts, str(tmp_path / "checkpoint")))
+    want = telemetry.rollup_60s(telemetry.metric_events(rows))
+    got = jobs.rollup_60s(spark, parts)
+    assert want.count() > 0 and got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_sessions_count_late_messages(spark, oi_messages, tmp_path):
+    parts, hour = str(tmp_path / "parts"), 3_600_000
+    jobs.drain(jobs.gap_writer(stream(spark, oi_messages), parts, str(tmp_path / "checkpoint"), hour))
+    want = batching.gap_batches(spark.read.parquet(oi_messages), hour)
+    got = jobs.gap_batches(spark, parts, hour).select(want.columns)
+    assert want.count() > 0 and got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
 def test_live_counters(spark, oi_messages, tmp_path):

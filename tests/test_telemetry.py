@@ -1,13 +1,23 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mdlake.operators import telemetry, usage
+from mdlake.operators import batching, telemetry, usage
 
-EVENT = "event_id BIGINT, ts_ms BIGINT, component STRING, name STRING, value STRING, type STRING, fields MAP<STRING, STRING>"
+EVENT = (
+    "event_id BIGINT, ts_ms BIGINT, component STRING, name STRING, value STRING, number DOUBLE, type STRING, "
+    "fields MAP<STRING, STRING>, numbers MAP<STRING, DOUBLE>"
+)
 
 
 def events(spark, *rows):
-    return spark.createDataFrame([(i, i * 1000, *r) for i, r in enumerate(rows)], EVENT)
+    """Rows (component, name, value, type, fields); what is no text is a number."""
+    out = []
+    for i, (component, name, value, kind, fields) in enumerate(rows):
+        number = None if isinstance(value, str) else float(value)
+        texts = {k: v for k, v in fields.items() if isinstance(v, str)}
+        numbers = {k: float(v) for k, v in fields.items() if not isinstance(v, str)}
+        out.append((i, i * 1000, component, name, str(value), number, kind, texts, numbers))
+    return spark.createDataFrame(out, EVENT)
 
 
 def test_metric_gate(spark):
@@ -21,14 +31,14 @@ def test_metric_gate(spark):
 
 
 def test_datums(spark):
-    df = events(spark, ("c", "m", "1.5", "gauge", {"unit": "PERCENT", "b": "x", "a": "y", "blank": "", "metric": "no"}), ("c", "m", "text", "gauge", {}))
+    df = events(spark, ("c", "m", 1.5, "gauge", {"unit": "PERCENT", "b": "x", "a": "y", "blank": "", "metric": "no", "capacity": 10}), ("c", "m", "text", "gauge", {}), ("c", "m", "5", "gauge", {}))
     (row,) = telemetry.metric_datums(df).collect()
     assert (row["number"], row["unit"]) == (1.5, "Percent")
     assert row["series"] == "c|m|a=y|b=x|component=c|unit=Percent"
 
 
 def test_rollup(spark):
-    rows = [("c", "liq_raw_buffer_length", str(v), "gauge", {}) for v in (1, 2, 6)] + [("c", "used_weight", str(v), "gauge", {"ip": "i"}) for v in (1, 9, 6)]
+    rows = [("c", "liq_raw_buffer_length", v, "gauge", {}) for v in (1, 2, 6)] + [("c", "used_weight", v, "gauge", {"ip": "i"}) for v in (1, 9, 6)]
     got = {(r["name"], r["ip"], r["stat"], r["value"], r["samples"]) for r in telemetry.rollup_60s(events(spark, *rows)).collect()}
     assert got == {("liq_raw_buffer_length", "", "avg", 3.0, 3), ("used_weight", "i", "max", 9.0, 3)}
 
@@ -45,6 +55,19 @@ def test_drops(spark):
     assert summary == {"okx": (0, 1, 1, 2, 2), "unknown": (1, 0, 0, 0, 1), "ALL": (1, 1, 1, 2, 3)}
 
 
+def test_drop_values(spark):
+    name = "delta_messages_dropped"
+    rows = [("c", name, v, "counter", {"exchange": x}) for v, x in ((1.5, "okx"), (float("nan"), "okx"), (float("inf"), "okx"), (2, ""), ("7", "okx"))]
+    got = {r["exchange"]: r["delta"] for r in telemetry.drop_summary(events(spark, *rows)).collect()}
+    assert got == {"okx": 1.5, "unknown": 2.0, "ALL": 3.5}
+
+
+def test_capacity_does_not_part_a_series(spark):
+    rows = [("c", "fobs_raw_buffer_length", 1, "gauge", {"capacity": c}) for c in (10, 20, 10)]
+    datums = telemetry.metric_datums(events(spark, *rows)).select(F.col("series").alias("key"), "ts_ms", F.col("event_id").alias("id"))
+    assert [r["id"] for r in batching.throttle(datums).collect()] == [0]
+
+
 def test_latest_views(spark):
     df = events(spark, *[("c", "m", str(i), "gauge", {}) for i in range(5)])
     assert [r["value"] for r in telemetry.latest(df, 2).collect()] == ["3", "4"]
