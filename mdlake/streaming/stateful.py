@@ -6,8 +6,10 @@ State is one small row per key.  The logic is the batch operators' own
 Clocks are arrival clocks, as nothing may be lost for being late: a message
 counts at its own time or at the latest time its key has seen, whichever is
 later, and so joins the batch that is open when it arrives.  No watermark is
-used.  Timers run on processing time and close a batch that no message closes;
-what is still open when a stream ends is read from its state (``open_batches``).
+used.  In a stream that runs on, timers on processing time close a batch that no
+message closes.  A stream that processes what has landed and stops goes without
+(Spark would keep it running for their sake); what it leaves open is read from
+its state (``open_batches``).
 """
 
 from __future__ import annotations
@@ -46,8 +48,9 @@ class BatchClock(StatefulProcessor):
     A timer at the open batch's deadline closes it when no later message does.
     """
 
-    def __init__(self, limits: Limits) -> None:
+    def __init__(self, limits: Limits, timers: bool) -> None:
         self.limits = limits
+        self.timers = timers
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -102,7 +105,7 @@ class BatchClock(StatefulProcessor):
             )
             # Full batches stay in the state as closed: the next message opens one.
             messages, state.rows = 0, NEVER
-        elif self._wait(state) < NEVER // 2:
+        elif self.timers and self._wait(state) < NEVER // 2:
             due = timerValues.getCurrentProcessingTimeInMs() + max(0, self._wait(state))
             self.handle.registerTimer(due)
         self._store(state, messages, due)
@@ -126,11 +129,12 @@ class BatchClock(StatefulProcessor):
 class Throttle(StatefulProcessor):
     """Emit a series' first event and then one per interval."""
 
-    def __init__(self, interval_ms: int) -> None:
+    def __init__(self, interval_ms: int, kept_ms: int | None) -> None:
         self.limits = Limits(age_ms=interval_ms)
+        self.kept_ms = kept_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "published_ms BIGINT", SERIES_KEPT_MS)
+        self.last = handle.getValueState("last", "published_ms BIGINT", self.kept_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = _in_order(rows)
@@ -149,13 +153,17 @@ class Throttle(StatefulProcessor):
         pass
 
 
-def closed_batches(messages: DataFrame, limits: Limits) -> DataFrame:
+def closed_batches(messages: DataFrame, limits: Limits, timers: bool = False) -> DataFrame:
     """Stream of closed batches; every message is in exactly one batch.
 
-    ``messages`` has ``key``, ``ts_ms``, ``id`` and ``rows``.
+    ``messages`` has ``key``, ``ts_ms``, ``id`` and ``rows``.  Set ``timers``
+    for a stream that runs on.
     """
     return messages.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=BatchClock(limits), outputStructType=CLOSED_SCHEMA, outputMode="append", timeMode="ProcessingTime"
+        statefulProcessor=BatchClock(limits, timers),
+        outputStructType=CLOSED_SCHEMA,
+        outputMode="append",
+        timeMode="ProcessingTime" if timers else "None",
     )
 
 
@@ -173,11 +181,15 @@ def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
     )
 
 
-def throttled(events: DataFrame, interval_ms: int = 60_000) -> DataFrame:
-    """Stream of published events; ``events`` has ``key``, ``ts_ms``, ``id``."""
+def throttled(events: DataFrame, interval_ms: int = 60_000, kept_ms: int | None = None) -> DataFrame:
+    """Stream of published events; ``events`` has ``key``, ``ts_ms``, ``id``.
+
+    A stream that runs on can forget a series ``kept_ms`` after its last event
+    (``SERIES_KEPT_MS``), which takes processing time.
+    """
     return events.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=Throttle(interval_ms),
+        statefulProcessor=Throttle(interval_ms, kept_ms),
         outputStructType=PUBLISHED_SCHEMA,
         outputMode="append",
-        timeMode="ProcessingTime",
+        timeMode="None" if kept_ms is None else "ProcessingTime",
     )
