@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,13 +81,13 @@ def commit_rows(
 def snapshot_log(manifest: DataFrame) -> DataFrame:
     """One row per commit; ids are the commit time in nanoseconds.
 
-    Commits of one millisecond are told apart by their number.
+    Commits of one millisecond follow each other by number, a nanosecond apart.
     """
-    numbered = COMMIT in manifest.columns
-    key = [F.col("snapshot_ms").alias("timestamp_ms"), *([COMMIT] if numbered else [])]
-    within = F.pmod(F.col(COMMIT), F.lit(1_000_000)) if numbered else F.lit(0)
+    key = ["timestamp_ms", *([COMMIT] if COMMIT in manifest.columns else [])]
+    within = F.row_number().over(Window.partitionBy("timestamp_ms").orderBy(*key)) - 1
     return (
-        manifest.groupBy(*key)
+        manifest.withColumnRenamed("snapshot_ms", "timestamp_ms")
+        .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("records"))
         .withColumn("snapshot_id", F.col("timestamp_ms") * 1_000_000 + within)
         .select("snapshot_id", "timestamp_ms", "files", "records")

@@ -38,6 +38,13 @@ def test_commits_manifest_and_time_travel(spark, oi_raw, tmp_path):
     assert catalog.read_as_of(spark, table, manifest, 2000).count() == early.count() + late.count()
 
 
+def test_commits_of_one_millisecond_stay_apart(spark):
+    rows = [("p", 1, 10, 5, 0), ("q", 1, 20, 5, 1), ("r", 1, 30, 6, 2)]
+    manifest = spark.createDataFrame(rows, "path STRING, status INT, record_count BIGINT, snapshot_ms BIGINT, commit_id BIGINT")
+    log = sorted((r["snapshot_id"], r["records"]) for r in catalog.snapshot_log(manifest).collect())
+    assert log == [(5 * 10**6, 10), (5 * 10**6 + 1, 20), (6 * 10**6, 30)]
+
+
 def test_as_of_read_prunes_later_commits(spark, oi_raw, tmp_path):
     table, manifest = paths(tmp_path)
     for number in range(3):
