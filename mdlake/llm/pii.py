@@ -63,6 +63,29 @@ def _mod97(match: Column) -> Column:
     return F.length(compact).between(15, 34) & (rest == 1)
 
 
+# Fixed value: signs of an account number by country (ISO 13616 registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _account_numbers() -> str:
+    """A country, two check digits and as many signs as its numbers have; blanks may stand between.
+
+    The number ends there, also where a capital or digit follows after a blank.
+    Other countries: the whole run.
+    """
+    known = "|".join(
+        rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{signs - 4}}}+" for signs, names in IBAN_LENGTHS.items()
+    )
+    listed = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    other = rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}+"
+    return rf"(?<![A-Za-z0-9])(?:{known}|{other})(?![A-Za-z0-9])"
+
+
 @dataclass(frozen=True)
 class Kind:
     """What to look for; ``base`` kinds are kept whatever their score."""
@@ -112,7 +135,7 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        _account_numbers(),
         lambda t: t.rlike(r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]"),
         _mod97,
         0.8,

@@ -59,6 +59,19 @@ def test_account_numbers_and_context(spark):
     assert got[3][0].score > got[4][0].score
 
 
+def test_account_numbers_before_capitals_digits_and_marks(spark):
+    numbers = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "NO9386011117947"]
+    after = ["", " Please pay", " EUR 50", " 12 units", " A", ".", ",5", ")", "\nNext", " DE89370400440532013000 X", "X", "7"]
+    rows = [(i, f"to {n}{tail}", n, tail) for i, (n, tail) in enumerate((n, t) for n in numbers for t in after)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, number STRING, tail STRING")
+    for r in pii.find(docs, ["doc_id", "number", "tail"]).collect():
+        spans = [(s.start, s.end) for s in r.spans if s.kind == "iban"]
+        wanted = [] if r.tail in ("X", "7") else [(3, 3 + len(r.number))]
+        if r.tail.startswith(" DE"):
+            wanted.append((4 + len(r.number), 26 + len(r.number)))
+        assert spans == wanted, (r.number, r.tail)
+
+
 def test_query(spark, sf_dir, documents):
     rows = {r.doc_id: r for r in QUERIES["op7_pii"](spark, sf_dir).collect()}
     for r in documents.collect():
