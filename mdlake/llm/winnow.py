@@ -1,7 +1,8 @@
 """Document fingerprints by winnowing.
 
-A text is cut into tokens: runs of non-blank characters, at most ``WIDEST`` code
-points each.  Hashes of ``GRAM`` (4) consecutive tokens are made by doubling (of
+A text is cut into tokens: runs of at most ``WIDEST`` non-blank code points, and
+every code point of a longer run by itself, so that tokens of text without blanks
+do not depend on where a run starts.  Hashes of ``GRAM`` (4) consecutive tokens are made by doubling (of
 two, then of two pairs), and of every ``WINDOW`` (4) consecutive hashes the
 smallest is selected, the rightmost of equal ones.  The fingerprint is the list
 of selected hashes with their positions.  Two texts that share 7 consecutive
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 from mdlake.llm.common import WHITE
 
 WIDEST = 16
+TOKEN = f"(?<![^{WHITE}])[^{WHITE}]{{1,{WIDEST}}}+(?![^{WHITE}])|[^{WHITE}]"
 GRAM = 4
 WINDOW = 4
-PLACE_BITS = 30  # a text of 2^31 bytes has fewer tokens
+PLACE_BITS = 30  # more tokens than the arrays of one row can hold
 LAST_PLACE = (1 << PLACE_BITS) - 1
 HASH_BITS = (1 << 33) - 1
 PRINT = "ARRAY<STRUCT<hash: BIGINT, position: INT>>"
@@ -52,7 +54,7 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     def smaller(a: Column, b: Column) -> Column:
         return F.least(a, b)
 
-    rows = rows.withColumn("__t", F.regexp_extract_all(body, F.lit(f"[^{WHITE}]{{1,{WIDEST}}}"), F.lit(0)))
+    rows = rows.withColumn("__t", F.regexp_extract_all(body, F.lit(TOKEN), F.lit(0)))
     rows = rows.withColumn("__h", F.transform("__t", lambda t: F.xxhash64(t)))
     rows = rows.withColumn("__2", _paired("__h", 1, hashed))
     short = F.when(F.size("__h") > 0, F.array(F.xxhash64("__h"))).otherwise(F.expr("CAST(array() AS ARRAY<BIGINT>)"))

@@ -97,6 +97,17 @@ def test_shared_spans_are_found(spark):
     assert not got[1].keys() & got[3].keys()
 
 
+def test_unspaced_passage_at_every_offset(spark):
+    passage = "".join(chr(0x4E00 + (i * 7919) % 20000) for i in range(200))
+    rows = [(i, "".join(chr(0x3041 + j) for j in range(i)) + passage) for i in range(17)] + [(17, "one two " + passage + "x end")]
+    made = winnow.with_fingerprint(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), "text", "f")
+    got = {r.doc_id: {x.hash: x.position for x in r.f} for r in made.collect()}
+    for i in range(1, 18):
+        common = got[0].keys() & got[i].keys()
+        shift = 2 if i == 17 else i
+        assert len(common) > 0.9 * len(got[0]) and all(got[i][h] - got[0][h] == shift for h in common)
+
+
 def test_query_digests(spark, sf_dir):
     rows = QUERIES["op9_fingerprints"](spark, sf_dir)
     assert rows.filter(~F.col("fingerprint").rlike("^[0-9a-f]{16}$")).count() == 0
