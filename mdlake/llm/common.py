@@ -20,16 +20,24 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WHITE = r"\x20\x09-\x0D"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write the rows to the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset, as in tests, a temporary one is taken.
+    Only a local session may leave it unset, as in tests, and gets a temporary one.
     """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="mdlake-llm-")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write the rows to the shared checkpoint folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="mdlake-llm-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

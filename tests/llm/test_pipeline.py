@@ -54,3 +54,16 @@ def test_benchmark_rows_without_id_go(spark, sf_dir):
     rows = [(None, item, "en", "a", 1), (None, "clean words", "en", "a", 1)]
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
     assert [r.text for r in corpus_pipeline.decontaminate(spark, docs, sf_dir).collect()] == ["clean words"]
+
+
+def test_columns_of_its_own_pass_through(spark, sf_dir):
+    """Extra columns named like the stages' helpers keep their values."""
+    extra = ["key", "text_hash", "fp", "document", "size", "quality", "n_hit", "class_fp", "hit_id"]
+    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, " + ", ".join(f"{c} STRING" for c in extra)
+    rows = [(i, f"the quick brown fox {i} jumps over {i * i} lazy dogs", "en", "a", 10, *[f"{c}{i}" for c in extra]) for i in range(20)]
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        got = docs.collect()
+        assert got and docs.columns == [f.split()[0] for f in schema.split(", ")]
+        assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in extra)
