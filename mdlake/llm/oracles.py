@@ -154,4 +154,74 @@ def _op6(rounds: int = 12, damping: float = 0.85) -> str:
 
 OP6 = _op6()
 
-ORACLES: dict[str, str] = {"op3_chat": OP3, "op6_urls": OP6, "op5_mixing": OP5, "op10_decontamination": OP10}
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text by its definition: bit by bit, polynomial EDB88320."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    bit = "xor(c >> 1, 3988292384 * (c & 1))"
+    byte = f"list_reduce(list_prepend(xor(acc, code), [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: {bit})"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda acc, code: {byte}), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _op13() -> str:
+    """Trees level by level, proofs by looking the neighbours up, folds step by step."""
+
+    def leaf(n_chars: str) -> str:
+        return f"sha256({' || '.join(_field(v) for v in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+    def tree(name: str, start: str) -> str:
+        """Nodes (grp, level, idx, n, digest) of every level; n nodes stand on it."""
+        return (
+            f"{name} AS ({start} UNION ALL SELECT grp, level + 1, idx // 2, (any_value(n) + 1) // 2, "
+            f"sha256(string_agg(digest, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY grp, level, idx // 2)"
+        )
+
+    def steps(of: str, nodes: str, rank: str, shift: str) -> str:
+        """The neighbour of every leaf of ``of`` on each level below the top."""
+        return (
+            f"SELECT leaf_id, {shift} + own.level AS step, own.idx & 1 AS digit, beside.digest AS sibling "
+            f"FROM {of} JOIN {nodes} own ON own.grp IS NOT DISTINCT FROM {of}.grp_{nodes} AND own.idx = {of}.{rank} >> own.level "
+            f"AND own.n > 1 LEFT JOIN {nodes} beside ON beside.grp IS NOT DISTINCT FROM own.grp AND beside.level = own.level "
+            "AND beside.idx = xor(own.idx, 1)"
+        )
+
+    crc = _crc32("CAST(doc_id AS VARCHAR)")
+    parts = [
+        f"leaves AS (SELECT doc_id, lang, {leaf('n_chars')} AS leaf, "
+        f"CASE WHEN {crc} % 7 = 0 THEN {leaf('CAST(n_chars AS HUGEINT) + 1')} ELSE {leaf('n_chars')} END AS start FROM documents)",
+        "ranked AS (SELECT *, row_number() OVER () AS leaf_id, "
+        "row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, "
+        "count(*) OVER (PARTITION BY lang) AS n FROM leaves)",
+        tree("low", "SELECT lang AS grp, 0 AS level, rank AS idx, n, leaf AS digest FROM ranked"),
+        "subroots AS (SELECT grp, digest, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS rank, count(*) OVER () AS n "
+        "FROM low WHERE n = 1)",
+        tree("high", "SELECT 'all' AS grp, 0 AS level, rank AS idx, n, digest FROM subroots"),
+        "asked AS (SELECT leaf_id, doc_id, leaf, start, lang AS grp_low, 'all' AS grp_high, ranked.rank AS low_rank, "
+        "subroots.rank AS high_rank, subroots.digest AS subroot FROM ranked JOIN subroots ON grp IS NOT DISTINCT FROM lang)",
+        f"proof AS ({steps('asked', 'low', 'low_rank', '0')} UNION ALL {steps('asked', 'high', 'high_rank', '1000')})",
+        "listed AS (SELECT leaf_id, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256, "
+        "list({'digit': digit, 'sibling': sibling} ORDER BY step) AS path FROM proof GROUP BY leaf_id)",
+        "folded AS (SELECT asked.leaf_id, 0 AS done_steps, start AS digest, path FROM asked LEFT JOIN listed USING (leaf_id) "
+        "UNION ALL SELECT leaf_id, done_steps + 1, sha256(CASE WHEN path[done_steps + 1].sibling IS NULL THEN digest "
+        "WHEN path[done_steps + 1].digit = 1 THEN path[done_steps + 1].sibling || digest ELSE digest || path[done_steps + 1].sibling END), path "
+        "FROM folded WHERE done_steps < coalesce(len(path), 0))",
+        "done AS (SELECT leaf_id, digest AS folded_root FROM folded WHERE done_steps = coalesce(len(path), 0))",
+    ]
+    return "WITH RECURSIVE " + ",\n".join(parts) + (
+        "\nSELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, "
+        "folded_root = root AS verified FROM asked JOIN done USING (leaf_id) LEFT JOIN listed USING (leaf_id), "
+        "(SELECT digest AS root FROM high WHERE n = 1)"
+    )
+
+
+ORACLES: dict[str, str] = {
+    "op3_chat": OP3,
+    "op6_urls": OP6,
+    "op5_mixing": OP5,
+    "op10_decontamination": OP10,
+    "op13_merkle": _op13(),
+}

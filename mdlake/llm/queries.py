@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import chat, decontam, langid, mixing, pii, sharding, simhash, toxicity, urls, winnow
+from mdlake.llm import chat, decontam, langid, merkle, mixing, pii, sharding, simhash, toxicity, urls, winnow
 from mdlake.llm.common import crc_of_id, table, word_count
 
 
@@ -114,6 +114,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents in the manifest of the table, some of them tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.pmod(crc_of_id(), F.lit(7)) == 0
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    # One more character, as a decimal: the largest long has a successor too.
+    changed = [(F.col(f).cast("decimal(20,0)") + 1) if f == "n_chars" else F.col(f) for f in fields]
+    leaves = docs.select(
+        "doc_id",
+        "lang",
+        merkle.leaf_digest(*fields).alias("leaf"),
+        F.when(tampered & F.col("doc_id").isNotNull(), merkle.leaf_digest(*changed)).alias("changed"),
+    )
+    proven = merkle.prove(merkle.manifest(leaves))
+    rows = proven.withColumn("folded_root", merkle.fold(F.coalesce("row.changed", "leaf")))
+    return rows.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest().alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -125,4 +151,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
+    "op13_merkle": op13_merkle,
 }
