@@ -38,6 +38,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
+_TERMS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce({_TERMS}, []) AS terms FROM documents),
+items AS (SELECT row_number() OVER () AS item_row, item_id, coalesce({_TERMS}, []) AS terms FROM benchmark),
+totals AS (SELECT count(*) AS big_n, sum(len(terms))::BIGINT AS big_l FROM docs WHERE len(terms) > 0),
+tfs AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(terms) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tfs, totals GROUP BY term
+),
+sizes AS (SELECT row_id, doc_id, 100 - 25 + ((25 * len(terms)::BIGINT * big_n) // big_l) AS m FROM docs, totals WHERE len(terms) > 0),
+asked AS (SELECT item_row, item_id, term, count(*) AS times FROM (SELECT item_row, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+scored AS (
+  SELECT item_row, item_id, doc_id, row_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (row_id) GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 OP5 = r"""
 WITH docs AS (
   SELECT doc_id, source, size,
@@ -223,5 +247,6 @@ ORACLES: dict[str, str] = {
     "op6_urls": OP6,
     "op5_mixing": OP5,
     "op10_decontamination": OP10,
+    "op11_lexical": OP11,
     "op13_merkle": _op13(),
 }

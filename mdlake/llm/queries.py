@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import chat, decontam, langid, merkle, mixing, pii, sharding, simhash, toxicity, urls, winnow
+from mdlake.llm import chat, decontam, langid, lexical, merkle, mixing, pii, sharding, simhash, toxicity, urls, winnow
 from mdlake.llm.common import crc_of_id, table, word_count
 
 
@@ -114,6 +114,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents in the manifest of the table, some of them tampered with."""
     docs = table(spark, sf_dir, "documents")
@@ -151,5 +156,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
+    "op11_lexical": op11_lexical,
     "op13_merkle": op13_merkle,
 }
