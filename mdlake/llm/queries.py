@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import chat, decontam, langid, lexical, merkle, mixing, pii, sharding, simhash, toxicity, urls, winnow
+from mdlake.llm import chat, decontam, langid, lexical, merkle, mixing, pii, sharding, simhash, toxicity, urls, vectors, winnow
 from mdlake.llm.common import crc_of_id, table, word_count
 
 
@@ -119,6 +119,11 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest vectors of every twentieth one, among all."""
+    return vectors.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents in the manifest of the table, some of them tampered with."""
     docs = table(spark, sf_dir, "documents")
@@ -157,5 +162,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
     "op11_lexical": op11_lexical,
+    "op12_vectors": op12_vectors,
     "op13_merkle": op13_merkle,
 }
