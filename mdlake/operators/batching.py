@@ -9,21 +9,22 @@ where the previous batch ended, which is sequential per instrument; here that
 chain is cut so that an instrument holding most of the data is still processed
 by many tasks:
 
-1. the narrow message rows are stored once, then range-partitioned by (key,
-   time, id), which spreads a hot key over as many tasks as its size asks for,
-   and checkpointed;
-2. each task reports, for the keys at its two edges, where its last batch would
-   start for every possible first boundary (a short table);
-3. those tables are chained per key, giving each task its entry state;
-4. each task numbers its own messages from that state.
-
-Only step 3 is sequential, over at most two rows per task.
+1. messages are dealt by (key, minute), and counted there; running counts over
+   the minutes of a key cut it into chunks of about ``CHUNK_ROWS`` messages;
+2. each chunk is reduced to its state map: what becomes of any batch that is
+   open when the chunk begins;
+3. state maps compose, so ``FAN`` neighbouring ones become one, the maps of a key
+   are chained, and the states found there go down to the chunks again;
+4. each chunk numbers its own messages from its entry state.
+
+Only the chain of step 3 is sequential: one map for ``FAN * CHUNK_ROWS`` messages
+of a key.  Nothing runs before the result is asked for, and all steps read the
+same two exchanges of the narrow messages.
 """
 
 from __future__ import annotations
 
 import sys
-import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -122,171 +123,294 @@ def number_run(state: Open, limits: Limits, ms: np.ndarray, rows: np.ndarray) ->
     return numbers
 
 
-def edge_table(limits: Limits, ms: np.ndarray, rows: np.ndarray) -> dict:
-    """How a run maps any entry state to its exit state.
-
-    An open batch carried in closes no later than one started at the run's
-    first message would, so only the positions up to there can be first starts.
+@dataclass
+class StateMap:
+    """What a run of messages makes of any batch that is open when it begins.
+
+    The open batch decides which message is the first that starts a batch; from
+    there on all is fixed.  Starts with the same outcome are one class, in order
+    of position: class j is the last one with ``rows_before[j]`` below the rows
+    that still fit and ``ms_before[j]`` before the deadline.  Where ``passes``
+    is set, the last class holds the batches that stay open to the end; its exit
+    adds to the state instead of replacing it.
+
+    There are at most as many classes as rows fit in a batch, or as milliseconds
+    in its age, whatever the length of the run.
     """
-    n = len(ms)
-    total, quiet = np.cumsum(rows), quiet_positions(ms, limits)
-    follow = follow_starts(limits, total, ms, quiet)
-    candidates = min(int(follow[0]) + 1, n)
-    last = np.where(follow < n, follow, np.arange(n))
-    starts = (follow < n).astype(np.int64)
-    while True:
-        further = last[last]
-        if np.array_equal(further, last):
-            break
-        starts, last = starts + starts[last], further
-    last = last[:candidates]
-    return {
-        "messages": n,
-        "total_rows": int(total[-1]),
-        "end_ms": int(ms[-1]),
-        "first_quiet": int(quiet[0]) if len(quiet) else n,
-        "running_rows": total[:candidates],
-        "start_ms": ms[:candidates],
-        "exit_rows": total[-1] - total[last] + rows[last],
-        "exit_first_ms": ms[last],
-        "exit_starts": starts[:candidates] + 1,
-    }
-
-
-def chain(state: Open, limits: Limits, table: dict) -> None:
-    """Move ``state`` over a run described by its table."""
-    ms = np.asarray(table["start_ms"])
-    quiet = np.array([table["first_quiet"]])
-    at = first_start(state, limits, np.asarray(table["running_rows"]), ms, quiet[quiet < len(ms)])
-    if at < len(ms):
-        state.rows, state.first_ms = int(table["exit_rows"][at]), int(table["exit_first_ms"][at])
-        state.number += int(table["exit_starts"][at])
-    else:
-        state.rows += int(table["total_rows"])
-    state.last_ms = int(table["end_ms"])
+
+    start_ms: int
+    end_ms: int
+    total_rows: int
+    passes: bool
+    rows_before: np.ndarray
+    ms_before: np.ndarray
+    exit_rows: np.ndarray
+    exit_first_ms: np.ndarray
+    exit_starts: np.ndarray
+
+    @classmethod
+    def of_run(cls, limits: Limits, ms: np.ndarray, rows: np.ndarray) -> StateMap:
+        n = len(ms)
+        total, quiet = np.cumsum(rows), quiet_positions(ms, limits)
+        follow = follow_starts(limits, total, ms, quiet)
+        # A batch carried in closes no later than one started at the first message would.
+        latest = int(follow[0])
+        last = np.where(follow < n, follow, np.arange(n))
+        starts = (follow < n).astype(np.int64)
+        while True:
+            further = last[last]
+            if np.array_equal(further, last):
+                break
+            starts, last = starts + starts[last], further
+        at = np.arange(min(latest, n - 1) + 1)
+        last, passes = last[at], latest == n
+        at = np.append(at, n) if passes else at
+        made = cls(
+            start_ms=int(ms[0]),
+            end_ms=int(ms[-1]),
+            total_rows=int(total[-1]),
+            passes=passes,
+            rows_before=np.where(at == 0, -NEVER, np.where(at == 1, 0, total[np.maximum(at, 2) - 2])),
+            ms_before=np.where(at == 0, -NEVER, ms[np.maximum(at, 1) - 1]),
+            exit_rows=_with_pass(total[-1] - total[last] + rows[last], passes, int(total[-1])),
+            exit_first_ms=_with_pass(ms[last], passes, 0),
+            exit_starts=_with_pass(starts[: len(last)] + 1, passes, 0),
+        )
+        return made._merged()
+
+    def _merged(self) -> StateMap:
+        """Neighbouring classes of one outcome as one."""
+        out = np.stack((self.exit_rows, self.exit_first_ms, self.exit_starts))
+        keep = np.append(True, (out[:, 1:] != out[:, :-1]).any(axis=0))
+        if self.passes:
+            keep[-1] = True
+        for name in CLASS_COLUMNS:
+            setattr(self, name, getattr(self, name)[keep])
+        return self
+
+    def _class_of(self, limits: Limits, rows: np.ndarray, first_ms: np.ndarray, last_ms: int) -> np.ndarray:
+        if self.start_ms - last_ms > limits.idle_ms:
+            return np.zeros(len(rows), dtype=np.int64)
+        by_rows = np.searchsorted(self.rows_before, limits.rows - rows) - 1
+        by_age = np.searchsorted(self.ms_before, first_ms + limits.age_ms) - 1
+        return np.maximum(np.minimum(by_rows, by_age), 0)
+
+    def _exits(self, chosen: np.ndarray, rows: np.ndarray, first_ms: np.ndarray, starts: np.ndarray) -> tuple:
+        stays = (chosen == len(self.exit_rows) - 1) & self.passes
+        return (
+            self.exit_rows[chosen] + np.where(stays, rows, 0),
+            np.where(stays, first_ms, self.exit_first_ms[chosen]),
+            starts + self.exit_starts[chosen],
+        )
+
+    def apply(self, limits: Limits, state: Open) -> None:
+        """Move ``state`` over the run."""
+        rows, first, starts = (np.array([x], dtype=np.int64) for x in (state.rows, state.first_ms, state.number))
+        chosen = self._class_of(limits, rows, first, state.last_ms)
+        state.rows, state.first_ms, state.number = (int(x[0]) for x in self._exits(chosen, rows, first, starts))
+        state.last_ms = self.end_ms
+
+    def then(self, limits: Limits, after: StateMap) -> StateMap:
+        """The map of this run followed by ``after``."""
+        own = len(self.exit_rows) - int(self.passes)
+        rows, first, starts = self.exit_rows[:own], self.exit_first_ms[:own], self.exit_starts[:own]
+        chosen = after._class_of(limits, rows, first, self.end_ms)
+        columns = [(self.rows_before[:own], self.ms_before[:own], *after._exits(chosen, rows, first, starts))]
+        passes = False
+        if self.passes:
+            silent = after.start_ms - self.end_ms > limits.idle_ms
+            on = 1 if silent else len(after.exit_rows)  # after a silence all open a new batch
+            passes = after.passes and not silent
+            rows_before = np.append(self.rows_before[-1], after.rows_before[1:on] + self.total_rows)
+            ms_before = np.append(self.ms_before[-1], after.ms_before[1:on])
+            exit_rows = after.exit_rows[:on].copy()
+            if passes:
+                exit_rows[-1] += self.total_rows
+            columns.append((rows_before, ms_before, exit_rows, after.exit_first_ms[:on], after.exit_starts[:on]))
+        joined = [np.concatenate(c) for c in zip(*columns)]
+        made = StateMap(self.start_ms, after.end_ms, self.total_rows + after.total_rows, passes, *joined)
+        return made._merged()
+
+    def row(self) -> dict:
+        return vars(self)
+
+    @classmethod
+    def of_row(cls, row: dict) -> StateMap:
+        plain = {n: row[n] for n in ("start_ms", "end_ms", "total_rows", "passes")}
+        return cls(**plain, **{n: np.asarray(row[n], dtype=np.int64) for n in CLASS_COLUMNS})
+
+
+CLASS_COLUMNS = ("rows_before", "ms_before", "exit_rows", "exit_first_ms", "exit_starts")
+
+
+def _with_pass(values: np.ndarray, passes: bool, last: int) -> np.ndarray:
+    return np.append(values, last) if passes else values
 
 
 # --- the same over Spark partitions ---------------------------------------------
 
-EDGE_SCHEMA = (
-    "chunk INT, key STRING, messages BIGINT, total_rows BIGINT, end_ms BIGINT, first_quiet BIGINT, "
-    "running_rows ARRAY<BIGINT>, start_ms ARRAY<BIGINT>, exit_rows ARRAY<BIGINT>, exit_first_ms ARRAY<BIGINT>, "
-    "exit_starts ARRAY<BIGINT>"
+CELL_MS = 60_000
+CHUNK_ROWS = 1 << 16
+FAN = 256
+
+MAP_SCHEMA = "start_ms BIGINT, end_ms BIGINT, total_rows BIGINT, passes BOOLEAN, " + ", ".join(
+    f"{c} ARRAY<BIGINT>" for c in CLASS_COLUMNS
 )
-ENTRY_SCHEMA = "chunk INT, key STRING, in_rows BIGINT, in_first_ms BIGINT, in_last_ms BIGINT, in_number BIGINT"
+ENTRY = {"in_rows": "rows", "in_first_ms": "first_ms", "in_last_ms": "last_ms", "in_number": "number"}
+ENTRY_SCHEMA = ", ".join(f"{c} BIGINT" for c in ENTRY)
 
 
-def _runs(keys: np.ndarray) -> list[tuple[int, int]]:
-    cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-    edges = [0, *cuts.tolist(), len(keys)]
+def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of rows that agree in all columns."""
+    change = np.zeros(max(0, len(columns[0]) - 1), dtype=bool)
+    for values in columns:
+        change |= values[1:] != values[:-1]
+    edges = [0, *(np.flatnonzero(change) + 1).tolist(), len(columns[0])]
     return list(zip(edges[:-1], edges[1:]))
 
 
-def _report_edges(limits: Limits):
-    def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunk, key, pieces, edge_sent = None, None, [], False
+def _count_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        yield frame.groupby(["key", "cell"], sort=False).size().reset_index(name="n")
+
 
-        def flush() -> pd.DataFrame:
-            ms = np.concatenate([p[0] for p in pieces])
-            rows = np.concatenate([p[1] for p in pieces])
-            return pd.DataFrame([{"chunk": chunk, "key": key, **edge_table(limits, ms, rows)}])
+def _report_maps(limits: Limits):
+    """The state map of each chunk, composed batch by batch as its rows stream in."""
 
+    def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, made = None, None
         for frame in frames:
             if frame.empty:
                 continue
-            chunk = int(frame["chunk"].iloc[0])
-            keys, ms, rows = frame["key"].to_numpy(), frame["ts_ms"].to_numpy(), frame["rows"].to_numpy()
-            runs = _runs(keys)
-            # A key that starts and ends inside the task needs no report.
-            for low, high in [runs[0], *runs[1:][-1:]]:
-                if key is not None and keys[low] != key:
-                    if not edge_sent:
-                        yield flush()
-                        edge_sent = True
-                    pieces = []
-                key = keys[low]
-                pieces.append((ms[low:high], rows[low:high]))
-        if key is not None:
-            yield flush()
+            keys, chunks = frame["key"].to_numpy(), frame["chunk"].to_numpy()
+            ms, rows = frame["ts_ms"].to_numpy(), frame["rows"].to_numpy()
+            out = []
+            for low, high in _runs(keys, chunks):
+                if (keys[low], chunks[low]) != at:
+                    if made is not None:
+                        out.append({"key": at[0], "chunk": at[1], **made.row()})
+                    at, made = (keys[low], chunks[low]), None
+                more = StateMap.of_run(limits, ms[low:high], rows[low:high])
+                made = more if made is None else made.then(limits, more)
+            if out:
+                yield pd.DataFrame(out)
+        if made is not None:
+            yield pd.DataFrame([{"key": at[0], "chunk": at[1], **made.row()}])
 
     return report
 
 
-def _chain_edges(limits: Limits):
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, state = None, Open()
+def _compose_maps(limits: Limits):
+    """Neighbouring maps of a group as one."""
+
+    def compose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, made = None, None
         for frame in frames:
             out = []
-            for table in frame.to_dict("records"):
-                if table["key"] != key:
-                    key, state = table["key"], Open()
-                out.append((table["chunk"], key, state.rows, state.first_ms, state.last_ms, state.number))
-                chain(state, limits, table)
-            yield pd.DataFrame(out, columns=["chunk", "key", "in_rows", "in_first_ms", "in_last_ms", "in_number"])
+            for row in frame.to_dict("records"):
+                if (row["key"], row["span"]) != at:
+                    if made is not None:
+                        out.append({"key": at[0], "span": at[1], **made.row()})
+                    at, made = (row["key"], row["span"]), None
+                more = StateMap.of_row(row)
+                made = more if made is None else made.then(limits, more)
+            if out:
+                yield pd.DataFrame(out)
+        if made is not None:
+            yield pd.DataFrame([{"key": at[0], "span": at[1], **made.row()}])
+
+    return compose
+
+
+def _chain_maps(limits: Limits, group: list[str], place: str):
+    """The state in which each map of a group is entered.
+
+    A group may begin with a row that gives its own entry state.
+    """
 
-    return fold
+    def chain(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, state = None, Open()
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                here = tuple(row[c] for c in group)
+                if here != at:
+                    at, state = here, Open()
+                if row["kind"] == 0:
+                    state = Open(*(int(row[c]) for c in ENTRY))
+                    continue
+                out.append((row["key"], row[place], state.rows, state.first_ms, state.last_ms, state.number))
+                StateMap.of_row(row).apply(limits, state)
+            yield pd.DataFrame(out, columns=["key", place, *ENTRY])
 
+    return chain
 
-def _number_messages(limits: Limits):
-    entry = ["in_rows", "in_first_ms", "in_last_ms", "in_number"]
 
+def _number_messages(limits: Limits, columns: list[str]):
     def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, state = None, Open()
+        at, state = None, Open()
         for frame in frames:
             if frame.empty:
                 continue
-            keys, ms, rows = frame["key"].to_numpy(), frame["ts_ms"].to_numpy(), frame["rows"].to_numpy()
+            keys, chunks = frame["key"].to_numpy(), frame["chunk"].to_numpy()
+            ms, rows = frame["ts_ms"].to_numpy(), frame["rows"].to_numpy()
             numbers = np.empty(len(frame), dtype=np.int64)
-            for low, high in _runs(keys):
-                if keys[low] != key:
-                    key = keys[low]
-                    state = Open(*(int(frame[c].iloc[low]) for c in entry))
+            for low, high in _runs(keys, chunks):
+                if (keys[low], chunks[low]) != at:
+                    at = (keys[low], chunks[low])
+                    state = Open(*(int(frame[c].iloc[low]) for c in ENTRY))
                 numbers[low:high] = number_run(state, limits, ms[low:high], rows[low:high])
-            yield frame.drop(columns=[*entry, "chunk"]).assign(batch_no=numbers)
+            yield frame[columns].assign(batch_no=numbers)
 
     return number
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder that the session names.
+def in_chunks(messages: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Messages with ``chunk``, which rises with time in a key, dealt and sorted by it.
 
-    Where none is named, as in tests, a temporary one is taken.
+    A chunk ends with the minute in which its ``chunk_rows`` messages are full.
+    The counts come from the exchange that the messages go through anyway.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="mdlake-checkpoint-"))
-    return df.checkpoint()
+    dealt = messages.withColumn("cell", F.floor(F.col("ts_ms") / CELL_MS)).repartition("key", "cell")
+    counts = dealt.mapInPandas(_count_cells, "key STRING, cell BIGINT, n BIGINT").groupBy("key", "cell").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    chunks = counts.select("key", "cell", F.floor(before / chunk_rows).cast("bigint").alias("chunk"))
+    marked = dealt.join(chunks, ["key", "cell"]).select(*messages.columns, "chunk")
+    return marked.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "ts_ms", "id")
+
+
+def _entries(maps: DataFrame, limits: Limits, fan: int) -> DataFrame:
+    """(key, chunk, entry state) of every chunk from (key, chunk, its state map)."""
+    names = [f.split(" ")[0] for f in MAP_SCHEMA.split(", ")]
+    spans = (
+        maps.withColumn("span", F.floor(F.col("chunk") / fan))
+        .repartition("key", "span")
+        .sortWithinPartitions("key", "span", "chunk")
+    )
+    wide = spans.mapInPandas(_compose_maps(limits), f"key STRING, span BIGINT, {MAP_SCHEMA}")
+    wide = wide.withColumn("kind", F.lit(1)).repartition("key").sortWithinPartitions("key", "span")
+    heads = wide.mapInPandas(_chain_maps(limits, ["key"], "span"), f"key STRING, span BIGINT, {ENTRY_SCHEMA}")
+    none = [F.lit(None).cast("bigint").alias(c) for c in ENTRY]
+    both = spans.select("key", "span", F.lit(1).alias("kind"), "chunk", *names, *none).unionByName(
+        heads.withColumn("kind", F.lit(0)), allowMissingColumns=True
+    )
+    both = both.repartition("key", "span").sortWithinPartitions("key", "span", "kind", "chunk")
+    return both.mapInPandas(_chain_maps(limits, ["key", "span"], "chunk"), f"key STRING, chunk BIGINT, {ENTRY_SCHEMA}")
 
 
-def number_batches(messages: DataFrame, limits: Limits, chunks: int | None = None) -> DataFrame:
+def number_batches(messages: DataFrame, limits: Limits, chunk_rows: int = CHUNK_ROWS, fan: int = FAN) -> DataFrame:
     """Number the batches of every key.
 
     ``messages`` has ``key``, ``ts_ms``, ``id`` (unique in a key and time) and
     ``rows``; further columns pass through.  Adds ``batch_no``, from 0 per key.
     """
-    spark = messages.sparkSession
-    order = ["key", "ts_ms", "id"]
-    count = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Range partitioning first samples its input; stored narrow rows keep that
-    # from decoding every payload a second time.
-    narrow = durable(messages)
-    parts = durable(
-        narrow.repartitionByRange(count, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("chunk", F.spark_partition_id())
-    )
-    edges = parts.select("chunk", "key", "ts_ms", "rows").mapInPandas(_report_edges(limits), EDGE_SCHEMA)
-    entry = (
-        edges.repartition("key").sortWithinPartitions("key", "chunk").mapInPandas(_chain_edges(limits), ENTRY_SCHEMA)
-    )
-    fresh = Open()
-    defaults = {"in_rows": fresh.rows, "in_first_ms": fresh.first_ms, "in_last_ms": fresh.last_ms, "in_number": fresh.number}
-    # At most two entry rows per task of the numbering stage, whatever the data.
-    started = parts.join(F.broadcast(entry), ["chunk", "key"], "left").fillna(defaults)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in messages.schema) + ", batch_no BIGINT"
-    kept = [c for c in messages.columns]
-    return started.select("chunk", *kept, *defaults).mapInPandas(_number_messages(limits), schema)
+    parts = in_chunks(messages, chunk_rows)
+    maps = parts.mapInPandas(_report_maps(limits), f"key STRING, chunk BIGINT, {MAP_SCHEMA}")
+    started = parts.join(_entries(maps, limits, fan), ["key", "chunk"])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in messages.schema) + ", batch_no BIGINT"
+    order = ["key", "chunk", "ts_ms", "id"]
+    return started.sortWithinPartitions(*order).mapInPandas(_number_messages(limits, messages.columns), schema)
 
 
 def batch_sizes(numbered: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -302,9 +426,9 @@ def batch_sizes(numbered: DataFrame, max_rows: int | None = None) -> DataFrame:
     return sizes.withColumn("complete", F.col("record_count") >= max_rows)
 
 
-def count_batches(messages: DataFrame, max_rows: int = PROCESSOR_ROWS, chunks: int | None = None) -> DataFrame:
+def count_batches(messages: DataFrame, max_rows: int = PROCESSOR_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Close a batch once it holds ``max_rows`` rows."""
-    return number_batches(messages, Limits(rows=max_rows), chunks)
+    return number_batches(messages, Limits(rows=max_rows), chunk_rows)
 
 
 def same_time_once(messages: DataFrame) -> DataFrame:
@@ -317,12 +441,12 @@ def same_time_once(messages: DataFrame) -> DataFrame:
     )
 
 
-def age_batches(messages: DataFrame, max_age_ms: int, chunks: int | None = None) -> DataFrame:
+def age_batches(messages: DataFrame, max_age_ms: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Batches that close ``max_age_ms`` after their first message.
 
     One row per batch.
     """
-    numbered = number_batches(same_time_once(messages), Limits(age_ms=max_age_ms), chunks)
+    numbered = number_batches(same_time_once(messages), Limits(age_ms=max_age_ms), chunk_rows)
     return numbered.groupBy("key", "batch_no").agg(
         F.sum("messages").alias("messages"),
         F.sum("rows").alias("record_count"),
@@ -335,20 +459,20 @@ def key_flush(
     messages: DataFrame,
     max_rows: int = INDICATOR_WRITER_ROWS,
     max_age_ms: int = WRITER_INTERVAL_MS,
-    chunks: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Writer buffers: closed by size or by age since the first row."""
-    return number_batches(messages, Limits(rows=max_rows, age_ms=max_age_ms), chunks)
+    return number_batches(messages, Limits(rows=max_rows, age_ms=max_age_ms), chunk_rows)
 
 
 def count_or_idle_batches(
     messages: DataFrame,
     max_rows: int = PROCESSOR_ROWS,
     idle_ms: int = PROCESSOR_TIMEOUT_MS,
-    chunks: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Processor buffers: closed by size or by a silence longer than ``idle_ms``."""
-    return number_batches(messages, Limits(rows=max_rows, idle_ms=idle_ms), chunks)
+    return number_batches(messages, Limits(rows=max_rows, idle_ms=idle_ms), chunk_rows)
 
 
 def gap_cells(messages: DataFrame, idle_ms: int = PROCESSOR_TIMEOUT_MS) -> DataFrame:
@@ -442,7 +566,7 @@ def batch_envelope(numbered: DataFrame, entry_columns: list[str]) -> DataFrame:
     )
 
 
-def throttle(events: DataFrame, interval_ms: int = 60_000, chunks: int | None = None) -> DataFrame:
+def throttle(events: DataFrame, interval_ms: int = 60_000, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per series, the first event and then the next one at least
     ``interval_ms`` after the last published one.
 
@@ -451,7 +575,7 @@ def throttle(events: DataFrame, interval_ms: int = 60_000, chunks: int | None =
     all, since no other can be published.
     """
     ones = events.select("key", "ts_ms", "id", F.lit(1).cast("bigint").alias("rows"))
-    numbered = number_batches(same_time_once(ones), Limits(age_ms=interval_ms), chunks)
+    numbered = number_batches(same_time_once(ones), Limits(age_ms=interval_ms), chunk_rows)
     return numbered.groupBy("key", "batch_no").agg(
         F.min(F.struct("ts_ms", "id")).alias("first")
     ).select("key", "first.ts_ms", "first.id")

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mdlake.functions import clock
-from mdlake.operators.batching import durable
 
 # Metric names behind each feature switch, fields that are never
 # dimensions, drop counters by feed and stage, the drop report's categories, and
@@ -188,36 +187,72 @@ def channel_stats(stages: DataFrame) -> DataFrame:
     return stages.groupBy("feed").agg(n("raw", "sent"), n("norm", "sent"), n("raw", "dropped"), n("norm", "dropped"))
 
 
-def buffer_occupancy(flow: DataFrame, capacity: int, width_ms: int = 1000) -> DataFrame:
-    """Backlog of each (feed, stage) buffer at the end of every active second.
+# Default sizes of the raw and norm buffers.
+BUFFER_SIZES = {"raw": 10_000, "norm": 2_000}
 
-    ``flow`` has a ``change`` column: +1 when a message enters, -1 when it
-    leaves.  Changes are first summed per second, then per day; the running sum
-    runs inside one day on top of the days before, so no window spans a feed's
-    whole history.
+
+def buffer_flow(stages: DataFrame, taken: DataFrame) -> DataFrame:
+    """What enters (+1) and leaves (-1) each (feed, stage) buffer.
+
+    A message sent to the raw buffer stays until the processor has turned it
+    into a norm message, sent or dropped; that one stays until a writer takes
+    it (``taken``: one row per message, with ``feed`` and ``ts_ms``).
+    """
+    into, out = F.lit(1).alias("change"), F.lit(-1).alias("change")
+    sent = stages.filter(F.col("outcome") == "sent").select("feed", "stage", "ts_ms", into)
+    turned = stages.filter(F.col("stage") == "norm").select("feed", F.lit("raw").alias("stage"), "ts_ms", out)
+    written = taken.select("feed", F.lit("norm").alias("stage"), "ts_ms", out)
+    return sent.unionByName(turned).unionByName(written)
+
+
+def buffer_capacities(events: DataFrame) -> DataFrame:
+    """(feed, stage, ts_ms, event_id, capacity) of every sample that reports a buffer's size."""
+    feed, stage = (F.regexp_extract("name", "^([a-z]+)_(raw|norm)_buffer_length$", i) for i in (1, 2))
+    reported = events.select(
+        feed.alias("feed"), stage.alias("stage"), "ts_ms", "event_id", F.element_at("numbers", "capacity").alias("capacity")
+    )
+    return reported.filter((F.col("stage") != "") & F.col("capacity").isNotNull())
+
+
+def buffer_occupancy(flow: DataFrame, capacities: DataFrame, width_ms: int = 1000) -> DataFrame:
+    """Backlog of each (feed, stage) buffer at the end of every second with a change, and its capacity then.
+
+    The capacity is the last one reported up to the end of that second, or the
+    default size before the first report.  Changes and reports are first reduced
+    to one row per second, then to one per day; sums and last values run inside
+    a day on top of those of the days before, so no window spans a feed's whole
+    history.
     """
     key = ["feed", "stage"]
-    seconds = flow.groupBy(
-        *key, clock.bucket_ms(F.col("ts_ms"), width_ms).alias("second_ms")
-    ).agg(F.sum("change").alias("change"))
-    # Stored, because both the days and the seconds are built from it; Spark
-    # would otherwise read and aggregate the whole flow twice.
-    seconds = durable(seconds.withColumn("day_ms", clock.bucket_ms(F.col("second_ms"), clock.DAY_MS)))
+    second = clock.bucket_ms(F.col("ts_ms"), width_ms).alias("second_ms")
+    moved = flow.select(*key, second, F.col("change").cast("bigint").alias("change"), F.lit(None).cast("struct<ts_ms: bigint, event_id: bigint, capacity: bigint>").alias("seen"))
+    told = capacities.select(
+        *key, second, F.lit(None).cast("bigint").alias("change"),
+        F.struct("ts_ms", "event_id", F.col("capacity").cast("bigint").alias("capacity")).alias("seen"),
+    )
+    seconds = moved.unionByName(told).groupBy(*key, "second_ms").agg(F.sum("change").alias("change"), F.max("seen").alias("seen"))
+    # The days are summed from the same seconds: one exchange serves both.
+    day = clock.bucket_ms(F.col("second_ms"), clock.DAY_MS)
     before = Window.partitionBy(*key).orderBy("day_ms").rowsBetween(Window.unboundedPreceding, -1)
     days = (
-        seconds.groupBy(*key, "day_ms")
-        .agg(F.sum("change").alias("day_change"))
-        .select(*key, "day_ms", F.coalesce(F.sum("day_change").over(before), F.lit(0)).alias("carried"))
+        seconds.groupBy(*key, day.alias("day_ms"))
+        .agg(F.sum("change").alias("change"), F.max("seen").alias("seen"))
+        .select(*key, "day_ms", F.coalesce(F.sum("change").over(before), F.lit(0)).alias("carried"), F.max("seen").over(before).alias("carried_seen"))
     )
     within = Window.partitionBy(*key, "day_ms").orderBy("second_ms").rowsBetween(Window.unboundedPreceding, 0)
+    default = F.when(F.col("stage") == "raw", BUFFER_SIZES["raw"]).otherwise(BUFFER_SIZES["norm"]).cast("bigint")
     return (
-        seconds.join(days, [*key, "day_ms"])
+        seconds.withColumn("day_ms", day)
+        .join(days, [*key, "day_ms"])
         .select(
             *key,
             "second_ms",
-            (F.col("carried") + F.sum("change").over(within)).alias("backlog"),
-            F.lit(capacity).cast("bigint").alias("capacity"),
+            "change",
+            (F.col("carried") + F.coalesce(F.sum("change").over(within), F.lit(0))).alias("backlog"),
+            F.coalesce(F.max("seen").over(within)["capacity"], F.col("carried_seen.capacity"), default).alias("capacity"),
         )
+        .filter(F.col("change").isNotNull())
+        .drop("change")
     )
 
 

@@ -7,6 +7,9 @@ numbers become text through ``decimal(18,2)``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +27,32 @@ NATIVE_SYMBOLS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, dealt evenly over the session's shuffle partitions at every size.
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Views that have been written once, as a landing job would: (tables, view) to path.
+LANDED: dict[tuple[str, str], str] = {}
+VIEWS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def view(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A view over the given tables, read from where it has landed if it has."""
+    VIEWS[build.__name__] = build
 
-    Building messages is heavy per row, and a Parquet file of one row group is
-    read by one task.
-    """
+    @wraps(build)
+    def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = LANDED.get((sf_dir, build.__name__))
+        return spark.read.parquet(path) if path else build(spark, sf_dir)
+
+    return rows
+
+
+def land(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write every view under ``folder``, dealt over the session's shuffle partitions."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(parts)
+    for name, build in VIEWS.items():
+        build(spark, sf_dir).repartition(parts).write.mode("overwrite").parquet(f"{folder}/{name}")
+        LANDED[sf_dir, name] = f"{folder}/{name}"
 
 
 def pick(index: Column, values: list[str]) -> Column:
@@ -156,6 +178,7 @@ def _okx_ts(ms: Column) -> Column:
     return quoted(F.when(F.col("k") % 89 == 0, "x").otherwise(ms.cast("string")))
 
 
+@view
 def book_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_book``: one raw snapshot per order."""
     k, ms, venue = F.col("k"), F.col("ms"), F.col("exchange")
@@ -212,6 +235,7 @@ def _kucoin_delta() -> Column:
     )
 
 
+@view
 def delta_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_delta``: one raw delta per order."""
     k, ms, venue, symbol = F.col("k"), F.col("ms"), F.col("exchange"), F.col("symbol")
@@ -268,6 +292,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def frame_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_frames``: text frames of all kinds, data and control mixed."""
     # Fixed values: (exchange, feed, frame) by event_id % 17; S is the symbol.
@@ -311,6 +336,7 @@ def _event_ms() -> Column:
     return F.when(F.col("k") % 7 == 0, 0).otherwise(F.col("ms") - 5)
 
 
+@view
 def oi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_oi``: one raw open-interest message per event."""
     k, venue, symbol = F.col("k"), F.col("exchange"), F.col("symbol")
@@ -341,6 +367,7 @@ def oi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def pi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_pi``: one raw premium-index message per event."""
     k, ms, venue, symbol = F.col("k"), F.col("ms"), F.col("exchange"), F.col("symbol")
@@ -370,6 +397,7 @@ def pi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def liq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_liq``: one forced-order message per line, nested for bybit and okx."""
     key, part, flag = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_returnflag")
@@ -455,6 +483,7 @@ def _present_map(*pairs: tuple[str, Column]) -> Column:
     return F.map_filter(F.create_map(*flat), lambda _k, v: v.isNotNull())
 
 
+@view
 def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_metric``: one metric event per event, with time run 1000 times faster."""
     k = F.col("k")
@@ -477,6 +506,7 @@ def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_stage``: one stage outcome per event."""
     k = F.col("k")
@@ -492,6 +522,13 @@ def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
+def taken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_taken``: when a writer takes each norm message that was sent, up to ten seconds later."""
+    sent = stage_rows(spark, sf_dir).filter((F.col("stage") == "norm") & (F.col("outcome") == "sent"))
+    return sent.select("feed", (F.col("ts_ms") + F.col("event_id") % 40 * 250).alias("ts_ms"))
+
+
 def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_headers``: one API response per event."""
     k, v, venue = F.col("k"), F.col("v"), F.col("exchange")

@@ -514,10 +514,16 @@ FROM d GROUP BY ROLLUP (exchange)""",
 SELECT feed, count(*) FILTER (WHERE stage = 'raw' AND outcome = 'sent') AS raw_sent, count(*) FILTER (WHERE stage = 'norm' AND outcome = 'sent') AS norm_sent,
        count(*) FILTER (WHERE stage = 'raw' AND outcome = 'dropped') AS raw_dropped, count(*) FILTER (WHERE stage = 'norm' AND outcome = 'dropped') AS norm_dropped
 FROM stg GROUP BY feed""",
-    "buffer_occupancy": f"""WITH {STG}, s AS (
-  SELECT feed, ts_ms // 1000 * 1000 AS second_ms, sum(CASE WHEN stage = 'raw' THEN 1 ELSE -1 END) AS change FROM stg WHERE outcome = 'sent' GROUP BY ALL)
-SELECT feed, 'raw' AS stage, second_ms, CAST(sum(change) OVER (PARTITION BY feed ORDER BY second_ms ROWS UNBOUNDED PRECEDING) AS BIGINT) AS backlog,
-       CAST(10000 AS BIGINT) AS capacity FROM s""",
+    "buffer_occupancy": f"""WITH {MET}, {STG.removeprefix(EV + ', ')}, flow AS (
+  SELECT feed, stage, ts_ms, 1 AS change FROM stg WHERE outcome = 'sent'
+  UNION ALL SELECT feed, 'raw', ts_ms, -1 FROM stg WHERE stage = 'norm'
+  UNION ALL SELECT feed, 'norm', ts_ms + event_id % 40 * 250, -1 FROM stg WHERE stage = 'norm' AND outcome = 'sent'),
+s AS (SELECT feed, stage, ts_ms // 1000 * 1000 AS second_ms, sum(change) AS change FROM flow GROUP BY ALL),
+b AS (SELECT feed, stage, second_ms, CAST(sum(change) OVER (PARTITION BY feed, stage ORDER BY second_ms ROWS UNBOUNDED PRECEDING) AS BIGINT) AS backlog FROM s),
+caps AS (SELECT split_part(name, '_', 1) AS feed, split_part(name, '_', 2) AS stage, ts_ms, event_id, capacity FROM mok
+         WHERE capacity IS NOT NULL AND name LIKE '%buffer_length')
+SELECT feed, stage, second_ms, backlog, CAST(coalesce((SELECT c.capacity FROM caps c WHERE c.feed = b.feed AND c.stage = b.stage AND c.ts_ms < b.second_ms + 1000
+         ORDER BY c.ts_ms DESC, c.event_id DESC LIMIT 1), CASE stage WHEN 'raw' THEN 10000 ELSE 2000 END) AS BIGINT) AS capacity FROM b""",
     "latest_metrics": f"WITH {MET} SELECT event_id, ts_ms, component, name, value FROM mok ORDER BY ts_ms DESC, event_id DESC LIMIT 200",
     "latest_per_series": f"""WITH {MET}, t AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ts_ms DESC, event_id DESC) AS rn FROM mnum
   WHERE name NOT IN ('used_weight', 'cpu_percent', 'foi_raw_buffer_length'))

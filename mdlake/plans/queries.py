@@ -629,11 +629,9 @@ def channel_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def buffer_occupancy(spark: SparkSession, sf: str) -> DataFrame:
-    sent = fx.stage_rows(spark, sf).filter(F.col("outcome") == "sent")
-    flow = sent.select(
-        "feed", F.lit("raw").alias("stage"), "ts_ms", F.when(F.col("stage") == "raw", 1).otherwise(-1).alias("change")
-    )
-    return telemetry.buffer_occupancy(flow, capacity=10_000)
+    flow = telemetry.buffer_flow(fx.stage_rows(spark, sf), fx.taken_rows(spark, sf))
+    reports = telemetry.buffer_capacities(telemetry.metric_events(fx.metric_rows(spark, sf)))
+    return telemetry.buffer_occupancy(flow, reports)
 
 
 @query

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mdlake.operators import batching
-from mdlake.operators.batching import NEVER, Limits, Open, chain, edge_table, number_run
+from mdlake.operators.batching import NEVER, Limits, Open, StateMap, number_run
 
 
 def sequential(limits, ms, rows):
@@ -34,11 +34,49 @@ def test_cut_runs_equal_the_sequential_loop():
         for low, high in zip([0, *cuts], [*cuts, n]):
             inside = Open(**vars(state))
             got += number_run(inside, limits, ms[low:high], rows[low:high]).tolist()
-            chain(state, limits, edge_table(limits, ms[low:high], rows[low:high]))
+            StateMap.of_run(limits, ms[low:high], rows[low:high]).apply(limits, state)
             assert vars(state) == vars(inside)
         assert got == want
 
 
+def test_maps_compose_in_any_order():
+    """The map of a run is the composition of its parts, however they are grouped."""
+    rng = random.Random(11)
+    for _ in range(800):
+        n = rng.randint(3, 50)
+        ms = np.sort(np.array([rng.randint(0, rng.choice([20, 300])) for _ in range(n)], dtype=np.int64))
+        rows = np.array([rng.randint(0, 4) for _ in range(n)], dtype=np.int64)
+        limits = Limits(rng.choice([NEVER, 1, 4, 15]), rng.choice([NEVER, 1, 6, 40]), rng.choice([NEVER, 0, 3, 12]))
+        a, b = sorted(rng.sample(range(1, n), 2))
+        x, y, z = (StateMap.of_run(limits, ms[i:j], rows[i:j]) for i, j in ((0, a), (a, b), (b, n)))
+        left, right = x.then(limits, y).then(limits, z), x.then(limits, y.then(limits, z))
+        first = int(ms[0])
+        entries = [Open()] + [Open(rng.randint(0, 16), first - rng.randint(0, 40), first - rng.randint(0, 13), 5) for _ in range(6)]
+        for entry in entries:
+            ends = []
+            for path in ([x, y, z], [left], [right]):
+                state = Open(**vars(entry))
+                for step in path:
+                    step.apply(limits, state)
+                ends.append(vars(state))
+            inside = Open(**vars(entry))
+            number_run(inside, limits, ms, rows)
+            assert ends == [vars(inside)] * 3
+
+
+def test_maps_stay_small():
+    """A map has as many classes as rows or milliseconds fit in a batch, however long the run."""
+    rng = np.random.default_rng(5)
+    ms = np.sort(rng.integers(0, 10_000_000, 50_000))
+    rows = rng.integers(1, 9, 50_000)
+    assert len(StateMap.of_run(Limits(rows=100), ms, rows).exit_rows) <= 101
+    aged = [StateMap.of_run(Limits(age_ms=3000), ms[i : i + 1000], rows[i : i + 1000]) for i in range(0, 50_000, 1000)]
+    whole = aged[0]
+    for more in aged[1:]:
+        whole = whole.then(Limits(age_ms=3000), more)
+        assert len(whole.exit_rows) <= 3001
+
+
 def messages(spark, seed=3, n=4000):
     """Half of the messages belong to one key; some keys have one message."""
     rng = random.Random(seed)
@@ -48,10 +86,10 @@ def messages(spark, seed=3, n=4000):
 
 
 @pytest.mark.parametrize("limits", [Limits(rows=100), Limits(age_ms=5000), Limits(rows=64, age_ms=3000), Limits(rows=100, idle_ms=700)])
-@pytest.mark.parametrize("chunks", [1, 7])
-def test_numbering_over_partitions(spark, limits, chunks):
+@pytest.mark.parametrize("chunk_rows, fan", [(1 << 16, 256), (150, 3)])
+def test_numbering_over_partitions(spark, limits, chunk_rows, fan):
     frame, df = messages(spark)
-    got = batching.number_batches(df, limits, chunks).toPandas().sort_values(["key", "ts_ms", "id"], ignore_index=True)
+    got = batching.number_batches(df, limits, chunk_rows, fan).toPandas().sort_values(["key", "ts_ms", "id"], ignore_index=True)
     want = frame.sort_values(["key", "ts_ms", "id"], ignore_index=True)
     for _, group in want.groupby("key"):
         expected = sequential(limits, group["ts_ms"].tolist(), group["rows"].tolist())
@@ -59,15 +97,26 @@ def test_numbering_over_partitions(spark, limits, chunks):
     assert got["id"].tolist() == want["id"].tolist()
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    _, df = messages(spark)
-    parts = df.repartitionByRange(8, "key", "ts_ms", "id").withColumn("task", F.spark_partition_id())
-    assert parts.filter("key = 'hot'").select("task").distinct().count() >= 3
+def test_one_key_with_all_rows(spark):
+    """One key is numbered by many chunks, and nothing runs before the result is asked for."""
+    rng = random.Random(4)
+    frame = pd.DataFrame({"key": "only", "ts_ms": [rng.randint(0, 40_000_000) for _ in range(6000)], "id": range(6000), "rows": 1})
+    df = spark.createDataFrame(frame).repartition(5)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    numbered = batching.number_batches(df, Limits(rows=40, age_ms=60_000), 100, 4)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("running", "")
+    got = numbered.toPandas().sort_values(["ts_ms", "id"], ignore_index=True)
+    want = frame.sort_values(["ts_ms", "id"], ignore_index=True)
+    assert got["batch_no"].tolist() == sequential(Limits(rows=40, age_ms=60_000), want["ts_ms"].tolist(), [1] * 6000)
+    chunks = batching.in_chunks(df, 100).groupBy("chunk").count().toPandas()
+    assert len(chunks) > 50 and chunks["count"].max() < 200
 
 
 def test_count_batch_invariants(spark):
     _, df = messages(spark)
-    numbered = batching.count_batches(df, 100, 5)
+    numbered = batching.count_batches(df, 100, 200)
     sizes = batching.batch_sizes(numbered, 100).toPandas()
     last = sizes.groupby("key")["batch_no"].transform("max")
     assert (sizes.loc[sizes["batch_no"] < last, "record_count"] >= 100).all()
@@ -79,7 +128,7 @@ def test_count_batch_invariants(spark):
 
 def test_age_and_gap_batches(spark):
     frame, df = messages(spark)
-    aged = batching.age_batches(df, 5000, 5).toPandas()
+    aged = batching.age_batches(df, 5000, 200).toPandas()
     assert ((aged["last_ms"] - aged["first_ms"]) < 5000).all() and aged["messages"].sum() == 4000
     gaps = batching.gap_batches(df, 700).toPandas().sort_values(["key", "batch_no"])
     want = [
@@ -97,6 +146,6 @@ def test_throttle(spark, times, published):
 
 def test_envelope(spark):
     _, df = messages(spark, n=400)
-    rows = batching.batch_envelope(batching.count_batches(df, 50, 3), ["rows"]).collect()
+    rows = batching.batch_envelope(batching.count_batches(df, 50, 30), ["rows"]).collect()
     assert all(r["record_count"] == sum(e["rows"] for e in r["entries"]) for r in rows)
     assert len({r["batch_id"] for r in rows}) == len(rows)

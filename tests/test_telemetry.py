@@ -88,8 +88,23 @@ def test_latest_views(spark):
 def test_occupancy_over_days(spark):
     day = 86_400_000
     flow = spark.createDataFrame([("f", "raw", t, c) for t, c in [(0, 1), (500, 1), (1000, 1), (day, -1), (day + 2000, 1), (3 * day, -2)]], "feed STRING, stage STRING, ts_ms BIGINT, change INT")
-    rows = sorted((r["second_ms"], r["backlog"]) for r in telemetry.buffer_occupancy(flow, 10).collect())
-    assert rows == [(0, 2), (1000, 3), (day, 2), (day + 2000, 3), (3 * day, 1)]
+    sizes = [(900, 1, 50.0), (900, 2, 60.0), (2 * day, 3, 70.0)]
+    caps = spark.createDataFrame([("f", "raw", t, i, c) for t, i, c in sizes], "feed STRING, stage STRING, ts_ms BIGINT, event_id BIGINT, capacity DOUBLE")
+    found = telemetry.buffer_occupancy(flow, caps)
+    rows = sorted((r["second_ms"], r["backlog"], r["capacity"]) for r in found.collect())
+    assert rows == [(0, 2, 60), (1000, 3, 60), (day, 2, 60), (day + 2000, 3, 60), (3 * day, 1, 70)]
+    early = telemetry.buffer_occupancy(flow, caps.filter("ts_ms > 1000")).collect()
+    assert {r["capacity"] for r in early if r["second_ms"] < 2 * day} == {10_000}
+
+
+def test_buffers_are_linked(spark):
+    stages = [("f", "raw", "sent", 0), ("f", "raw", "sent", 5), ("f", "raw", "dropped", 6), ("f", "norm", "sent", 10), ("f", "norm", "dropped", 20)]
+    flow = telemetry.buffer_flow(
+        spark.createDataFrame(stages, "feed STRING, stage STRING, outcome STRING, ts_ms BIGINT"),
+        spark.createDataFrame([("f", 30)], "feed STRING, ts_ms BIGINT"),
+    )
+    got = sorted((r["stage"], r["ts_ms"], r["change"]) for r in flow.collect())
+    assert got == [("norm", 10, 1), ("norm", 30, -1), ("raw", 0, 1), ("raw", 5, 1), ("raw", 10, -1), ("raw", 20, -1)]
 
 
 def headers(spark, **h):
