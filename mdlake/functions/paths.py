@@ -29,6 +29,14 @@ def time_path(ms: Column, template: str) -> Column:
     return path
 
 
+def time_folders(template: str) -> dict[str, str]:
+    """Folder names of a time template and the pattern of each one's value."""
+    named = [part.partition("=") for part in (template or DEFAULT_TIME_TEMPLATE).split("/")]
+    if any(not sign for _, sign, _ in named):
+        raise ValueError(f"every folder of the template needs a name: {template}")
+    return {name: pattern for name, _, pattern in named}
+
+
 def partition_path(
     exchange: Column,
     market: Column,

@@ -160,13 +160,13 @@ def write_table(
     codec: str = "snappy",
     mode: str = "append",
     max_records_per_file: int = 0,
-    replace_partitions: bool = False,
+    basename: str = "part",
 ) -> None:
     """Write Parquet under ``column=value`` folders.
 
     The rebalance hint lets Spark merge the small instruments of a write into
     few files and split a hot one over many tasks, both by measured size.
-    ``replace_partitions`` overwrites just the folders the rows fall in.
+    File names begin with ``basename``.
     """
     conf = rows.sparkSession.conf
     before = conf.get(MILLIS_CONF)
@@ -174,8 +174,8 @@ def write_table(
     try:
         (
             rows.hint("rebalance", *[F.col(c) for c in partition_columns])
-            .write.mode("overwrite" if replace_partitions else mode)
-            .option("partitionOverwriteMode", "dynamic" if replace_partitions else "static")
+            .write.mode(mode)
+            .option("mapreduce.output.basename", basename)
             .option("compression", codec)
             .option("maxRecordsPerFile", max_records_per_file)
             .partitionBy(*partition_columns)
@@ -185,18 +185,17 @@ def write_table(
         conf.set(MILLIS_CONF, before)
 
 
-def with_date(rows: DataFrame, ms: str) -> DataFrame:
-    return rows.withColumn("date", clock.utc_date(F.col(ms)).cast("string"))
+# Folders of the published tables by their rows' own time, and the keys above them.
+HOURLY = "year={year}/month={month}/day={day}/hour={hour}"
+TABLE_KEYS = ("exchange", "market", "symbol")
+LIQUIDATION_KEYS = ("exchange",)
+
+
+def with_time_folders(rows: DataFrame, ms: str, template: str = paths.DEFAULT_TIME_TEMPLATE) -> DataFrame:
+    """A text column for each folder of the template, from each row's own time."""
+    return rows.withColumns({name: paths.time_path(F.col(ms), pattern) for name, pattern in paths.time_folders(template).items()})
 
 
 def with_event_hour(rows: DataFrame, ms: str) -> DataFrame:
     """Year, month, day and hour folders of each row's own event time."""
-    day = clock.utc_date(F.col(ms)).cast("string")
-    return rows.withColumns(
-        {
-            "year": F.substring(day, 1, 4),
-            "month": F.substring(day, 6, 2),
-            "day": F.substring(day, 9, 2),
-            "hour": clock.utc_hour(F.col(ms)),
-        }
-    )
+    return with_time_folders(rows, ms, HOURLY)

@@ -433,7 +433,7 @@ SELECT 'exchange=' || exchange || '/market=' || market || '/symbol=' || symbol |
 FROM delta GROUP BY ALL
 UNION ALL
 SELECT 'exchange=' || exchange || '/market=' || market || '/symbol=' || symbol || '/' || {utc('received_time', 'date=%Y-%m-%d')}, count(*) FROM oin GROUP BY ALL""",
-    "liq_layout": f"""WITH {LIQ} SELECT 'liq/' || exchange || '/' || {utc('time_ms', '%Y/%m/%d/%H')} AS folder, count(*) AS n FROM liq GROUP BY ALL""",
+    "liq_layout": f"""WITH {LIQ} SELECT 'exchange=' || exchange || '/' || {utc('time_ms', 'year=%Y/month=%m/day=%d/hour=%H')} AS folder, count(*) AS n FROM liq GROUP BY ALL""",
     "file_name": f"""WITH {PI}
 SELECT exchange || '_pi_' || symbol || '_' || {utc_stamp('event_time')} || '.parquet' AS file, count(*) AS n FROM pin GROUP BY ALL""",
 }
@@ -456,12 +456,13 @@ def nested(cte: str, columns: str, prefix: tuple[str, str]) -> str:
 
 
 ORACLES |= {
-    "file_manifest": f"WITH {MANIFEST} SELECT * FROM manifest",
+    "file_manifest": f"""WITH {OI}
+SELECT exchange, market, symbol, {utc('received_time', '%Y-%m-%d')} AS date, k % 2 AS commit_id, 1705276800000 + k % 2 * 86400000 AS snapshot_ms,
+       1 AS status, count(*) AS record_count, true AS sized FROM oin GROUP BY ALL""",
     "snapshot_log": f"""WITH {MANIFEST}
 SELECT snapshot_ms * 1000000 AS snapshot_id, snapshot_ms AS timestamp_ms, count(*) AS files, CAST(sum(record_count) AS BIGINT) AS records FROM manifest GROUP BY snapshot_ms""",
-    "read_as_of": f"""WITH {MANIFEST}
-SELECT exchange, symbol, count(*) AS files, CAST(sum(record_count) AS BIGINT) AS records, max(snapshot_ms) AS last_commit_ms
-FROM manifest WHERE snapshot_ms <= 1705276800000 GROUP BY ALL""",
+    "read_as_of": f"""WITH {OI}
+SELECT exchange, market, symbol, event_time, open_interest, received_time, {utc('received_time', '%Y-%m-%d')} AS date FROM oin WHERE k % 2 = 0""",
     "codec_select": f"""WITH {EV}, a AS (SELECT ['snapshot','delta','liquidation','open_interest','premium_index'][k % 5 + 1] AS t,
   ['snappy','gzip','GZIP','','zstd','lzo','none'][k % 7 + 1] AS configured FROM ev)
 SELECT t AS "table", configured, CASE WHEN t IN ('delta','liquidation') THEN 'snappy'

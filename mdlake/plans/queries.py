@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,7 @@ from mdlake.functions.symbols import canonical_symbol
 from mdlake.operators import batching, books, catalog, deltas, indicators, liquidations, tables, telemetry, usage
 from mdlake.plans import fixtures as fx
 from mdlake.sources import frames, landing, universe
+from mdlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -453,22 +456,40 @@ def sink_liquidation(spark: SparkSession, sf: str) -> DataFrame:
     return tables.liquidation_table(_liq(spark, sf)).withColumn("time_millis", _ms("time_millis"))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{named or tempfile.mkdtemp(prefix='mdlake-')}/{name}-{uuid.uuid4().hex}"
+
+
+def _committed(spark: SparkSession, raw: DataFrame, feed: str, template: str | None = None, cuts: tuple[Column, ...] = ()) -> str:
+    """A table of the messages, written in one commit, or in one for each of the ``cuts`` of its messages, a day apart."""
+    place = _folder(spark, feed)
+    for number, part in enumerate([raw.filter(c) for c in cuts] or [raw]):
+        rows = jobs.published_rows(part, feed, template=template)
+        jobs.commit_feed(rows, feed, f"{place}/table", f"{place}/manifest", number, AS_OF_MS + number * clock.DAY_MS, template=template)
+    return place
+
+
+def _folders(spark: SparkSession, place: str) -> DataFrame:
+    """Rows in each folder of a written table, by the manifest of its files."""
+    inside = F.regexp_replace("path", f"^.*?{place.split('/')[-1]}/table/(.*)/[^/]*$", "$1")
+    listed = catalog.read_manifest(spark, f"{place}/manifest")
+    return listed.groupBy(inside.alias("folder")).agg(F.sum("record_count").alias("n"))
+
+
 @query
 def partition_layout(spark: SparkSession, sf: str) -> DataFrame:
-    laid = tables.with_layout(
-        deltas.delta_flatten(fx.delta_messages(spark, sf)), "fobd", "received_time", "year={year}/month={month}/day={day}/hour={hour}"
-    )
-    default = tables.with_layout(_oi(spark, sf), "foi", "received_time")
-    return (
-        laid.groupBy("folder").agg(F.count(F.lit(1)).alias("n"))
-        .unionByName(default.groupBy("folder").agg(F.count(F.lit(1)).alias("n")))
-    )
+    hourly = _committed(spark, fx.delta_messages(spark, sf), "fobd", tables.HOURLY)
+    daily = _committed(spark, fx.oi_messages(spark, sf), "foi")
+    return _folders(spark, hourly).unionByName(_folders(spark, daily))
 
 
 @query
 def liq_layout(spark: SparkSession, sf: str) -> DataFrame:
-    folder = paths.liquidation_path(F.col("exchange"), F.col("time_ms"), "liq/")
-    return _liq(spark, sf).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+    return _folders(spark, _committed(spark, fx.liq_messages(spark, sf), "liq"))
 
 
 @query
@@ -485,9 +506,18 @@ def _manifest(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.logical_manifest(tables.with_layout(rows, "foi", "commit_ms"), "commit_ms")
 
 
+# Two commits of one table: messages with an even number, then those with an odd one.
+HALVES = (F.col("message_id") % 2 == 0, F.col("message_id") % 2 == 1)
+
+
 @query
 def file_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return _manifest(spark, sf)
+    """Files that two commits really wrote, added up by folder."""
+    listed = catalog.read_manifest(spark, f"{_committed(spark, fx.oi_messages(spark, sf), 'foi', cuts=HALVES)}/manifest")
+    names = ["exchange", "market", "symbol", "date"]
+    return listed.groupBy(*[F.col("partition")[c].alias(c) for c in names], "commit_id", "snapshot_ms", "status").agg(
+        F.sum("record_count").alias("record_count"), (F.min("file_size") > 0).alias("sized")
+    )
 
 
 @query
@@ -497,10 +527,10 @@ def snapshot_log(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def read_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    live = catalog.files_as_of(_manifest(spark, sf), AS_OF_MS)
-    return live.groupBy("exchange", "symbol").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("records"), F.max("snapshot_ms").alias("last_commit_ms")
-    )
+    """The table between its two commits."""
+    place = _committed(spark, fx.oi_messages(spark, sf), "foi", cuts=HALVES)
+    rows = catalog.read_as_of(spark, f"{place}/table", f"{place}/manifest", AS_OF_MS + clock.HOUR_MS)
+    return rows.withColumns({"event_time": _ms("event_time"), "received_time": _ms("received_time")})
 
 
 TABLES = ["snapshot", "delta", "liquidation", "open_interest", "premium_index"]

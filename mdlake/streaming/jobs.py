@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from mdlake.functions import paths
 from mdlake.operators import batching, books, catalog, deltas, indicators, liquidations, tables, telemetry
 from mdlake.sources import frames, universe
 
@@ -23,6 +24,8 @@ class Feed:
     ms: str
     table: Callable[[DataFrame], DataFrame]
     name: str
+    keys: tuple[str, ...] = tables.TABLE_KEYS
+    template: str = paths.DEFAULT_TIME_TEMPLATE
 
 
 def _liquidations(raw: DataFrame) -> DataFrame:
@@ -34,23 +37,35 @@ FEEDS = {
     "fobd": Feed(deltas.delta_flatten, "received_time", tables.delta_table, "delta"),
     "foi": Feed(lambda raw: indicators.oi_normalize(indicators.decode_oi(raw)), "received_time", tables.open_interest_table, "open_interest"),
     "pi": Feed(lambda raw: indicators.pi_normalize(indicators.decode_pi(raw)), "event_time", tables.premium_index_table, "premium_index"),
-    "liq": Feed(_liquidations, "time_ms", tables.liquidation_table, "liquidation"),
+    "liq": Feed(_liquidations, "time_ms", tables.liquidation_table, "liquidation", tables.LIQUIDATION_KEYS, tables.HOURLY),
 }
 
 
-def published_rows(raw: DataFrame, feed: str, allowed: DataFrame | None = None) -> DataFrame:
+def published_rows(raw: DataFrame, feed: str, allowed: DataFrame | None = None, template: str | None = None) -> DataFrame:
     """Rows of a feed's table with its partition columns.
 
     Control frames, and symbols off the ``allowed`` list where one is given, go
-    before anything is decoded.  The folder date is the UTC date of each row's
-    own time.
+    before anything is decoded.  The time folders (``template``, by default the
+    feed's own) are those of each row's own time in UTC.
     """
     spec = FEEDS[feed]
     wanted = frames.keep_data_frames(raw)
     if allowed is not None:
         wanted = universe.keep_allowed(wanted, allowed)
-    rows = tables.with_date(spec.rows(wanted), spec.ms)
-    return spec.table(rows, extra=("exchange", "market", "symbol", "date"))
+    template = template or spec.template
+    rows = tables.with_time_folders(spec.rows(wanted), spec.ms, template)
+    return spec.table(rows, extra=(*spec.keys, *paths.time_folders(template)))
+
+
+def commit_feed(
+    rows: DataFrame, feed: str, table_path: str, manifest_path: str, number: int, commit_ms: int, codec: str = "snappy",
+    template: str | None = None,
+) -> None:
+    """One commit of a feed's table in its own folders."""
+    spec = FEEDS[feed]
+    time = list(paths.time_folders(template or spec.template))
+    chosen = tables.select_codec(spec.name, codec)
+    catalog.commit_rows(rows, table_path, manifest_path, number, commit_ms, chosen, spec.keys, time)
 
 
 def table_writer(
@@ -62,6 +77,7 @@ def table_writer(
     clock_ms: Callable[[int], int],
     codec: str = "snappy",
     allowed: DataFrame | None = None,
+    template: str | None = None,
 ) -> DataStreamWriter:
     """Writer of one feed's table: every micro-batch is one commit.
 
@@ -70,9 +86,8 @@ def table_writer(
     """
 
     def commit(batch: DataFrame, number: int) -> None:
-        rows = published_rows(batch, feed, allowed)
-        chosen = tables.select_codec(FEEDS[feed].name, codec)
-        catalog.commit_rows(rows, table_path, manifest_path, number, clock_ms(number), chosen)
+        rows = published_rows(batch, feed, allowed, template)
+        commit_feed(rows, feed, table_path, manifest_path, number, clock_ms(number), codec, template)
 
     return raw.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
 
