@@ -473,23 +473,36 @@ def _committed(spark: SparkSession, raw: DataFrame, feed: str, template: str | N
     return place
 
 
-def _folders(spark: SparkSession, place: str) -> DataFrame:
+def _written_folders(spark: SparkSession, place: str) -> DataFrame:
     """Rows in each folder of a written table, by the manifest of its files."""
     inside = F.regexp_replace("path", f"^.*?{place.split('/')[-1]}/table/(.*)/[^/]*$", "$1")
     listed = catalog.read_manifest(spark, f"{place}/manifest")
     return listed.groupBy(inside.alias("folder")).agg(F.sum("record_count").alias("n"))
 
 
+def _folders(rows: DataFrame, layout: list[str]) -> DataFrame:
+    """Rows in each folder that a table job would write, from the columns it writes by.
+
+    The given times lie so far apart that an hourly table of them is a file for
+    every few rows; the folders on disk are tested with rows closer together.
+    """
+    levels = [F.concat(F.lit(f"{c}="), F.col(c)) for c in layout]
+    return rows.groupBy(F.concat_ws("/", *levels).alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+
+
+HOURS = ["year", "month", "day", "hour"]
+
+
 @query
 def partition_layout(spark: SparkSession, sf: str) -> DataFrame:
-    hourly = _committed(spark, fx.delta_messages(spark, sf), "fobd", tables.HOURLY)
+    hourly = jobs.published_rows(fx.delta_messages(spark, sf), "fobd", template=tables.HOURLY)
     daily = _committed(spark, fx.oi_messages(spark, sf), "foi")
-    return _folders(spark, hourly).unionByName(_folders(spark, daily))
+    return _folders(hourly, [*tables.TABLE_KEYS, *HOURS]).unionByName(_written_folders(spark, daily))
 
 
 @query
 def liq_layout(spark: SparkSession, sf: str) -> DataFrame:
-    return _folders(spark, _committed(spark, fx.liq_messages(spark, sf), "liq"))
+    return _folders(jobs.published_rows(fx.liq_messages(spark, sf), "liq"), [*tables.LIQUIDATION_KEYS, *HOURS])
 
 
 @query
