@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,6 +95,18 @@ def file_manifest(
     )
 
 
+def _observed(observation: Observation) -> dict | None:
+    """What a write observed.
+
+    Nothing where Spark found at run time that no rows come: it then drops the
+    observation with the rest of the plan, and asking for it fails.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return None
+
+
 def commit_rows(
     rows: DataFrame,
     table_path: str,
@@ -118,9 +131,9 @@ def commit_rows(
     counted = rows.observe(written, F.count(F.lit(1)).alias("rows"), *spans)
     layout = [*keys, *time]
     write_table(counted, table_path, layout, codec, basename=basename)
-    found = written.get
+    found = _observed(written)
     manifest = rows.sparkSession.createDataFrame([], MANIFEST)
-    if found["rows"]:
+    if found and found["rows"]:
         folders = _folders(keys, {c: (found[f"low_{c}"], found[f"high_{c}"], found[f"null_{c}"] > 0) for c in time})
         manifest = file_manifest(rows.sparkSession, table_path, folders, basename, layout, commit_id, commit_ms)
     manifest.drop(COMMIT).write.mode("overwrite").parquet(f"{manifest_path}/{COMMIT}={commit_id}")
