@@ -25,7 +25,8 @@ def text_hash(text):
 
 
 def slow(text):
-    tokens = re.findall(r"[^\x20\x09-\x0D]{1,16}", text or "")
+    runs = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    tokens = [t for run in runs for t in ([run] if len(run) <= 16 else run)]
     h = [text_hash(t) for t in tokens]
     if len(h) >= 4:
         two = [longs(a, b) for a, b in zip(h, h[1:])]
