@@ -127,27 +127,25 @@ FROM sized GROUP BY conv_id
 """
 
 
-def _op6(rounds: int = 12, damping: float = 0.85) -> str:
-    """Two personalised ranks over the host graph, round by round."""
+def _op6(damping: float = 0.85, steps_most: int = 200, even: float = 1e-4) -> str:
+    """Two personalised ranks over the host graph, as sums over walks of each length."""
     host = f"translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '{UPPER}', '{LOWER}')"
 
     def fits(name: str, prefix: str) -> str:
         return f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{prefix}')"
 
     def rank(name: str, verdict: str, src: str, dst: str) -> list[str]:
-        steps = [
-            f"{name}_seed AS (SELECT host, n / sum(n) OVER () AS seed FROM seeds WHERE verdict = '{verdict}')",
-            f"{name}_share AS (SELECT {src} AS src, {dst} AS dst, n / sum(n) OVER (PARTITION BY {src}) AS share FROM edges)",
-            f"{name}_0 AS (SELECT host, seed AS rank FROM {name}_seed)",
+        return [
+            f"{name}_out AS (SELECT {src} AS host, sum(n) AS total, coalesce(sum(n) FILTER (WHERE src = dst), 0) AS own FROM edges GROUP BY ALL)",
+            f"{name}_share AS (SELECT {src} AS src, {dst} AS dst, {damping}::DOUBLE * n / total / (1 - {damping}::DOUBLE * own / total) AS share "
+            f"FROM edges JOIN {name}_out ON host = {src} WHERE src <> dst)",
+            f"{name}_walk AS (SELECT host, 0 AS step, n / sum(n) OVER () AS mass FROM seeds WHERE verdict = '{verdict}' "
+            f"UNION ALL SELECT dst, step + 1, sum(mass * share) FROM {name}_walk JOIN {name}_share ON src = host "
+            f"WHERE step < {steps_most} GROUP BY dst, step + 1)",
+            f"{name}_rank AS (SELECT host, sum(mass) * any_value((1 - {damping}::DOUBLE) / "
+            f"(1 - {damping}::DOUBLE * coalesce(own / total, 0))) AS rank "
+            f"FROM {name}_walk LEFT JOIN {name}_out USING (host) GROUP BY host)",
         ]
-        for i in range(rounds):
-            steps.append(
-                f"{name}_{i + 1} AS (SELECT host, round(sum(part), 12) AS rank FROM ("
-                f"SELECT dst AS host, {damping}::DOUBLE * sum(rank * share) AS part "
-                f"FROM {name}_share JOIN {name}_{i} ON src = host GROUP BY dst "
-                f"UNION ALL SELECT host, seed * (1 - {damping}::DOUBLE) FROM {name}_seed) GROUP BY host)"
-            )
-        return steps
 
     steps = [
         f"rows AS (SELECT page_id, html, coalesce({host}, '') AS host, "
@@ -167,12 +165,12 @@ def _op6(rounds: int = 12, damping: float = 0.85) -> str:
         "edges AS (SELECT src, dst, count(*)::DOUBLE AS n FROM ends WHERE dst <> '' GROUP BY ALL)",
         *rank("t", "allow", "src", "dst"),
         *rank("d", "block", "dst", "src"),
-        f"ranks AS (SELECT host, sum(t) AS t, sum(d) AS d FROM (SELECT host, rank AS t, 0 AS d FROM t_{rounds} "
-        f"UNION ALL SELECT host, 0, rank FROM d_{rounds}) GROUP BY host)",
+        f"ranks AS (SELECT host, sum(t) AS t, sum(d) AS d FROM (SELECT host, rank AS t, 0 AS d FROM t_rank "
+        "UNION ALL SELECT host, 0, rank FROM d_rank) GROUP BY host)",
     ]
-    return "WITH " + ",\n".join(steps) + (
+    return "WITH RECURSIVE " + ",\n".join(steps) + (
         "\nSELECT page_id, host, path, rule, CASE WHEN verdict IS NOT NULL THEN verdict "
-        "WHEN d > t THEN 'block' ELSE 'allow' END AS verdict FROM decided LEFT JOIN ranks USING (host)"
+        f"WHEN d > t * (1 + {even}) THEN 'block' ELSE 'allow' END AS verdict FROM decided LEFT JOIN ranks USING (host)"
     )
 
 

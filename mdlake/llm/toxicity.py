@@ -39,7 +39,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.llm.common import WHITE, stored, uniform, utf8
+from mdlake.llm.common import LOWER, UPPER, WHITE, stored, uniform, utf8
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -140,7 +140,7 @@ def _word_support(sample: DataFrame) -> DataFrame:
     """(fold, toxic, word, support): independent documents that hold the word."""
     mark = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
     words = F.transform(
-        F.regexp_extract_all(F.lower("text"), F.lit(f"[^{WHITE}]+"), F.lit(0)),
+        F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(f"[^{WHITE}]+"), F.lit(0)),
         lambda w: F.regexp_replace(w, f"^{mark}|{mark}$", ""),
     )
     near = F.transform(
@@ -273,9 +273,10 @@ def train(
     chosen = known.filter(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
     sample = stored(
         # At most about 2 max_docs ids are sent to every task.
-        docs.filter(F.col(text).isNotNull())
-        .join(F.broadcast(chosen), F.col(doc_id) == F.col("__id"))
-        .select("toxic", F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+        docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+        .filter(F.col("text").isNotNull())
+        .join(F.broadcast(chosen), F.col("doc") == F.col("__id"))
+        .select("toxic", "text", F.xxhash64("text").alias("text_hash"))
         .withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "text_hash"), F.lit(2)).cast("int"))
     )
     distinct = sample.groupBy("fold", "toxic").agg(F.countDistinct("text_hash").alias("n")).collect()

@@ -9,9 +9,13 @@ suspect), and a host whose share of distrust is above its share of trust is
 blocked.
 
 Edges are links between hosts in the pages, weighted by count; a relative link
-is a link of the host to itself.  Only DataFrame functions are used; a round is
-two joins on the host with sums in between, so a hub is aggregated like any
-other host, and rounds are cut off by checkpoints.
+is a link of the host to itself, and the walk's stay there is summed in closed
+form.  The walk goes on until no host holds back more than a millionth of what it
+passed on: the rule is relative to each host, so neither the distance from a seed
+nor the number of seeds puts a host out of reach (a rank ends only where doubles
+do, near 1e-308).  Only DataFrame functions are used; a round is a join on the
+host and a sum, so a hub is aggregated like any other host, and each round is cut
+off by a checkpoint.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.llm.common import stored
+from mdlake.llm.common import LOWER, UPPER, stored
 
 # Verdict, host and path prefix of the rules.
 RULES = (
@@ -30,9 +34,9 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 12
+SETTLED = 1e-6  # what a host may still hold back, as a share of what it passed on
 THRESHOLD = 1.0  # distrust over trust from which a host is blocked
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+EVEN = 1e-4  # distrust above the threshold by no more than this share of it does not count
 
 
 def host_of(url: str | Column) -> Column:
@@ -72,35 +76,53 @@ def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> Data
     )
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:
     """(host, rank) of the walk that starts and restarts at the seeds (host, weight).
 
-    A fixed number of rounds of rank = (1 - d) seed + d * inflow; ranks are sums
-    of non-negative terms rounded to 12 digits, so reruns agree.
+    rank = (1 - d) seed + d * inflow, where a host without links passes nothing on.
+    ``waiting`` is mass that has come to a host, ``gone`` mass that it passed on;
+    every round the hosts whose waiting mass is above ``settled`` of the gone pass
+    theirs on, until there are none.  Round k moves at most d^k of the mass, so
+    about log(settled) / log(d) rounds follow after the last host is reached, and
+    none where hosts link only to themselves.
     """
     total = seeds.agg(F.sum("weight")).first()[0] or 1.0
-    start = stored(seeds.select("host", (F.col("weight") / F.lit(total)).alias("seed")))
-    out = edges.groupBy("src").agg(F.sum("n").alias("all"))
-    share = stored(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
-    rank = start.select("host", F.col("seed").alias("rank"))
-    for step in range(rounds):
-        flow = (
-            share.join(rank, share["src"] == rank["host"])
+    out = edges.groupBy("src").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("src") == F.col("dst"), F.col("n")).otherwise(0.0)).alias("own"))
+    # Of mass at a host, 1 - d ends there; a link to itself brings d * own / all back, again and again.
+    kept = F.lit(1.0) - damping * F.col("own") / F.col("all")
+    shares = edges.filter("src <> dst").join(out, "src").select("src", "dst", (damping * F.col("n") / F.col("all") / kept).alias("share"))
+    shares = stored(shares)
+    state = seeds.select("host", F.lit(0.0).alias("gone"), (F.col("weight") / F.lit(total)).alias("waiting"))
+    state = stored(state)
+    moves = F.col("waiting") > settled * F.col("gone")
+    while True:
+        moved = (
+            state.filter(moves)
+            .join(shares, F.col("host") == F.col("src"))
             .groupBy("dst")
-            .agg(F.sum(F.col("rank") * F.col("share")).alias("flow"))
-            .select(F.col("dst").alias("host"), (F.col("flow") * damping).alias("part"))
+            .agg(F.sum(F.col("waiting") * F.col("share")).alias("waiting"))
+            .select(F.col("dst").alias("host"), F.lit(0.0).alias("gone"), "waiting")
         )
-        fresh = start.select("host", (F.col("seed") * (1 - damping)).alias("part"))
-        rank = flow.unionByName(fresh).groupBy("host").agg(F.round(F.sum("part"), 12).alias("rank"))
-        if step % 4 == 3:
-            rank = stored(rank)
-    return rank
+        stays = state.select(
+            "host",
+            F.when(moves, F.col("gone") + F.col("waiting")).otherwise(F.col("gone")).alias("gone"),
+            F.when(moves, 0.0).otherwise(F.col("waiting")).alias("waiting"),
+        )
+        sums = [F.sum(c).alias(c) for c in ("gone", "waiting")]
+        state = stored(stays.unionByName(moved).groupBy("host").agg(*sums))
+        if state.filter(moves).isEmpty():
+            break
+    ends = out.select(F.col("src").alias("host"), (F.lit(1 - damping) / kept).alias("ends"))
+    came = F.col("gone") + F.col("waiting")
+    return state.join(ends, "host", "left").select("host", (came * F.coalesce("ends", F.lit(1 - damping))).alias("rank"))
 
 
 def host_verdicts(judged: DataFrame, edges: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(host, trust, distrust, verdict) of every host that pages or links name.
 
-    ``judged`` has (host, verdict) of the pages, null where no rule fits.
+    ``judged`` has (host, verdict) of the pages, null where no rule fits.  Sums of
+    doubles differ in their last digits by run, and ranks are exact to about
+    ``SETTLED`` a link, so shares that agree to ``EVEN`` count as equal: allowed.
     """
     seeds = stored(
         judged.filter("verdict IS NOT NULL AND host <> ''")
@@ -117,7 +139,7 @@ def host_verdicts(judged: DataFrame, edges: DataFrame, threshold: float = THRESH
         .groupBy("host")
         .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
     )
-    blocked = F.col("distrust") > F.col("trust") * threshold
+    blocked = F.col("distrust") > F.col("trust") * (threshold * (1 + EVEN))
     return ranks.withColumn("verdict", F.when(blocked, "block").otherwise("allow"))
 
 

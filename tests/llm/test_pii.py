@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from mdlake.llm import pii
 from mdlake.llm.queries import QUERIES
@@ -83,3 +84,19 @@ def test_odd_rows(odd, odd_rows, none):
     got = pii.find(odd, ["doc_id", "row"]).collect()
     assert len(got) == len(odd_rows) and all(r.spans == [] for r in got)
     assert pii.find(none, ["doc_id"]).count() == 0
+
+
+def test_many_matches_in_one_text(spark):
+    """Contacts by the thousand, at their places; a text ten times as long takes little longer than ten times."""
+    def text(n):
+        return "".join(f"mail a{i}@b.org, +49 30 {1000000 + i}; \u00e9\U0001f600 10.0.{i % 300}.1\n" for i in range(n))
+
+    def took(n):
+        docs = spark.createDataFrame([(1, text(n))], "doc_id BIGINT, text STRING")
+        began = time.monotonic()
+        assert base_of(pii.find(docs, ["doc_id"]).collect()) == {1: slow(text(n))}
+        return time.monotonic() - began
+
+    took(10)
+    short = took(2_000)
+    assert took(20_000) < 20 * short + 5

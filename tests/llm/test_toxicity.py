@@ -60,3 +60,13 @@ def test_query_holds_a_fifth_out(spark, sf_dir):
     got = QUERIES["op2_toxicity"](spark, sf_dir).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
     assert all(r.predicted == int(r.score >= 0.5) for r in got)
+
+
+def test_training_on_clashing_columns_and_accented_capitals(spark):
+    """Columns of the documents named like the training's own, words with capitals beyond A-Z."""
+    rows = [(i, t, "k", "d", "i", 9) for i, t in enumerate(texts(120, False, 1) + [t.replace("vile", "\u00c4RG") for t in texts(60, True, 2)])]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, toxic STRING, doc STRING, __id STRING, fold INT")
+    labels = spark.createDataFrame([(i, int(i >= 120)) for i in range(180)], "doc_id BIGINT, toxic INT")
+    made = toxicity.train(docs, labels)
+    assert "\u00c4rg".encode() in made.toxic
+    assert all(0 <= r.score <= 1 for r in toxicity.toxicity(docs, made, ["doc_id", "toxic"]).collect())
