@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mdlake.functions import clock
 from mdlake.functions.parsing import decode_json, is_clean, long_or_zero, parse_long, parse_or_zero, text_or_blank, unnest
+from mdlake.sources.universe import keep_tickers
 
 BINANCE = (
     "E BIGINT, o STRUCT<s: STRING, S: STRING, o: STRING, q: STRING, p: STRING, ap: STRING, l: STRING, "
@@ -108,25 +109,34 @@ def liq_normalize(raw: DataFrame, okx_allowed: list[str] | None = None) -> DataF
     return sent.select("exchange", *[typed[c].alias(c) for c in COLUMNS])
 
 
-def kucoin_liquidations(raw: DataFrame) -> DataFrame:
+def kucoin_liquidations(raw: DataFrame, configured: DataFrame | None = None) -> DataFrame:
     """kucoin executions whose subject marks a liquidation, as raw rows.
 
-    No normaliser exists for this venue, so the payload is kept as it is.
+    Only symbols of ``configured`` (column ``symbol``, any case) are kept; an
+    empty list, or none, keeps all.  No normaliser exists for this venue, so the
+    payload is kept as it is.
     """
     parsed = raw.filter(F.col("exchange") == "kucoin").select(
         "data", clock.epoch_ms(F.col("ts")).alias("arrival_ms"), decode_json(F.col("data"), KUCOIN).alias("_p")
     )
     p = F.col("_p")
-    stamp = long_or_zero(p["data"]["ts"])
-    return parsed.filter(is_clean(p) & F.lower(p["subject"]).contains("liquid")).select(
-        F.lit("kucoin").alias("exchange"),
-        F.upper(text_or_blank(p["data"]["symbol"])).alias("symbol"),
-        F.lit("liquidation").alias("market"),
+    row = F.struct(
+        text_or_blank(p["data"]["symbol"]).alias("symbol"),
         text_or_blank(p["topic"]).alias("topic"),
         p["subject"].alias("subject"),
+        long_or_zero(p["data"]["ts"]).alias("stamp"),
+    )
+    marked = is_clean(p) & F.lower(p["subject"]).contains("liquid")
+    rows = unnest(parsed, ["data", "arrival_ms"], F.when(marked, F.array(row))).select(
+        F.lit("kucoin").alias("exchange"),
+        F.upper("symbol").alias("symbol"),
+        F.lit("liquidation").alias("market"),
+        "topic",
+        "subject",
         "data",
-        clock.infer_epoch_ms(stamp, F.col("arrival_ms")).alias("ts_ms"),
+        clock.infer_epoch_ms(F.col("stamp"), F.col("arrival_ms")).alias("ts_ms"),
     )
+    return rows if configured is None else keep_tickers(rows, configured)
 
 
 def liquidation_slim(normalised: DataFrame) -> DataFrame:

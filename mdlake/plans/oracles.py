@@ -128,6 +128,13 @@ FORCED = f"""fl AS (
          CASE WHEN l_partkey % 10 = 0 THEN '0.00' ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS qt
   FROM lineitem)"""
 
+KUCOIN_LIQ = f"""{FORCED}, x AS (
+  SELECT *, CASE ln WHEN 2 THEN 0 WHEN 4 THEN ms // 1000 WHEN 6 THEN ms ELSE ms * 1000000 END AS stamp FROM fl
+  WHERE exchange = 'kucoin' AND k % 3 <> 0 AND k % 97 <> 0),
+kl AS (SELECT exchange, native,
+       CASE WHEN stamp <= 0 THEN ms WHEN stamp < 1000000000000 THEN stamp * 1000 WHEN stamp < 1000000000000000 THEN stamp
+            ELSE stamp // 1000000 END AS ts_ms FROM x)"""
+
 LIQ = f"""{FORCED},
 parts AS (
   SELECT *, CAST(qt AS DOUBLE) AS quantity, ms + ln AS made, 'own' AS part FROM fl
@@ -339,12 +346,11 @@ SELECT k AS event_id, exchange, (u * 1000) % 20000 AS duration_ms, CAST(10000 AS
     **{f"decode_delta_{v}": decode_delta(v) for v in ("binance", "bybit", "kucoin", "okx")},
     **{f"decode_oi_{v}": decode_oi(v) for v in ("binance", "bybit", "kucoin", "okx")},
     **{f"decode_pi_{v}": decode_pi(v) for v in ("binance", "bybit", "kucoin", "okx")},
-    "decode_liq_kucoin": f"""WITH {FORCED}, x AS (
-  SELECT *, CASE ln WHEN 2 THEN 0 WHEN 4 THEN ms // 1000 WHEN 6 THEN ms ELSE ms * 1000000 END AS stamp FROM fl
-  WHERE exchange = 'kucoin' AND k % 3 <> 0 AND k % 97 <> 0)
-SELECT exchange, native AS symbol, 'liquidation' AS market, '/contractMarket/execution:' || native AS topic, 'Liquidation' AS subject,
-       CASE WHEN stamp <= 0 THEN ms WHEN stamp < 1000000000000 THEN stamp * 1000 WHEN stamp < 1000000000000000 THEN stamp
-            ELSE stamp // 1000000 END AS ts_ms FROM x""",
+    "decode_liq_kucoin": f"""WITH {KUCOIN_LIQ}
+SELECT exchange, native AS symbol, 'liquidation' AS market, '/contractMarket/execution:' || native AS topic, 'Liquidation' AS subject, ts_ms FROM kl""",
+    "liq_kucoin_filter": f"""WITH {KUCOIN_LIQ}
+SELECT native AS symbol, '/contractMarket/execution:' || native AS topic, ts_ms FROM kl
+WHERE native IN (SELECT {NATIVE}[8 + c_custkey % 2 + 1] FROM customer)""",
     "epoch_unit_infer": f"""WITH {EV}
 SELECT k AS event_id, CASE k % 5 WHEN 0 THEN -(k % 2) WHEN 1 THEN ms // 1000 WHEN 2 THEN ms WHEN 3 THEN ms * 1000000 + 123456 ELSE ms * 1000 END AS raw,
        CASE k % 5 WHEN 0 THEN ms WHEN 1 THEN ms // 1000 * 1000 WHEN 2 THEN ms WHEN 3 THEN ms ELSE ms // 1000 END AS ts_ms FROM ev""",

@@ -174,6 +174,12 @@ def decode_liq_kucoin(spark: SparkSession, sf: str) -> DataFrame:
     return liquidations.kucoin_liquidations(fx.liq_messages(spark, sf)).drop("data")
 
 
+@query
+def liq_kucoin_filter(spark: SparkSession, sf: str) -> DataFrame:
+    configured = universe.symbol_universe(fx.allocation_rows(spark, sf)).filter(F.col("exchange") == "kucoin")
+    return liquidations.kucoin_liquidations(fx.liq_messages(spark, sf), configured).select("symbol", "topic", "ts_ms")
+
+
 @query
 def epoch_unit_infer(spark: SparkSession, sf: str) -> DataFrame:
     k, ms = F.col("event_id"), F.col("ms")

@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from mdlake.operators import books, deltas, indicators, liquidations
 from mdlake.sources import frames
 from mdlake.sources.landing import RAW_SCHEMA
@@ -151,3 +153,20 @@ def test_plain_decimal_of_any_size(spark):
     }
     rows = spark.createDataFrame([(k,) for k in cases], "x STRING").select("x", plain_decimal(F.col("x").cast("double").cast("string")).alias("p"))
     assert {r["x"]: r["p"] for r in rows.collect()} == cases
+
+
+def test_kucoin_executions_of_configured_symbols(spark):
+    """Subjects in any case; broken payloads and other symbols go; an empty list keeps all."""
+    def sent(symbol, subject):
+        return f'{{"topic":"/t:{symbol}","subject":"{subject}","data":{{"symbol":"{symbol}","side":"buy","size":"1","price":"2","ts":1700000000000}}}}'
+
+    bodies = [sent("xbtusdtm", "LIQUIDation.order"), sent("ETHUSDTM", "liquidation"), sent("XBTUSDTM", "match"), '{"topic":', "", None]
+    raw = spark.createDataFrame([("kucoin", b) for b in bodies] + [("okx", bodies[0])], "exchange STRING, data STRING")
+    raw = raw.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+
+    def left(symbols):
+        configured = None if symbols is None else spark.createDataFrame([(s,) for s in symbols], "symbol STRING")
+        return sorted(r.symbol for r in liquidations.kucoin_liquidations(raw, configured).collect())
+
+    assert left(None) == left([]) == ["ETHUSDTM", "XBTUSDTM"]
+    assert left(["xbtusdtm"]) == ["XBTUSDTM"] and left(["SOLUSDTM"]) == []
