@@ -532,19 +532,6 @@ def interval_flush(messages: DataFrame, interval_ms: int = WRITER_INTERVAL_MS) -
     )
 
 
-def liq_flush(
-    rows: DataFrame, max_rows: int = LIQUIDATION_ROWS, interval_ms: int = LIQUIDATION_INTERVAL_MS
-) -> DataFrame:
-    """Liquidation files per exchange and tick, each of at most ``max_rows``."""
-    tick = F.col("time_ms") - F.pmod(F.col("time_ms"), F.lit(interval_ms).cast("bigint")) + interval_ms
-    return (
-        rows.filter(F.col("exchange") != "")
-        .groupBy("exchange", tick.alias("flush_ms"))
-        .agg(F.count(F.lit(1)).alias("records"))
-        .withColumn("files", F.ceil(F.col("records") / max_rows).cast("bigint"))
-    )
-
-
 def drain(numbered: DataFrame, max_rows: int = PROCESSOR_ROWS) -> DataFrame:
     """The partial batch each key is left with when the input ends."""
     return batch_sizes(numbered, max_rows).filter(~F.col("complete")).drop("complete")

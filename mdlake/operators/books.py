@@ -142,18 +142,6 @@ def book_flatten(raw: DataFrame) -> DataFrame:
     return flatten_books(parse_books(raw))
 
 
-def quarantine_books(raw: DataFrame) -> DataFrame:
-    """Messages whose payload is broken JSON or has a field of the wrong type."""
-    venue, data = F.col("exchange"), F.col("data")
-    clean = (
-        F.when(venue == "bybit", is_clean(decode_json(data, BYBIT)))
-        .when(venue == "kucoin", is_clean(decode_json(data, KUCOIN)))
-        .when(venue == "okx", is_clean(decode_json(data, OKX)))
-        .otherwise(is_clean(decode_json(data, BINANCE)))
-    )
-    return raw.filter(~F.coalesce(clean, F.lit(False)))
-
-
 def poll_grid(raw: DataFrame, interval_ms: int, order: str = "message_id") -> DataFrame:
     """Last snapshot of each (exchange, symbol) in every polling interval.
 
@@ -172,6 +160,18 @@ def poll_grid(raw: DataFrame, interval_ms: int, order: str = "message_id") -> Da
     )
 
 
+def poll_snapshots(raw: DataFrame, interval_ms: int, order: str = "message_id") -> DataFrame:
+    """The messages that ``poll_grid`` picks, payload and all, with ``bucket_ms`` and ``polls``.
+
+    Payloads are read again for the picked messages alone, and only those are
+    worth decoding.  ``order`` is unique within (exchange, symbol).
+    """
+    last = poll_grid(raw, interval_ms, order).select(
+        "exchange", "symbol", "bucket_ms", "polls", F.col("message_id").alias(order)
+    )
+    return raw.join(last, ["exchange", "symbol", order])
+
+
 def typed_levels(values: Column, keep_zero: bool = False) -> Column:
     """Text levels to ``ARRAY<STRUCT<price, quantity>>`` of the valid ones."""
     typed = F.transform(

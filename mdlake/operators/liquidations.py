@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,17 +55,18 @@ def _sent(**fields: Column) -> Column:
     return F.struct(*[fields.get(c, F.lit(None)).cast(types[c]).alias(c) for c in COLUMNS])
 
 
-def liq_normalize(raw: DataFrame, okx_allowed: list[str] | None = None) -> DataFrame:
+def liq_normalize(raw: DataFrame, okx_allowed: list[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Raw liquidation messages to the unified table.
 
     Venues without a normaliser are ignored.  ``okx_allowed`` restricts okx to
     the listed instrument families (blank entries ignored, empty keeps all);
     symbols are never canonicalised here.  Fields a venue does not send hold the
-    type's zero value.
+    type's zero value.  ``keep`` names raw columns to carry along.
     """
     venue, data = F.col("exchange"), F.col("data")
     parsed = raw.filter(venue.isin("binance", "bybit", "okx")).select(
         "exchange",
+        *keep,
         F.when(venue == "binance", decode_json(data, BINANCE, BINANCE_RENAMED)).alias("_binance"),
         F.when(venue == "bybit", decode_json(data, BYBIT, BYBIT_RENAMED)).alias("_bybit"),
         F.when(venue == "okx", decode_json(data, OKX)).alias("_okx"),
@@ -101,12 +104,12 @@ def liq_normalize(raw: DataFrame, okx_allowed: list[str] | None = None) -> DataF
         .when(is_clean(bybit), F.transform(bybit["data"], bybit_row).cast(SENT))
         .when(is_clean(okx), F.flatten(F.filter(details, lambda x: x.isNotNull())).cast(SENT))
     )
-    sent = unnest(parsed, ["exchange"], rows)
+    sent = unnest(parsed, ["exchange", *keep], rows)
     typed = {c: text_or_blank(F.col(c)) for c in TEXTS}
     typed |= {c: parse_or_zero(F.col(c)) for c in NUMBERS}
     typed |= {c: long_or_zero(F.col(c)) for c in ("time_ms", "trade_id")}
     typed |= {c: F.coalesce(F.col(c), F.lit(False)) for c in FLAGS}
-    return sent.select("exchange", *[typed[c].alias(c) for c in COLUMNS])
+    return sent.select("exchange", *keep, *[typed[c].alias(c) for c in COLUMNS])
 
 
 def kucoin_liquidations(raw: DataFrame, configured: DataFrame | None = None) -> DataFrame:

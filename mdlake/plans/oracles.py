@@ -18,6 +18,8 @@ CANONICAL = (
 BOOK_MARKET = "CASE WHEN exchange = 'okx' THEN 'swap-orderbook-snapshot' ELSE 'future-orderbook-snapshot' END"
 DELTA_MARKET = "CASE WHEN exchange = 'okx' THEN 'swap-orderbook-delta' ELSE 'future-orderbook-delta' END"
 ABSENT = "CAST(-62135596800000 AS BIGINT)"
+HOUR = 3_600_000
+WEEK = 168 * HOUR
 
 # --- building blocks -----------------------------------------------------------
 
@@ -335,10 +337,6 @@ SELECT exchange, symbol, listed, count(*) AS n, CAST(sum(k) AS BIGINT) AS k_sum
     "ticker_symbol_filter": f"""WITH {OI}
 SELECT k AS message_id, native AS symbol, oi_text FROM oid
 WHERE exchange = 'bybit' AND native IN (SELECT {NATIVE}[4 + c_custkey % 2 + 1] FROM customer)""",
-    "poll_grid": f"""WITH {EV}, b AS (SELECT exchange, native AS symbol, ms // 21600000 * 21600000 AS bucket_ms, ms, k,
-  row_number() OVER (PARTITION BY exchange, native, ms // 21600000 ORDER BY ms DESC, k DESC) AS rn,
-  count(*) OVER (PARTITION BY exchange, native, ms // 21600000) AS polls FROM ev)
-SELECT exchange, symbol, bucket_ms, polls, ms AS ts_ms, k AS message_id FROM b WHERE rn = 1""",
     "poll_overrun": f"""WITH {EV}
 SELECT k AS event_id, exchange, (u * 1000) % 20000 AS duration_ms, CAST(10000 AS BIGINT) AS interval_ms FROM ev WHERE (u * 1000) % 20000 > 10000""",
     # decoders
@@ -354,8 +352,11 @@ WHERE native IN (SELECT {NATIVE}[8 + c_custkey % 2 + 1] FROM customer)""",
     "epoch_unit_infer": f"""WITH {EV}
 SELECT k AS event_id, CASE k % 5 WHEN 0 THEN -(k % 2) WHEN 1 THEN ms // 1000 WHEN 2 THEN ms WHEN 3 THEN ms * 1000000 + 123456 ELSE ms * 1000 END AS raw,
        CASE k % 5 WHEN 0 THEN ms WHEN 1 THEN ms // 1000 * 1000 WHEN 2 THEN ms WHEN 3 THEN ms ELSE ms // 1000 END AS ts_ms FROM ev""",
-    "payload_quarantine": f"""WITH {HDR}
-SELECT exchange, k AS message_id FROM hdr WHERE k % 97 = 0 OR (k % 89 = 0 AND exchange <> 'okx')""",
+    "payload_quarantine": f"""WITH {HDR}, {EV}, {FORCED}
+SELECT f.feed, exchange, k AS message_id FROM hdr, (VALUES ('fobs'), ('fobd')) f(feed) WHERE k % 97 = 0 OR (k % 89 = 0 AND exchange <> 'okx')
+UNION ALL SELECT 'foi', exchange, k FROM ev WHERE k % 97 = 0 OR (k % 89 = 0 AND exchange <> 'okx')
+UNION ALL SELECT 'pi', exchange, k FROM ev WHERE k % 97 = 0 OR (k % 89 = 0 AND exchange <> 'okx' AND NOT (exchange = 'kucoin' AND k % 31 = 0))
+UNION ALL SELECT 'liq', exchange, k FROM fl WHERE k % 97 = 0""",
     # normalisers
     "canonical_symbol": """WITH s AS (
   SELECT ['binance','BYBIT','kucoin','okx','coinbase','kraken','other'][event_id % 7 + 1] AS exchange,
@@ -420,8 +421,20 @@ SELECT key, batch_no, count(*) AS messages, CAST(sum(rows) AS BIGINT) AS record_
     "interval_flush": f"""WITH {OI_MSGS}
 SELECT key, ts_ms // 3600000 * 3600000 + 3600000 AS flush_ms, count(*) AS messages, CAST(sum(rows) AS BIGINT) AS record_count FROM msgs GROUP BY ALL""",
     "key_flush": f"""WITH {OI_MSGS}, {greedy(rows=10, age_ms=21600000)} SELECT * FROM sizes""",
-    "liq_flush": f"""WITH {LIQ}, f AS (SELECT exchange, time_ms // 86400000 * 86400000 + 86400000 AS flush_ms, count(*) AS records FROM liq GROUP BY ALL)
-SELECT exchange, flush_ms, records, (records + 9) // 10 AS files FROM f""",
+    "liq_flush": f"""WITH {FORCED}, sent AS (
+  SELECT exchange, ms, k FROM fl WHERE exchange <> 'kucoin' AND k % 97 <> 0
+  UNION ALL SELECT exchange, ms, k FROM fl WHERE exchange IN ('bybit', 'okx') AND ln % 2 = 0 AND k % 97 <> 0
+  UNION ALL SELECT exchange, ms, k FROM fl WHERE exchange = 'okx' AND flag = 'R' AND k % 97 <> 0),
+placed AS (SELECT *, row_number() OVER (ORDER BY ms, k) AS p FROM sent),
+run AS (
+  SELECT list_reduce(list({{'held': CAST(1 AS BIGINT), 'due': (ms + 15 * {HOUR} + {HOUR} - 1) // {HOUR}, 'hour': ms // {HOUR}, 'begins': [p]}} ORDER BY p),
+    lambda a, x: CASE WHEN a.held > 0 AND greatest(a.due, a.hour + 1) <= x.hour
+      THEN {{'held': CAST(1 AS BIGINT), 'due': greatest(a.due, a.hour + 1) + 15, 'hour': x.hour, 'begins': list_concat(a.begins, x.begins)}}
+      ELSE {{'held': CASE WHEN a.held = 9 THEN CAST(0 AS BIGINT) ELSE a.held + 1 END, 'due': CASE WHEN a.held = 9 THEN x.due ELSE a.due END,
+             'hour': x.hour, 'begins': CASE WHEN a.held = 0 THEN list_concat(a.begins, x.begins) ELSE a.begins END}} END) AS r FROM placed),
+begins AS (SELECT unnest(r.begins) AS p, unnest(range(len(r.begins))) AS batch_no FROM run)
+SELECT b.batch_no, exchange, count(*) AS records, min(ms) AS first_ms, max(ms) AS last_ms
+FROM placed ASOF JOIN begins b ON placed.p >= b.p GROUP BY ALL""",
     "drain": f"""WITH {BOOK_MSGS}, {greedy(rows=40)} SELECT * FROM sizes WHERE record_count < 40""",
     # published tables, layout, catalogue
     "snapshot_valid_filter": """
@@ -482,6 +495,11 @@ SELECT t AS "table", configured, CASE WHEN t IN ('delta','liquidation') THEN 'sn
     # documented views
     "nested_snapshot": f"""WITH {BOOK}
 {nested('book', 'exchange, market AS market_type, symbol, ts_ms AS timestamp_ms, last_update_id', ('bids', 'asks'))} GROUP BY k, exchange, market, symbol, ts_ms, last_update_id""",
+    "poll_grid": f"""WITH {BOOK}, polled AS (
+  SELECT k, ms // {WEEK} * {WEEK} AS bucket_ms, row_number() OVER (PARTITION BY exchange, native, ms // {WEEK} ORDER BY ms DESC, k DESC) AS rn,
+         count(*) OVER (PARTITION BY exchange, native, ms // {WEEK}) AS polls FROM hdr)
+{nested('book JOIN polled USING (k)', 'bucket_ms, polls, exchange, market AS market_type, symbol, ts_ms AS timestamp_ms, last_update_id', ('bids', 'asks'))}
+WHERE rn = 1 GROUP BY k, bucket_ms, polls, exchange, market, symbol, ts_ms, last_update_id""",
     "nested_delta": f"""WITH {DELTA}
 {nested('delta', 'exchange, market AS market_type, symbol, event_time AS timestamp_ms, update_id', ('bid_updates', 'ask_updates'))} GROUP BY k, exchange, market, symbol, event_time, update_id""",
     "liquidation_slim": f"""WITH {LIQ} SELECT exchange, 'liquidation' AS market_type, symbol, side, price, quantity, time_ms AS timestamp_ms FROM liq""",

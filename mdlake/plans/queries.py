@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mdlake.functions import clock, paths
 from mdlake.functions.parsing import parse_or_zero, parse_strict
 from mdlake.functions.symbols import canonical_symbol
-from mdlake.operators import batching, books, catalog, deltas, indicators, liquidations, tables, telemetry, usage
+from mdlake.operators import batching, books, catalog, deltas, flushing, indicators, liquidations, quarantine, tables, telemetry, usage
 from mdlake.plans import fixtures as fx
 from mdlake.sources import frames, landing, universe
 from mdlake.streaming import jobs
@@ -123,7 +123,11 @@ def ticker_symbol_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def poll_grid(spark: SparkSession, sf: str) -> DataFrame:
-    return books.poll_grid(fx.oi_messages(spark, sf), 6 * clock.HOUR_MS)
+    """The book of each instrument at the end of every interval."""
+    picked = books.poll_snapshots(fx.book_messages(spark, sf), 7 * clock.DAY_MS)
+    return books.nested_snapshot(picked, keep=["bucket_ms", "polls"]).select(
+        "bucket_ms", "polls", "exchange", "market_type", "symbol", "timestamp_ms", "last_update_id", _typed_text("bids"), _typed_text("asks")
+    )
 
 
 @query
@@ -196,7 +200,9 @@ def epoch_unit_infer(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def payload_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    return books.quarantine_books(fx.book_messages(spark, sf)).select("exchange", "message_id")
+    feeds = [fx.book_messages, fx.delta_messages, fx.oi_messages, fx.pi_messages, fx.liq_messages]
+    raw = landing.fan_in(*[f(spark, sf) for f in feeds])
+    return quarantine.rejects(raw, keep=["message_id"]).select("feed", "exchange", "message_id")
 
 
 # --- normalisers and scalar functions -------------------------------------------
@@ -409,7 +415,9 @@ def key_flush(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def liq_flush(spark: SparkSession, sf: str) -> DataFrame:
-    return batching.liq_flush(_liq(spark, sf), 10, clock.DAY_MS)
+    raw = fx.liq_messages(spark, sf).withColumns({"ts_ms": clock.epoch_ms(F.col("ts")), "id": F.col("message_id")})
+    rows = liquidations.liq_normalize(raw, keep=["ts_ms", "id"])
+    return flushing.liq_flush(rows, 10, 15 * clock.HOUR_MS, clock.HOUR_MS)
 
 
 @query

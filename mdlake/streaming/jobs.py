@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from mdlake.functions import paths
-from mdlake.operators import batching, books, catalog, deltas, indicators, liquidations, tables, telemetry
+from mdlake.operators import batching, books, catalog, deltas, indicators, liquidations, quarantine, tables, telemetry
 from mdlake.sources import frames, universe
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -78,14 +78,19 @@ def table_writer(
     codec: str = "snappy",
     allowed: DataFrame | None = None,
     template: str | None = None,
+    rejects_path: str | None = None,
 ) -> DataStreamWriter:
     """Writer of one feed's table: every micro-batch is one commit.
 
     The micro-batch number is the commit id, so a replayed batch replaces its
-    own files.  ``clock_ms`` gives a commit's time from its number.
+    own files.  ``clock_ms`` gives a commit's time from its number.  Messages
+    that cannot be decoded go to ``rejects_path``, where one is given, before
+    the commit; read them with ``read_parts``.
     """
 
     def commit(batch: DataFrame, number: int) -> None:
+        if rejects_path:
+            quarantine.rejects(batch).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={number}")
         rows = published_rows(batch, feed, allowed, template)
         commit_feed(rows, feed, table_path, manifest_path, number, clock_ms(number), codec, template)
 

@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from mdlake.operators import books, deltas, indicators, liquidations
+from mdlake.operators import books, deltas, indicators, liquidations, quarantine
 from mdlake.sources import frames
 from mdlake.sources.landing import RAW_SCHEMA
 
@@ -55,9 +55,28 @@ def test_broken_messages_are_quarantined_whole(spark):
         {"exchange": "kucoin", "data": {"sequence": 1, "bids": [["1", "1"]]}},
     ]
     good = {"exchange": "bybit", "data": {"result": {}}}
-    frame = raw(spark, *bad, good)
+    frame = raw(spark, *[{**m, "feed": "fobs"} for m in (*bad, good)])
     assert books.book_flatten(frame).count() == 0
-    assert books.quarantine_books(frame).count() == 3
+    assert quarantine.rejects(frame).count() == 3
+
+
+def test_every_feed_reports_what_it_cannot_decode(spark):
+    wrong = {
+        "fobd": {"binance": {"E": "x"}, "bybit": {"data": 5}, "kucoin": {"data": {"sequence": "x"}}, "okx": {"data": [{"bids": 1}]}},
+        "foi": {"binance": {"time": "x"}, "bybit": {"ts": "x"}, "kucoin": {"time": []}, "okx": {"data": "x"}},
+        "pi": {"binance": {"T": "x"}, "bybit": {"ts": "x"}, "kucoin": {"dataList": [{"value": "x"}]}, "okx": {"data": 1}},
+        "liq": {"binance": {"o": {"t": "x"}}, "bybit": {"data": [{"T": "x"}]}, "kucoin": {"data": {"ts": "x"}}, "okx": {"data": {}}},
+    }
+    bad = [{"feed": f, "exchange": v, "data": d} for f, venues in wrong.items() for v, d in venues.items()]
+    cut = [{**m, "data": json.dumps(m["data"])[:-1]} for m in bad]
+    good = [{**m, "data": {}} for m in bad]
+    unknown = [{"feed": "foi", "exchange": "kraken", "data": "?"}, {"feed": "other", "exchange": "okx", "data": "?"}, {"exchange": "okx", "data": "?"}]
+    frame = raw(spark, *bad, *cut, *good, *unknown)
+    rejected = quarantine.rejects(frame)
+    assert rejected.count() == len(bad) + len(cut)
+    assert {tuple(r) for r in quarantine.reject_counts(rejected).select("feed", "exchange", "messages").collect()} == {
+        (m["feed"], m["exchange"], 2) for m in bad
+    }
 
 
 def test_binance_delta_in_either_letter_case(spark):

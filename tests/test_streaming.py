@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mdlake.operators import batching, telemetry
+from mdlake.operators import batching, quarantine, telemetry
 from mdlake.operators.batching import Limits
 from mdlake.plans import fixtures as fx
 from mdlake.plans import queries
@@ -41,7 +41,10 @@ def test_table_job_equals_batch(spark, sf_dir, tmp_path):
     raw.repartition(4).write.partitionBy("feed").parquet(path)
     source = landing.stream_landing(spark, path, feed="foi", max_files_per_trigger=1)
     table, manifest = str(tmp_path / "table"), str(tmp_path / "manifest")
-    writer = jobs.table_writer(source, "foi", table, manifest, str(tmp_path / "checkpoint"), clock_ms=lambda n: n * 180_000)
+    rejects = str(tmp_path / "rejects")
+    writer = jobs.table_writer(
+        source, "foi", table, manifest, str(tmp_path / "checkpoint"), clock_ms=lambda n: n * 180_000, rejects_path=rejects
+    )
     jobs.drain(writer)
     jobs.drain(writer)  # nothing new has landed
     want = jobs.published_rows(landing.scan_landing(spark, path, feed="foi"), "foi")
@@ -54,6 +57,9 @@ def test_table_job_equals_batch(spark, sf_dir, tmp_path):
 
     assert plain(got).exceptAll(plain(want)).count() == 0 and got.count() == want.count()
     assert spark.read.parquet(manifest).agg(F.sum("record_count")).first()[0] == want.count()
+    broken = quarantine.rejects(landing.scan_landing(spark, path, feed="foi"))
+    kept = jobs.read_parts(spark, rejects).select(broken.columns)
+    assert broken.count() > 0 and kept.exceptAll(broken).count() == 0 and kept.count() == broken.count()
 
 
 @pytest.mark.parametrize("name, limits", [("rows", Limits(rows=10)), ("age", Limits(age_ms=6 * 3_600_000)), ("both", Limits(rows=5, age_ms=86_400_000)), ("idle", Limits(rows=7, idle_ms=7_200_000))])
