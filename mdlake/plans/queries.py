@@ -65,7 +65,10 @@ def raw_landing_scan(spark: SparkSession, sf: str) -> DataFrame:
         fx.pi_messages(spark, sf),
         fx.liq_messages(spark, sf),
     ]
-    raw = landing.fan_in(*feeds).select(*[F.col(f.name).cast(f.dataType) for f in landing.RAW_SCHEMA])
+    path = _folder(spark, "landing")
+    columns = [F.col(f.name).cast(f.dataType) for f in landing.RAW_SCHEMA]
+    landing.fan_in(*feeds).select(*columns).write.partitionBy("feed").parquet(path)
+    raw = landing.scan_landing(spark, path)
     ms = clock.epoch_ms(F.col("ts"))
     return raw.groupBy("feed", "exchange", "market").agg(
         F.count(F.lit(1)).alias("messages"),
@@ -76,9 +79,7 @@ def raw_landing_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def feed_fan_in(spark: SparkSession, sf: str) -> DataFrame:
-    raw = fx.oi_messages(spark, sf)
-    by_venue = [raw.filter(F.col("exchange") == v) for v in landing.VENUES]
-    return landing.fan_in(*by_venue).groupBy("exchange", "symbol").agg(
+    return landing.from_venues(fx.oi_messages(spark, sf)).groupBy("exchange", "symbol").agg(
         F.count(F.lit(1)).alias("messages"), F.sum("message_id").alias("id_sum")
     )
 
@@ -99,18 +100,15 @@ def control_frame_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def topic_symbol(spark: SparkSession, sf: str) -> DataFrame:
-    kept = frames.keep_data_frames(fx.frame_messages(spark, sf)).filter(
-        (F.col("feed") == "fobd") & F.col("exchange").isin("bybit", "kucoin")
-    )
-    topic = F.get_json_object("data", "$.topic")
-    return kept.select("message_id", "exchange", frames.topic_symbol(F.col("exchange"), topic).alias("symbol"))
+    deltas_of = (F.col("feed") == "fobd") & F.col("exchange").isin("bybit", "kucoin")
+    kept = frames.data_topics(fx.frame_messages(spark, sf).filter(deltas_of), keep=["message_id"])
+    return kept.select("message_id", "exchange", frames.topic_symbol(F.col("exchange"), F.col("topic")).alias("symbol"))
 
 
 @query
 def instrument_validate(spark: SparkSession, sf: str) -> DataFrame:
-    valid, rejected = universe.validate_instruments(fx.requested_symbols(spark, sf), fx.instrument_rows(spark, sf))
-    both = valid.withColumn("listed", F.lit(True)).unionByName(rejected.withColumn("listed", F.lit(False)))
-    return both.groupBy("exchange", "symbol", "listed").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k_sum"))
+    flagged = universe.flag_instruments(fx.requested_symbols(spark, sf), fx.instrument_rows(spark, sf))
+    return flagged.groupBy("exchange", "symbol", "listed").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k_sum"))
 
 
 @query

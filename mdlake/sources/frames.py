@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.functions.parsing import decode_json, is_clean, let, text_or_blank
+from mdlake.functions.parsing import decode_json, is_clean, let, text_or_blank, unnest
 
 # The channel each okx feed listens to, the topic prefix each
 # bybit feed listens to, and the topic prefix of kucoin deltas.
@@ -23,27 +25,37 @@ def _lookup(key: Column, table: dict[str, str]) -> Column:
     return picked
 
 
+def _wanted(probe: Column) -> Column:
+    """Whether a frame, by its few top-level fields, holds data of its feed."""
+    feed, venue = F.col("feed"), F.col("exchange")
+    topic, channel = text_or_blank(probe["topic"]), text_or_blank(probe["arg"]["channel"])
+    keys = F.json_object_keys(F.col("data"))
+    okx_delta = ~(F.array_contains(keys, "event") | F.array_contains(keys, "ping"))
+    okx_other = (text_or_blank(probe["event"]) == "") & (channel == _lookup(feed, OKX_CHANNEL))
+    okx_liq = okx_other & (text_or_blank(probe["arg"]["instType"]) == "SWAP")
+    okx = F.when(feed == "fobd", okx_delta).when(feed == "liq", okx_liq).otherwise(okx_other)
+    topic_ok = topic.startswith(_lookup(feed, BYBIT_TOPIC))
+    no_reply = text_or_blank(probe["op"]) == ""
+    bybit = F.when(feed.isin("pi", "foi"), no_reply & topic_ok).otherwise(topic_ok)
+    return is_clean(probe) & F.when(venue == "okx", okx).when(venue == "bybit", bybit).otherwise(F.lit(True))
+
+
 def keep_data_frames(frames: DataFrame) -> DataFrame:
     """Drop acknowledgements, pings, broken text and frames of other channels.
 
     Only a few top-level fields are parsed here, so the full decode downstream
     never sees control traffic.
     """
-    feed, venue = F.col("feed"), F.col("exchange")
+    return frames.filter(F.coalesce(let(decode_json(F.col("data"), PROBE), _wanted), F.lit(False)))
+
+
+def data_topics(frames: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The frames that ``keep_data_frames`` keeps, with ``topic`` from the same probe."""
+
+    def topic(probe: Column) -> Column:
+        return F.when(_wanted(probe), F.array(F.struct(text_or_blank(probe["topic"]).alias("topic"))))
 
-    def wanted(probe: Column) -> Column:
-        topic, channel = text_or_blank(probe["topic"]), text_or_blank(probe["arg"]["channel"])
-        keys = F.json_object_keys(F.col("data"))
-        okx_delta = ~(F.array_contains(keys, "event") | F.array_contains(keys, "ping"))
-        okx_other = (text_or_blank(probe["event"]) == "") & (channel == _lookup(feed, OKX_CHANNEL))
-        okx_liq = okx_other & (text_or_blank(probe["arg"]["instType"]) == "SWAP")
-        okx = F.when(feed == "fobd", okx_delta).when(feed == "liq", okx_liq).otherwise(okx_other)
-        topic_ok = topic.startswith(_lookup(feed, BYBIT_TOPIC))
-        no_reply = text_or_blank(probe["op"]) == ""
-        bybit = F.when(feed.isin("pi", "foi"), no_reply & topic_ok).otherwise(topic_ok)
-        return is_clean(probe) & F.when(venue == "okx", okx).when(venue == "bybit", bybit).otherwise(F.lit(True))
-
-    return frames.filter(F.coalesce(let(decode_json(F.col("data"), PROBE), wanted), F.lit(False)))
+    return unnest(frames, ["feed", "exchange", *keep], let(decode_json(F.col("data"), PROBE), topic))
 
 
 def topic_symbol(exchange: Column, topic: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +48,13 @@ def stream_landing(
     return raw if feed is None else raw.filter(F.col("feed") == feed)
 
 
+def from_venues(raw: DataFrame, venues: Sequence[str] = VENUES) -> DataFrame:
+    """The messages of some venues of one landing table, in one scan."""
+    return raw.filter(F.col("exchange").isin(*venues))
+
+
 def fan_in(*sources: DataFrame) -> DataFrame:
-    """All venues of a feed as one table: union all, no dedup, no order."""
+    """Tables of several sources as one: union all, no dedup, no order."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
 
 

@@ -72,8 +72,14 @@ def validate_instruments(requested: DataFrame, instruments: DataFrame | None) ->
 
     Without an instrument list every request counts as listed.
     """
+    flagged = flag_instruments(requested, instruments)
+    return flagged.filter("listed").drop("listed"), flagged.filter("NOT listed").drop("listed")
+
+
+def flag_instruments(requested: DataFrame, instruments: DataFrame | None) -> DataFrame:
+    """Requested (exchange, symbol) rows with ``listed``, each input read once."""
     if instruments is None:
-        return requested, requested.filter(F.lit(False))
-    listed = instruments.select("exchange", F.col("inst_id").alias("symbol")).distinct()
-    on = ["exchange", "symbol"]
-    return requested.join(listed, on, "left_semi"), requested.join(listed, on, "left_anti")
+        return requested.withColumn("listed", F.lit(True))
+    known = instruments.select("exchange", F.col("inst_id").alias("symbol")).distinct().withColumn("_known", F.lit(True))
+    joined = requested.join(known, ["exchange", "symbol"], "left")
+    return joined.withColumn("listed", F.col("_known").isNotNull()).drop("_known")

@@ -42,7 +42,7 @@ def test_entry(spark):
 
 
 def test_each_payload_is_parsed_once(spark, sf_dir):
-    for name, venues in (("book_flatten", 4), ("delta_flatten", 4), ("liq_unified", 3), ("pi_normalize", 4), ("control_frame_filter", 1), ("liq_kucoin_filter", 1), ("decode_liq_kucoin", 1)):
+    for name, venues in (("book_flatten", 4), ("delta_flatten", 4), ("liq_unified", 3), ("pi_normalize", 4), ("control_frame_filter", 1), ("liq_kucoin_filter", 1), ("decode_liq_kucoin", 1), ("topic_symbol", 1), ("payload_quarantine", 20), ("poll_grid", 4)):
         plan = entry_points.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json") == venues, name
 
