@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mdlake.llm.common import pieces, utf8
@@ -33,7 +33,7 @@ ORDER = 4  # bytes in the longest gram: three of context and the one predicted
 PAD = np.full(ORDER - 1, 10, dtype=np.uint8)  # what stands before a text
 BLOCK = 1 << 19  # bytes scored at once
 MAX_TRAIN_BYTES = 4_000_000
-MAX_GRAMS = 400_000
+MAX_GRAMS = 100_000  # of a language
 FLAT_BITS = 8.0
 UNKNOWN = "und"
 
@@ -107,25 +107,30 @@ def train(
     """Learn from the labelled rows of ``docs``; rows without a label are left out.
 
     At most about ``max_train_bytes`` of text a language are read into the
-    counts (rows chosen by a hash of the text), and the ``max_grams`` most
-    frequent (language, gram) counts are kept.  Without labelled rows the model
-    knows no language and calls every text ``und``.
+    counts (rows chosen by a hash of the text; where that leaves a language none,
+    as with a few huge texts, the one with the least hash), and of each language
+    the ``max_grams`` most frequent grams are kept, however many languages there
+    are.  Without labelled rows the model knows no language and calls every text
+    ``und``.
     """
     rows = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(label).cast("string").alias("label")
     )
+    chance = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1 << 20)) / float(1 << 20)
     share = rows.groupBy("label").agg(
-        (F.lit(float(max_train_bytes)) / F.greatest(F.sum(F.octet_length("text")), F.lit(1))).alias("share")
+        (F.lit(float(max_train_bytes)) / F.greatest(F.sum(F.octet_length("text")), F.lit(1))).alias("share"),
+        F.min(chance).alias("least"),
     )
-    chance = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1 << 20)) / float(1 << 20)
     # One row per language, as many as the model has columns: the texts stay where they are.
-    sample = rows.join(F.broadcast(share), "label").filter(chance < F.col("share")).select("text", "label")
+    drawn = (chance < F.col("share")) | (chance == F.col("least"))
+    sample = rows.join(F.broadcast(share), "label").filter(drawn).select("text", "label")
+    often = Window.partitionBy("label").orderBy(F.desc("n"), "gram")
     counts = (
         sample.mapInArrow(_count_grams, "label STRING, gram BIGINT, n BIGINT")
         .groupBy("label", "gram")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "label", "gram")
-        .limit(max_grams)
+        .withColumn("place", F.row_number().over(often))
+        .filter(F.col("place") <= max_grams)
     )
     return _tabulate([(r.label, r.gram, r.n) for r in counts.collect()])
 

@@ -66,6 +66,21 @@ def test_long_texts_are_scored_in_pieces(spark, model, monkeypatch):
     assert bits(17) == pytest.approx(bits(1 << 19), rel=1e-6)
 
 
+def test_bounds_hold_for_each_language(spark):
+    """A rare language keeps its grams beside a frequent one, and few huge texts still teach theirs."""
+    huge = [("żółw " * 4000, "pl"), ("gęś i jeż " * 3000, "pl")]
+    docs = spark.createDataFrame([("the cat and the dog %d" % i, "en") for i in range(300)] + [("le chien", "fr")] + huge, "text STRING, lang STRING")
+    small = langid.train(docs, max_train_bytes=60, max_grams=40)
+    assert small.languages == ("en", "fr", "pl")
+    known = [(small.bits[4][1:, i] < 8.0).sum() for i in range(3)]
+    assert all(n > 0 for n in known)
+    ask = spark.createDataFrame([(1, "le chien"), (2, "the dog")], "doc_id INT, text STRING")
+    assert {r.doc_id: r.lang_pred for r in langid.identify(ask, small, ["doc_id"]).collect()} == {1: "fr", 2: "en"}
+    every = langid.train(docs)
+    one = spark.createDataFrame([(1, "jeż i żółw")], "doc_id INT, text STRING")
+    assert langid.identify(one, every, ["doc_id"]).first().lang_pred == "pl"
+
+
 def test_odd_rows(odd, odd_rows, model):
     got = langid.identify(odd, model, ["doc_id", "fp"]).collect()
     assert len(got) == len(odd_rows)
