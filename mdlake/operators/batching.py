@@ -371,12 +371,14 @@ def in_chunks(messages: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     A chunk ends with the minute in which its ``chunk_rows`` messages are full.
     The counts come from the exchange that the messages go through anyway.
     """
-    dealt = messages.withColumn("cell", F.floor(F.col("ts_ms") / CELL_MS)).repartition("key", "cell")
+    # Joins drop nulls below the exchange of their own side only; dropped here, both readers share one exchange.
+    timed = messages.withColumn("cell", F.floor(F.col("ts_ms") / CELL_MS))
+    dealt = timed.filter(F.col("key").isNotNull() & F.col("cell").isNotNull()).repartition("key", "cell")
     counts = dealt.mapInPandas(_count_cells, "key STRING, cell BIGINT, n BIGINT").groupBy("key", "cell").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
     chunks = counts.select("key", "cell", F.floor(before / chunk_rows).cast("bigint").alias("chunk"))
-    marked = dealt.join(chunks, ["key", "cell"]).select(*messages.columns, "chunk")
+    marked = dealt.join(chunks, ["key", "cell"]).select(*messages.columns, "chunk").filter(F.col("chunk").isNotNull())
     return marked.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "ts_ms", "id")
 
 

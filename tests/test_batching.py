@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from mdlake.operators import batching
+from mdlake.operators import batching, flushing
 from mdlake.operators.batching import NEVER, Limits, Open, StateMap, number_run
 
 
@@ -149,3 +149,26 @@ def test_envelope(spark):
     rows = batching.batch_envelope(batching.count_batches(df, 50, 30), ["rows"]).collect()
     assert all(r["record_count"] == sum(e["rows"] for e in r["entries"]) for r in rows)
     assert len({r["batch_id"] for r in rows}) == len(rows)
+
+
+def once(df):
+    """The physical plan with every exchange that is read twice shown once."""
+    conf = df.sparkSession.conf
+    fixed = {"spark.sql.adaptive.enabled": "false"}
+    before = {name: conf.get(name) for name in fixed}
+    for name, value in fixed.items():
+        conf.set(name, value)
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            conf.set(name, value)
+
+
+def test_input_is_read_once(spark):
+    """Counting, mapping and numbering share the exchanges of the messages, though times may be null."""
+    df = spark.range(100).select(
+        "id", F.when(F.col("id") > 5, F.col("id")).alias("ts_ms"), F.when(F.col("id") > 7, "okx").alias("exchange")
+    )
+    plan = once(flushing.number_flushes(df, flushing.Clock(10, 15_000)))
+    assert plan.count("Range (") == plan.count("_count_cells(") == 1
