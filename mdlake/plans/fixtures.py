@@ -82,9 +82,14 @@ def text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def broken(key: Column, data: Column) -> Column:
-    """Cut off the end of the text of every 97th message."""
-    return let(data, lambda d: F.when(key % 97 == 0, F.substring(d, F.lit(1), F.length(d) - 5)).otherwise(d))
+def broken(messages: DataFrame) -> DataFrame:
+    """Cut off the end of the text of every 97th message.
+
+    A projection of its own: the text is put together once, in compiled code.
+    """
+    data = F.col("data")
+    cut = F.when(F.col("message_id") % 97 == 0, F.substring(data, F.lit(1), F.length(data) - 5)).otherwise(data)
+    return messages.select(*[cut.alias(c) if c == "data" else c for c in messages.columns])
 
 
 def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,16 +206,17 @@ def book_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return _messages(spark, sf_dir).select(
+    sent = _messages(spark, sf_dir).select(
         F.lit("fobs").alias("feed"),
         "exchange",
         "symbol",
         market_tag(venue, F.lit("fobs")).alias("market"),
-        broken(k, data).alias("data"),
+        data.alias("data"),
         "ts",
         F.lit("snapshot").alias("message_type"),
         k.alias("message_id"),
     )
+    return broken(sent)
 
 
 def _kucoin_delta() -> Column:
@@ -265,15 +271,16 @@ def delta_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return _messages(spark, sf_dir).select(
+    sent = _messages(spark, sf_dir).select(
         F.lit("fobd").alias("feed"),
         "exchange",
         "symbol",
         market_tag(venue, F.lit("fobd")).alias("market"),
-        broken(k, data).alias("data"),
+        data.alias("data"),
         "ts",
         k.alias("message_id"),
     )
+    return broken(sent)
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,15 +363,16 @@ def oi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(venue == "okx", text('{"arg":{"channel":"open-interest","instId":"', symbol, '"},"data":[{"instId":"', F.lower(symbol), '","oi":"', value, '","oiCcy":"1","ts":"', okx_ts, '"}]}'))
         .otherwise(text('{"symbol":"', symbol, '","openInterest":"', value, '","time":', time, "}"))
     )
-    return event_rows(spark, sf_dir).select(
+    sent = event_rows(spark, sf_dir).select(
         F.lit("foi").alias("feed"),
         "exchange",
         "symbol",
         market_tag(venue, F.lit("foi")).alias("market"),
-        broken(k, data).alias("data"),
+        data.alias("data"),
         "ts",
         k.alias("message_id"),
     )
+    return broken(sent)
 
 
 @view
@@ -386,15 +394,16 @@ def pi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(empty, '{"dataList":[]}')
         .otherwise(text('{"dataList":[{"symbol":"', symbol, '","timePoint":', when, ',"value":', rate, '},{"symbol":"OLD","timePoint":1,"value":9}]}'))
     )
-    return event_rows(spark, sf_dir).select(
+    sent = event_rows(spark, sf_dir).select(
         F.lit("pi").alias("feed"),
         "exchange",
         "symbol",
         market_tag(venue, F.lit("pi")).alias("market"),
-        broken(k, data).alias("data"),
+        data.alias("data"),
         "ts",
         k.alias("message_id"),
     )
+    return broken(sent)
 
 
 @view
@@ -446,8 +455,11 @@ def liq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     def pair(make) -> Column:
-        more = F.when(number % 2 == 0, F.concat(F.lit(","), make(ms + 1, "2.50"))).otherwise("")
-        return F.concat(make(ms + number, q), more)
+        """One record, or two.  A lambda also keeps the whole projection out of one method too large for the JVM to compile."""
+        first = F.struct((ms + number).alias("at"), q.alias("size"))
+        second = F.struct((ms + 1).alias("at"), F.lit("2.50").alias("size"))
+        records = F.when(number % 2 == 0, F.array(first, second)).otherwise(F.array(first))
+        return F.array_join(F.transform(records, lambda r: make(r["at"], r["size"])), ",")
 
     family = F.lower(F.replace(symbol, F.lit("-SWAP"), F.lit("")))
     extra = F.when(flag == "R", text(',{"details":[', okx_detail(ms, q), '],"uly":"doge-usdt"}')).otherwise("")
@@ -457,15 +469,16 @@ def liq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     bybit = text('{"topic":"allLiquidation.', symbol, '","type":"snapshot","ts":', ms, ',"data":[', pair(bybit_record), "]}")
     data = F.when(venue == "binance", binance).when(venue == "bybit", bybit).when(venue == "kucoin", kucoin).otherwise(okx)
-    return lines.select(
+    sent = lines.select(
         F.lit("liq").alias("feed"),
         "exchange",
         "symbol",
         market_tag(venue, F.lit("liq")).alias("market"),
-        broken(k, data).alias("data"),
+        data.alias("data"),
         "ts",
         k.alias("message_id"),
     )
+    return broken(sent)
 
 
 # --- telemetry ------------------------------------------------------------------

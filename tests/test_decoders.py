@@ -189,3 +189,13 @@ def test_kucoin_executions_of_configured_symbols(spark):
 
     assert left(None) == left([]) == ["ETHUSDTM", "XBTUSDTM"]
     assert left(["xbtusdtm"]) == ["XBTUSDTM"] and left(["SOLUSDTM"]) == []
+
+
+def test_frames_are_put_together_once(spark):
+    """A filter pushed below the projection that makes the text would make it twice."""
+    made = F.concat(F.lit('{"topic":"tickers.marker","n":'), F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, "}").otherwise("]"))
+    raw = spark.range(10).select(F.lit("pi").alias("feed"), F.lit("bybit").alias("exchange"), made.alias("data"), F.col("id").alias("message_id"))
+    kept = frames.keep_data_frames(raw)
+    assert kept.columns == raw.columns
+    assert sorted(r.message_id for r in kept.collect()) == [0, 2, 4, 6, 8]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("tickers.marker") == 1
