@@ -49,7 +49,8 @@ LEVEL = 9
 BLANKS = b" " * 32  # follow a window
 END = b" " * 16  # ends a dictionary: zstandard does not look up its last bytes
 PUNCTUATION = bytes([*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
-CACHED = 200_000  # windows whose difference a task remembers
+CACHED = 200_000  # windows whose cell a task remembers, and twice as many runs as they stand in the texts
+BLOCK = 1 << 16  # runs looked up together
 MAX_DOCS = 3000  # labelled documents of a class
 MAX_WORDS = 1000  # words in a dictionary
 SIGNIFICANT = 12.0  # log-likelihood ratio of a toxic word
@@ -78,20 +79,28 @@ class Model:
 # --- windows --------------------------------------------------------------------
 
 
-def windows(text: bytes) -> Iterator[bytes]:
-    """Lower-cased runs of WORDS words, without punctuation around; each word is in one."""
+def _runs(text: bytes) -> Iterator[list[bytes]]:
+    """Lower-cased runs of WORDS words, in lists of bounded length; each word is in one."""
     at = 0
     while at < len(text):
         cut = SPACE.search(text, at + PIECE) if len(text) - at > PIECE else None
         end = cut.start() if cut else len(text)
         words = text[at:end].lower().split()
         at = end
-        for low in range(0, len(words), WORDS):
-            window = b" %b " % b" ".join(w.strip(PUNCTUATION) for w in words[low : low + WORDS])
-            if len(window) <= WIDEST:
-                yield window
-            else:
-                yield from (window[i : i + WIDEST] for i in range(0, len(window), WIDEST))
+        yield words if WORDS == 1 else [b" ".join(words[low : low + WORDS]) for low in range(0, len(words), WORDS)]
+
+
+def _windows_of(run: bytes) -> list[bytes]:
+    """The windows of one run: its words without punctuation around, cut where too long."""
+    window = b" %b " % b" ".join(w.strip(PUNCTUATION) for w in run.split())
+    return [window[i : i + WIDEST] for i in range(0, len(window), WIDEST)]
+
+
+def windows(text: bytes) -> Iterator[bytes]:
+    """All windows of a text, in order."""
+    for runs in _runs(text):
+        for run in runs:
+            yield from _windows_of(run)
 
 
 def _compressor(content: bytes):
@@ -102,32 +111,55 @@ def _compressor(content: bytes):
     ).compress
 
 
+class Seen(dict):
+    """The cell of each run as it stands in the texts; a run in several windows gives a list and is not kept."""
+
+    def __init__(self, cell_of) -> None:
+        super().__init__()
+        self.cell_of, self.several = cell_of, False
+
+    def __missing__(self, run: bytes) -> int | list[int]:
+        made = [self.cell_of(window) for window in _windows_of(run)]
+        if len(made) > 1:
+            self.several = True
+            return made
+        if len(self) >= 2 * CACHED:
+            self.clear()
+        self[run] = made[0]
+        return made[0]
+
+
 class Cells:
     """The calibration cell of a window: bytes the toxic dictionary saves, and the length it leaves."""
 
     def __init__(self, toxic: bytes, ordinary: bytes) -> None:
         self.toxic, self.ordinary = _compressor(toxic), _compressor(ordinary)
         self.known: dict[bytes, int] = {}
+        self.seen = Seen(self._of)
 
     def _of(self, window: bytes) -> int:
-        left = len(self.toxic(window + BLANKS))
-        saved = len(self.ordinary(window + BLANKS)) - left
-        if len(self.known) >= CACHED:
-            self.known.clear()
-        cell = (min(max(saved, SAVED[0]), SAVED[1]) - SAVED[0]) * LENGTHS + min(left, LENGTHS - 1)
-        self.known[window] = cell
+        cell = self.known.get(window)
+        if cell is None:
+            left = len(self.toxic(window + BLANKS))
+            saved = len(self.ordinary(window + BLANKS)) - left
+            cell = (min(max(saved, SAVED[0]), SAVED[1]) - SAVED[0]) * LENGTHS + min(left, LENGTHS - 1)
+            if len(self.known) >= CACHED:
+                self.known.clear()
+            self.known[window] = cell
         return cell
 
     def blocks(self, text: bytes) -> Iterator[np.ndarray]:
-        """The cells of all windows, in arrays of bounded length."""
-        known, of, block = self.known.get, self._of, []
-        for window in windows(text):
-            cell = known(window)
-            block.append(of(window) if cell is None else cell)
-            if len(block) >= 1 << 16:
-                yield np.array(block)
-                block = []
-        yield np.array(block, dtype=np.int64)
+        """The cells of all windows, in arrays of bounded length.
+
+        Runs are remembered as they stand in the text, so one seen before costs a look-up.
+        """
+        for runs in _runs(text):
+            for low in range(0, len(runs), BLOCK):
+                cells = list(map(self.seen.__getitem__, runs[low : low + BLOCK]))
+                if self.seen.several:
+                    cells = [x for cell in cells for x in (cell if isinstance(cell, list) else [cell])]
+                    self.seen.several = False
+                yield np.array(cells, dtype=np.int64)
 
     def evidence(self, text: bytes, table: np.ndarray) -> float:
         return float(sum(table[block].sum() for block in self.blocks(text)))

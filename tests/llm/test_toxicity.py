@@ -70,3 +70,19 @@ def test_training_on_clashing_columns_and_accented_capitals(spark):
     made = toxicity.train(docs, labels)
     assert "\u00c4rg".encode() in made.toxic
     assert all(0 <= r.score <= 1 for r in toxicity.toxicity(docs, made, ["doc_id", "toxic"]).collect())
+
+
+def test_a_word_seen_before_costs_a_look_up(monkeypatch):
+    """Words are stripped once for each spelling; punctuation around does not compress a word again; long words stay whole."""
+    text = b"calm Vile, (vile) " * 400 + b"x" * 1300 + b" ... calm"
+    stripped, asked = [], []
+    one = toxicity._windows_of
+    monkeypatch.setattr(toxicity, "_windows_of", lambda run: stripped.append(run) or one(run))
+    cells = toxicity.Cells(b" vile rotten " + toxicity.END, b" calm river " + toxicity.END)
+    press = cells.toxic
+    cells.toxic = lambda window: asked.append(window) or press(window)
+    got = np.concatenate(list(cells.blocks(text)))
+    assert len(stripped) == len(set(stripped)) == 5
+    assert len(asked) == len(set(asked)) == 6
+    fresh = toxicity.Cells(b" vile rotten " + toxicity.END, b" calm river " + toxicity.END)
+    assert got.tolist() == [fresh._of(w) for w in toxicity.windows(text)]
